@@ -35,17 +35,16 @@ def most_common(df: DataFrame, keys: list[str], value: str, name: str) -> DataFr
     Counts per (key, value) come first, so no task holds the value table of a key.
     """
     n = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    return n.groupBy(*keys).agg(F.min_by(value, F.struct(-F.col("_n"), F.col(value))).alias(name))
+    best = F.min(F.struct((-F.col("_n")).alias("n"), F.col(value).alias("v")))
+    return n.groupBy(*keys).agg(best.getField("v").alias(name))
 
 
 def session_analytics(events: DataFrame, scale: int | None = None) -> DataFrame:
     """First user, device and country, times, values, distinct types and the usual category."""
-    first = F.struct("timestamp", "id")
+    first = F.min(F.struct("timestamp", "id", "user_id", "device_type", "country"))
     v = F.col("value")
     base = events.groupBy("session_id").agg(
-        F.min_by("user_id", first).alias("user_id_first"),
-        F.min_by("device_type", first).alias("device_type_first"),
-        F.min_by("country", first).alias("country_first"),
+        *[first.getField(c).alias(f"{c}_first") for c in ("user_id", "device_type", "country")],
         F.min("timestamp").alias("timestamp_min"),
         F.max("timestamp").alias("timestamp_max"),
         F.count("timestamp").alias("events_per_session"),
@@ -235,7 +234,7 @@ def user_dim(events: DataFrame) -> DataFrame:
 def latest_country(events: DataFrame) -> DataFrame:
     """One row per user: the country of the newest event, and the user's number of events."""
     return events.groupBy("user_id").agg(
-        F.max_by("country", F.struct("timestamp", "id")).alias("user_country"),
+        F.max(F.struct("timestamp", "id", "country")).getField("country").alias("user_country"),
         F.count("*").alias("user_events"),
     )
 

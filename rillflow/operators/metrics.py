@@ -20,6 +20,11 @@ ALERT_RULES = [
 SHARES = ["error_rate", "utilization"]
 
 
+def newest_value() -> Column:
+    """The value of the newest row of a group, the larger id on equal times."""
+    return F.max(F.struct("timestamp", "id", "metric_value")).getField("metric_value")
+
+
 def newest(metrics: DataFrame, keep: int = 1000) -> DataFrame:
     """The newest `keep` rows per metric.
 
@@ -50,7 +55,7 @@ def metric_summary(metrics: DataFrame, keep: int = 1000, scale: int | None = Non
     return newest(metrics, keep).groupBy("metric_name").agg(
         F.count(v).alias("count"), F.min(v).alias("min"), F.max(v).alias("max"),
         exact_mean(v, scale).alias("avg"),
-        F.max_by(v, F.struct("timestamp", "id")).alias("latest_value"),
+        newest_value().alias("latest_value"),
     )
 
 
@@ -107,7 +112,7 @@ def latest_metric(metrics: DataFrame, as_of: str, span: str = "1 hour",
     """Newest value of each metric in the span, and the average of its newest 5-minute period."""
     recent = since(metrics, "timestamp", as_of, span)
     raw = recent.groupBy("metric_name").agg(
-        F.max_by("metric_value", F.struct("timestamp", "id")).alias("latest_value"),
+        newest_value().alias("latest_value"),
         F.max("timestamp").alias("latest_time"))
     period = rollup(recent, scale=scale, keys=("metric_name",)).groupBy("metric_name").agg(
         F.max_by("average", "period_start").alias("latest_average"))

@@ -1,40 +1,15 @@
-"""Running totals and row order over time without putting a whole key into one task.
+"""Row order and previous values over time without putting a whole key into one task.
 
-A window ordered by time over one key (or over no key at all) is a single task. Here time is cut
-into fixed cells; totals per cell are computed first, the running total over the cells gives each
-cell its starting value, and only the rows inside one cell are ordered together.
+A window ordered by time over one key is a single task, however many rows the key has. Here time
+is cut into fixed cells: only the rows inside one (key, cell) are ordered together, and what a cell
+needs from earlier ones comes from a window over one summary row per cell.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..functions.timefn import DAY, MINUTE, SECOND, cell, micros
-
-
-def before(points: DataFrame, keys: list[str], pos: str, values: list[str],
-           levels: tuple[int, ...] = (SECOND, DAY)) -> DataFrame:
-    """Adds `<value>_before`: the sum of value over all earlier positions of the key.
-
-    `points` has one row per (keys, pos), pos in microseconds. `levels` are the cell sizes, finest
-    first. With (second, day) no window partition exceeds 10^6 positions, 86,400 seconds or the
-    number of days, independent of the number of rows.
-    """
-    if not levels:
-        w = W.partitionBy(*keys).orderBy(pos).rowsBetween(W.unboundedPreceding, -1)
-        return points.withColumns({
-            f"{v}_before": F.coalesce(F.sum(v).over(w), F.lit(0).cast("long")) for v in values})
-    name = f"_cell{len(levels)}"
-    cut = points.withColumn(name, cell(pos, levels[0]))
-    w = W.partitionBy(*keys, name).orderBy(pos).rowsBetween(W.unboundedPreceding, -1)
-    inside = cut.withColumns({
-        f"_{v}": F.coalesce(F.sum(v).over(w), F.lit(0).cast("long")) for v in values})
-    totals = cut.groupBy(*keys, name).agg(*[F.sum(v).alias(v) for v in values])
-    starts = before(totals, keys, name, values, levels[1:]).select(
-        *keys, name, *[f"{v}_before" for v in values])
-    return inside.join(starts, [*keys, name]).withColumns({
-        f"{v}_before": F.col(f"{v}_before") + F.col(f"_{v}") for v in values
-    }).drop(name, *[f"_{v}" for v in values])
+from ..functions.timefn import MINUTE, cell, micros
 
 
 def numbered(rows: DataFrame, keys: list[str], ts: str, tie: str, name: str,
@@ -42,13 +17,15 @@ def numbered(rows: DataFrame, keys: list[str], ts: str, tie: str, name: str,
     """ROW_NUMBER per key in (ts, tie) order; a key may be of any size, a cell is one task's work."""
     cut = rows.withColumn("_cell", cell(micros(ts), size))
     counts = cut.groupBy(*keys, "_cell").agg(F.count("*").alias("_n"))
-    starts = before(counts, keys, "_cell", ["_n"], ()).drop("_n")
+    earlier = W.partitionBy(*keys).orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select(
+        *keys, "_cell", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     w = W.partitionBy(*keys, "_cell").orderBy(ts, tie)
     return (
         cut.withColumn("_rn", F.row_number().over(w))
-        .join(starts, [*keys, "_cell"])
-        .withColumn(name, F.col("_rn") + F.col("_n_before"))
-        .drop("_cell", "_rn", "_n_before")
+        .join(starts, [*keys, "_cell"], "left")
+        .withColumn(name, F.col("_rn") + F.col("_before"))
+        .drop("_cell", "_rn", "_before")
     )
 
 
@@ -57,12 +34,12 @@ def with_previous(rows: DataFrame, key: str, ts: str, tie: str, value: str, name
     """LAG(value) per key in (ts, tie) order. Each cell gets the last value of the cell before."""
     cut = rows.withColumn("_cell", cell(micros(ts), size))
     last = cut.groupBy(key, "_cell").agg(
-        F.max_by(value, F.struct(ts, tie)).alias("_last"))
+        F.max(F.struct(ts, tie, value)).getField(value).alias("_last"))
     carried = last.withColumn(
         "_carry", F.lag("_last").over(W.partitionBy(key).orderBy("_cell"))).drop("_last")
     w = W.partitionBy(key, "_cell").orderBy(ts, tie)
     inside = cut.withColumns({
         "_lag": F.lag(value).over(w), "_first": F.row_number().over(w) == 1})
-    return inside.join(carried, [key, "_cell"]).withColumn(
+    return inside.join(carried, [key, "_cell"], "left").withColumn(
         name, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag"))
     ).drop("_cell", "_lag", "_first", "_carry")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def attach(rows: DataFrame, per_key: DataFrame, key: list[str], weight: str, spread: list[str],
-           parts: int = 10_000, floor: int = 100_000) -> DataFrame:
+           sizes: DataFrame | None = None, parts: int = 10_000,
+           floor: int = 100_000) -> DataFrame:
     """Left join of `rows` to `per_key` (unique on `key`) that splits hot keys.
 
     `weight` is the number of rows of a key, which the aggregate that made `per_key` knows. A key
@@ -14,15 +15,16 @@ def attach(rows: DataFrame, per_key: DataFrame, key: list[str], weight: str, spr
     dealt out by a hash of the `spread` columns and its per_key row is repeated once per piece.
     The weights add up to the total, so there are at most `parts` hot keys (the broadcast list) and
     at most 2 * parts repeated rows, whatever the size of the data. Keys below `floor` rows are
-    never split. `weight` is not part of the result unless it is wanted: it stays a normal column.
+    never split. `sizes` may give (key, weight) where that is cheaper to compute than per_key.
     """
-    total = per_key.agg(F.sum(weight)).scalar()
+    sizes = (per_key if sizes is None else sizes).select(*key, weight)
+    total = sizes.agg(F.sum(weight)).scalar()
     w = F.col(weight)
     is_hot = (w >= floor) & (w * F.lit(parts) > total)
-    pieces = F.when(is_hot, F.ceil(w.cast("double") * parts / total).cast("int")).otherwise(1)
-    sized = per_key.withColumn("_pieces", pieces)
+    pieces = F.ceil(w.cast("double") * parts / total).cast("int")
+    sized = per_key.withColumn("_pieces", F.when(is_hot, pieces).otherwise(1))
 
-    hot = sized.where("_pieces > 1").select(*key, "_pieces")
+    hot = sizes.where(is_hot).select(*key, pieces.alias("_pieces"))
     dealt = rows.join(F.broadcast(hot), key, "left").withColumn(
         "_piece",
         F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_pieces")).cast("int"), F.lit(0)),

@@ -3,47 +3,82 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import gcd
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.timefn import MINUTE, SECOND, cell, micros
-from .running import before
 from .skew import attach
 
 # Horizon name and seconds.
 HORIZONS = {"5min": 300, "1hour": 3600}
 
+def _zero() -> Column:
+    return F.lit(0).cast("long")
 
-def _zeros(names: list[str], **given) -> list:
-    return [F.lit(given.get(n, 0)).cast("long").alias(n) if not hasattr(given.get(n), "alias")
-            else given[n].cast("long").alias(n) for n in names]
 
+def _up_to(w, last: int) -> tuple:
+    return w.rangeBetween(W.unboundedPreceding, last)
 
-def _user_presence(events: DataFrame, user: str, us, span: int) -> DataFrame:
-    """(pos, change) such that the sum of changes up to t = distinct users seen in [t - span, t].
 
-    A user is present from an event until span after it. Events within one cell of length span
-    always overlap, so the first and last event per (user, cell) describe the cell; only cells
-    whose gap to the neighbouring cell exceeds span begin or end a presence.
+def _span_sum(value: str, w, first: int, last: int) -> Column:
+    """Sum over positions [here + first, here + last] as a difference of two running sums.
+
+    A frame with two moving ends is summed anew for every row; running sums are not.
     """
-    cells = (
-        events.where(F.col(user).isNotNull())
-        .select(F.col(user).alias("_user"), us.alias("_us"))
-        .groupBy("_user", cell("_us", span).alias("_cell"))
-        .agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"))
-    )
-    w = W.partitionBy("_user").orderBy("_cell")
-    edges = cells.select(
-        "_first", "_last",
-        F.coalesce(F.col("_first") - F.lag("_last").over(w) > span, F.lit(True)).alias("_opens"),
-        F.coalesce(F.lead("_first").over(w) - F.col("_last") > span, F.lit(True)).alias("_closes"),
-    )
-    return edges.select(F.explode(F.array(
-        F.struct(F.when(F.col("_opens"), F.col("_first")).alias("_us"),
-                 F.lit(1).cast("long").alias("_change")),
-        F.struct(F.when(F.col("_closes"), F.col("_last") + span + 1).alias("_us"),
-                 F.lit(-1).cast("long").alias("_change")),
-    )).alias("_e")).select("_e.*").where("_us is not null")
+    return (F.coalesce(F.sum(value).over(_up_to(w, last)), _zero())
+            - F.coalesce(F.sum(value).over(_up_to(w, first - 1)), _zero()))
+
+
+def _cells(points: DataFrame, changes: list[DataFrame], horizons: dict[str, int], size: int,
+           counts: bool) -> DataFrame:
+    """What lies before each cell: `_whole_<h>` events in the h seconds before it, `_there_<h>`
+    users present. The window has one row per cell (half a million a year for minutes), so it
+    needs no partitioning; the rows it stands for have been summed up before."""
+    n = points.groupBy(cell("_us", size).alias("_cell")).agg(F.count("*").alias("_w"))
+    names = [c for d in changes for c in d.columns if c != "_cell"]
+    line = reduce(lambda a, d: a.unionByName(d, allowMissingColumns=True), [n, *changes])
+    if names:
+        line = line.groupBy("_cell").agg(
+            *[F.coalesce(F.sum(c), _zero()).alias(c) for c in ["_w", *names]])
+    w = W.partitionBy().orderBy("_cell")
+    out = [F.coalesce(F.sum(c).over(_up_to(w, -1)), _zero()).alias(c) for c in names]
+    if counts:
+        out += [_span_sum("_w", w, -s * SECOND, -size).alias(f"_whole_{h}")
+                for h, s in horizons.items()]
+    return line.select("_cell", *out)
+
+
+def _presence(events: DataFrame, horizons: dict[str, int]) -> dict[str, DataFrame]:
+    """Per horizon: (pos, starts, ends) of users being present.
+
+    A user is present from an event until h after it; presences that touch are one. Events in the
+    same cell of length h always touch, so the first and last event per (user, cell) describe the
+    cell, and only a gap longer than h to the next cell ends a presence. Cells of a longer horizon
+    are built from those of a shorter one that divides it.
+    """
+    out, cells, done = {}, None, 0
+    base = events.where("_user is not null").select(
+        "_user", F.col("_us").alias("_first"), F.col("_us").alias("_last"))
+    for h, s in sorted(horizons.items(), key=lambda x: x[1]):
+        size = s * SECOND
+        finer = cells if done and size % done == 0 else base
+        cells = finer.groupBy("_user", cell("_first", size).alias("_cell")).agg(
+            F.min("_first").alias("_first"), F.max("_last").alias("_last"))
+        done = size
+        w = W.partitionBy("_user").orderBy("_first")
+        opens = F.coalesce(F.col("_first") - F.lag("_last").over(w) > size, F.lit(True))
+        closes = F.coalesce(F.lead("_first").over(w) - F.col("_last") > size, F.lit(True))
+        edges = cells.select(
+            "_first", "_last", opens.alias("_opens"), closes.alias("_closes"))
+        out[h] = edges.select(F.explode(F.array(
+            F.struct(F.when(F.col("_opens"), F.col("_first")).alias("_us"),
+                     F.lit(1).alias("_start"), F.lit(0).alias("_end")),
+            F.struct(F.when(F.col("_closes"), F.col("_last") + size).alias("_us"),
+                     F.lit(0).alias("_start"), F.lit(1).alias("_end")),
+        )).alias("_e")).select("_e.*").where("_us is not null").groupBy("_us").agg(
+            F.sum("_start").alias(f"_start_{h}"), F.sum("_end").alias(f"_end_{h}"))
+    return out
 
 
 def trailing_activity(events: DataFrame, horizons: dict[str, int] = HORIZONS, counts: bool = True,
@@ -51,36 +86,51 @@ def trailing_activity(events: DataFrame, horizons: dict[str, int] = HORIZONS, co
                       event_id: str = "id") -> DataFrame:
     """Adds events_<h> and unique_users_<h>: activity in [t - h, t] over all users, t inclusive.
 
-    Both depend on t alone. Each is turned into changes on the time line (+1 when something enters
-    the window, -1 one microsecond after it leaves), so the value at t is a running total, and the
-    result per distinct t is attached to the events. The work is linear in the number of events for
-    any horizon; no window holds the events of a whole horizon and no user sets are built.
+    Both depend on t alone, so they are computed once per distinct t and attached to the events.
+    The time line is cut into cells (a minute, or less if a horizon asks for it). Inside a cell,
+    what enters (<= t) and what leaves (< t) the window is counted in order; everything before the
+    cell comes from totals per cell. Events leave h after they entered, users h after the last
+    event of an unbroken presence. The work is linear in the number of events for any horizon, no
+    window is larger than the distinct times of one cell, and no sets of users are built.
     """
+    size = gcd(60, *horizons.values()) * SECOND
     us = micros(ts)
-    stamps = events.select(us.alias("_us")).groupBy("_us").agg(F.count("*").alias("_n"))
-    names = [f"events_{h}" for h in horizons] if counts else []
-    names += [f"unique_users_{h}" for h in horizons] if users else []
+    points = events.where(us.isNotNull()).select(us.alias("_us"), F.col(user).alias("_user"))
+    stamps = points.groupBy("_us").agg(F.count("*").alias("_n"))
+    moves, changes, inside, total = [stamps], [], {}, {}
+    in_cell = W.partitionBy("_cell").orderBy("_us")
+
+    def entered(c: str) -> Column:
+        return F.coalesce(F.sum(c).over(_up_to(in_cell, 0)), _zero())
+
+    def left(c: str) -> Column:
+        return F.coalesce(F.sum(c).over(_up_to(in_cell, -1)), _zero())
 
-    n = F.col("_n")
-    moves = [F.struct(F.col("_us"), n.alias("_n"),
-                      *_zeros(names, **({f"events_{h}": n for h in horizons} if counts else {})))]
     if counts:
-        moves += [F.struct((F.col("_us") + s * SECOND + 1).alias("_us"),
-                           F.lit(0).cast("long").alias("_n"), *_zeros(names, **{f"events_{h}": -n}))
-                  for h, s in horizons.items()]
-    parts = [stamps.select(F.explode(F.array(*moves)).alias("_m")).select("_m.*")]
+        moves = [stamps.select(F.explode(F.array(
+            F.struct(F.col("_us"), F.col("_n"), *[_zero().alias(f"_out_{h}") for h in horizons]),
+            *[F.struct((F.col("_us") + s * SECOND).alias("_us"), _zero().alias("_n"),
+                       *[(F.col("_n") if g == h else _zero()).alias(f"_out_{g}") for g in horizons])
+              for h, s in horizons.items()])).alias("_m")).select("_m.*")]
+        for h in horizons:
+            inside[f"events_{h}"] = entered("_n") - left(f"_out_{h}")
+            total[f"events_{h}"] = F.col(f"events_{h}") + F.col(f"_whole_{h}")
     if users:
-        parts += [
-            _user_presence(events, user, us, s * SECOND).select(
-                "_us", F.lit(0).cast("long").alias("_n"),
-                *_zeros(names, **{f"unique_users_{h}": F.col("_change")}))
-            for h, s in horizons.items()
-        ]
-    line = reduce(DataFrame.unionByName, parts).groupBy("_us").agg(
-        *[F.sum(c).alias(c) for c in ["_n", *names]])
-    at = before(line, [], "_us", names).where("_n > 0").select(
-        "_us", "_n", *[(F.col(c) + F.col(f"{c}_before")).alias(c) for c in names])
-    return attach(events.withColumn("_us", us), at, ["_us"], "_n", [event_id]).drop("_us", "_n")
+        for h, edges in _presence(points, horizons).items():
+            moves.append(edges)
+            changes.append(edges.groupBy(cell("_us", size).alias("_cell")).agg(
+                (F.sum(f"_start_{h}") - F.sum(f"_end_{h}")).alias(f"_there_{h}")))
+            inside[f"unique_users_{h}"] = entered(f"_start_{h}") - left(f"_end_{h}")
+            total[f"unique_users_{h}"] = F.col(f"unique_users_{h}") + F.col(f"_there_{h}")
+    at = (
+        reduce(lambda a, d: a.unionByName(d, allowMissingColumns=True), moves)
+        .withColumn("_cell", cell("_us", size))
+        .withColumns(inside).where("_n > 0")
+        .join(_cells(points, changes, horizons, size, counts), "_cell", "left")
+        .withColumns(total).select("_us", "_n", *total)
+    )
+    return attach(events.withColumn("_us", us), at, ["_us"], "_n", [event_id],
+                  sizes=stamps).drop("_us", "_n")
 
 
 def bursts(events: DataFrame, span_seconds: int = 60, factor: int = 3, history: int = 10,
@@ -101,9 +151,8 @@ def bursts(events: DataFrame, span_seconds: int = 60, factor: int = 3, history:
     own = events.withColumn("_us", micros(ts)).withColumn("_cell", cell("_us", size))
 
     counts = own.groupBy(*keys).agg(F.count("*").alias("_n"))
-    whole = counts.withColumn("_whole", F.coalesce(F.sum("_n").over(
-        W.partitionBy(user).orderBy("_cell").rangeBetween(-span, -size)),
-        F.lit(0).cast("long"))).drop("_n")
+    whole = counts.withColumn("_whole", _span_sum(
+        "_n", W.partitionBy(user).orderBy("_cell"), -span, -size)).drop("_n")
     leaving = own.select(user, (F.col("_us") + span).alias("_us"),
                          (F.col("_cell") + span).alias("_cell"), F.lit(1).alias("_out"))
     order = W.partitionBy(*keys).orderBy("_us")
@@ -111,12 +160,11 @@ def bursts(events: DataFrame, span_seconds: int = 60, factor: int = 3, history:
         own.withColumn("_out", F.lit(0))
         .unionByName(leaving, allowMissingColumns=True)
         .withColumns({
-            "_in": F.sum(1 - F.col("_out")).over(order.rangeBetween(W.unboundedPreceding, 0)),
-            "_gone": F.coalesce(F.sum("_out").over(order.rangeBetween(W.unboundedPreceding, -1)),
-                                F.lit(0).cast("long")),
+            "_in": F.sum(1 - F.col("_out")).over(_up_to(order, 0)),
+            "_gone": F.coalesce(F.sum("_out").over(_up_to(order, -1)), _zero()),
         })
         .where("_out = 0")
-        .join(whole, keys)
+        .join(whole, keys, "left")
         .withColumn("current_events", F.col("_in") + F.col("_whole") - F.col("_gone"))
         .drop("_out", "_in", "_gone", "_whole")
     )
@@ -133,20 +181,20 @@ def bursts(events: DataFrame, span_seconds: int = 60, factor: int = 3, history:
         .select(*keys, F.col("_halo.current_events").alias("_halo"))
     )
     previous = W.partitionBy(*keys).orderBy("_us", event_id).rowsBetween(-history, -1)
-    total = F.aggregate("_take", F.lit(0).cast("long"), lambda a, x: a + x)
+    total = F.aggregate("_take", _zero(), lambda a, x: a + x)
     return (
         counted.withColumns({
-            "_sum": F.coalesce(F.sum("current_events").over(previous), F.lit(0).cast("long")),
+            "_sum": F.coalesce(F.sum("current_events").over(previous), _zero()),
             "_prev": F.count("current_events").over(previous),
         })
-        .join(tails, keys)
+        .join(tails, keys, "left")
         .withColumn("_take", F.slice("_halo", F.lit(1), (F.lit(history) - F.col("_prev")).cast("int")))
         .withColumns({
             "_sum": F.col("_sum") + total,
             "_prev": F.col("_prev") + F.size("_take"),
         })
         .withColumns({
-            "avg_events": F.col("_sum").cast("double") / F.nullif(F.col("_prev"), F.lit(0).cast("long")),
+            "avg_events": F.col("_sum").cast("double") / F.nullif(F.col("_prev"), _zero()),
             "is_anomaly": (F.col("_prev") > 0)
             & (F.col("current_events") * F.col("_prev") > F.lit(factor) * F.col("_sum")),
         })

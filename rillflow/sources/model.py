@@ -26,11 +26,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def _agent(props: Column) -> Column:
     k = F.pmod(F.get_json_object(props, "$.k").cast("int"), F.lit(len(AGENTS)))
-    out = F.lit(None).cast("string")
-    for i, text in enumerate(AGENTS):
-        if text is not None:
-            out = F.when(k == i, text).otherwise(out)
-    return out
+    return F.get(F.array(*[F.lit(text).cast("string") for text in AGENTS]), k)
 
 
 def model_events(raw: DataFrame) -> DataFrame:
@@ -70,10 +66,10 @@ def user_events(spark: SparkSession, folder: str, pages: bool = False,
 def user_sessions(spark: SparkSession, folder: str) -> DataFrame:
     """user_sessions, derived from the events: one row per session."""
     e = user_events(spark, folder, pages=True)
-    first = F.struct("timestamp", "id")
+    first = F.min(F.struct("timestamp", "id", "user_id", "user_agent"))
     who = e.groupBy("session_id").agg(
-        F.min_by("user_id", first).alias("user_id"),
-        F.min_by(device_type(F.col("user_agent")), first).alias("device_type"),
+        first.getField("user_id").alias("user_id"),
+        device_type(first.getField("user_agent")).alias("device_type"),
         F.min("timestamp").alias("start_time"), F.max("timestamp").alias("end_time"),
         F.count("*").alias("page_views"), F.countDistinct("page_url").alias("unique_pages"),
         (F.unix_seconds(F.max("timestamp").cast("timestamp"))
