@@ -150,7 +150,7 @@ FROM user_events GROUP BY 1
 -- name: engagement_histogram
 WITH u AS (SELECT user_id, count(*) AS n FROM user_events GROUP BY user_id),
 g AS (SELECT min(n) AS lo, max(n) AS hi FROM u)
-SELECT CAST(coalesce(least(((n - lo) * 20) // nullif(hi - lo, 0), 19), 0) AS BIGINT) AS bin,
+SELECT CAST(CASE WHEN hi > lo THEN least(((n - lo) * 20) // nullif(hi - lo, 0), 19) ELSE 0 END AS BIGINT) AS bin,
        count(*) AS users, min(n) AS min_events, max(n) AS max_events
 FROM u, g GROUP BY 1
 

@@ -280,9 +280,8 @@ def engagement_histogram(events: DataFrame, bins: int = 20) -> DataFrame:
     """Users per equal-width bin of events per user."""
     n = events.groupBy("user_id").agg(F.count("*").alias("n"))
     lo, hi = n.agg(F.min("n")).scalar(), n.agg(F.max("n")).scalar()
-    width = F.nullif(hi - lo, F.lit(0).cast("long"))
-    place = F.coalesce(F.least(div((F.col("n") - lo) * bins, width), F.lit(bins - 1).cast("long")),
-                       F.lit(0).cast("long"))
+    place = div((F.col("n") - lo) * bins, F.nullif(hi - lo, F.lit(0).cast("long")))
+    place = F.when(hi > lo, F.least(place, F.lit(bins - 1).cast("long"))).otherwise(0)
     return n.groupBy(place.alias("bin")).agg(
         F.count("*").alias("users"), F.min("n").alias("min_events"), F.max("n").alias("max_events"))
 
@@ -306,4 +305,4 @@ def ranked_users(events: DataFrame) -> DataFrame:
         "dense_rank": F.row_number().over(down),
         "next_lower": F.lead("events").over(down),
     })
-    return n.join(placed.drop("_users"), "events")
+    return attach(n, placed, ["events"], "_users", ["user_id"]).drop("_users")
