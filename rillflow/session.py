@@ -35,11 +35,11 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without that setting gets a temporary folder; on a cluster a
     machine-local folder would lose data, so a missing setting is an error there.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="rillflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="rillflow-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
