@@ -123,7 +123,6 @@ def typed_payload(df: DataFrame, video_type: str = "video_complete",
 
 
 def metric_dimensions(df: DataFrame) -> DataFrame:
-    """dimensions JSON as a map of strings; an empty map where there is none."""
-    kind = MapType(StringType(), StringType())
-    empty = F.from_json(F.lit("{}"), kind)
-    return df.withColumn("dims", F.coalesce(F.from_json("dimensions", kind), empty))
+    """dimensions JSON as a map of strings; an empty map where there is none, null where broken."""
+    text = F.coalesce("dimensions", F.lit("{}"))
+    return df.withColumn("dims", F.from_json(text, MapType(StringType(), StringType())))

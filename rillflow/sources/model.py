@@ -72,7 +72,7 @@ def user_events(spark: SparkSession, folder: str, pages: bool = False,
             F.col("c_mktsegment").alias("category"))
         n = table(spark, folder, "nation").select(
             F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country"))
-        e = e.join(c.join(n, "c_nationkey", "left").drop("c_nationkey"), "user_id", "left")
+        e = e.join(c, "user_id", "left").join(n, "c_nationkey", "left").drop("c_nationkey")
     return e
 
 
@@ -91,7 +91,7 @@ def user_sessions(spark: SparkSession, folder: str) -> DataFrame:
     c = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("user_id"), F.col("c_nationkey").alias("n_nationkey"))
     n = table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("country"))
-    return who.join(c.join(n, "n_nationkey", "left").drop("n_nationkey"), "user_id", "left")
+    return who.join(c, "user_id", "left").join(n, "n_nationkey", "left").drop("n_nationkey")
 
 
 def analytics_metrics(spark: SparkSession, folder: str) -> DataFrame:
