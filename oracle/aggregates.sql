@@ -107,6 +107,13 @@ SELECT count(*) AS total_events, count(DISTINCT user_id) AS unique_users,
        count(*) FILTER ("timestamp" >= TIMESTAMP '2024-01-30') AS events_last_24h,
        CAST(sum(cents) AS DOUBLE) / count(*) / 100 AS avg_value FROM user_events
 
+-- name: kpis_between
+SELECT count(*) AS total_events, count(DISTINCT user_id) AS unique_users,
+       count(DISTINCT session_id) AS unique_sessions,
+       count(*) FILTER ("timestamp" >= TIMESTAMP '2024-01-16') AS events_last_24h,
+       CAST(sum(cents) AS DOUBLE) / count(*) / 100 AS avg_value FROM user_events
+WHERE "timestamp" >= TIMESTAMP '2024-01-10' AND "timestamp" < TIMESTAMP '2024-01-17'
+
 -- name: user_zscore
 WITH u AS (
   SELECT user_id, CAST(sum(cents) AS DOUBLE) / count(*) / 100 AS mean,

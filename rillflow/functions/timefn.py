@@ -19,24 +19,30 @@ def micros(ts) -> Column:
 
 def cell(us, size: int) -> Column:
     """Start of the fixed cell of `size` microseconds that holds `us` (floors before 1970 too)."""
-    us = F.col(us) if isinstance(us, str) else us
+    if isinstance(us, str):
+        return F.expr(f"{us} - pmod({us}, {size}L)")
     return us - F.pmod(us, F.lit(size))
 
 
-def since(df: DataFrame, ts: str, as_of: str, span: str) -> DataFrame:
-    """Rows with ts >= as_of - span.
+def moment(df: DataFrame, ts: str, text: str) -> Column:
+    """A literal of the column's own type, so that comparisons with it reach the Parquet reader."""
+    ntz = isinstance(df.schema[ts].dataType, TimestampNTZType)
+    return F.lit(text).cast("timestamp_ntz" if ntz else "timestamp")
+
+
+def ago(df: DataFrame, ts: str, as_of: str, span: str) -> Column:
+    """as_of - span, for example '30 days'."""
+    return moment(df, ts, as_of) - F.expr(f"interval {span}")
 
-    The bound is a literal of the column's own type, so the filter reaches the Parquet reader.
-    """
-    kind = "timestamp_ntz" if isinstance(df.schema[ts].dataType, TimestampNTZType) else "timestamp"
-    return df.where(F.col(ts) >= F.expr(f"cast('{as_of}' as {kind}) - interval {span}"))
+
+def since(df: DataFrame, ts: str, as_of: str, span: str) -> DataFrame:
+    """Rows with ts >= as_of - span."""
+    return df.where(F.col(ts) >= ago(df, ts, as_of, span))
 
 
 def between(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:
     """Rows with start <= ts < end."""
-    kind = "timestamp_ntz" if isinstance(df.schema[ts].dataType, TimestampNTZType) else "timestamp"
-    lo, hi = (F.lit(x).cast(kind) for x in (start, end))
-    return df.where((F.col(ts) >= lo) & (F.col(ts) < hi))
+    return df.where((F.col(ts) >= moment(df, ts, start)) & (F.col(ts) < moment(df, ts, end)))
 
 
 def zoneless(df: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions.numeric import (
     div, exact_mean, exact_std, exact_sum, mean_units, pct2, spread, sum_squares, units,
 )
-from ..functions.timefn import since
+from ..functions.timefn import ago, since
 from .skew import attach
 
 
@@ -179,9 +179,8 @@ def event_statistics(events: DataFrame) -> DataFrame:
 
 
 def kpis(events: DataFrame, as_of: str, scale: int | None = None) -> DataFrame:
-    v, ts = F.col("value"), F.col("timestamp")
-    kind = dict(events.dtypes)["timestamp"]
-    recent = ts >= F.expr(f"cast('{as_of}' as {kind}) - interval 24 hours")
+    v = F.col("value")
+    recent = F.col("timestamp") >= ago(events, "timestamp", as_of, "24 hours")
     return events.agg(
         F.count("*").alias("total_events"),
         F.countDistinct("user_id").alias("unique_users"),
@@ -291,10 +290,11 @@ def users_by_country(events: DataFrame) -> DataFrame:
 
 
 def ranked_users(events: DataFrame) -> DataFrame:
-    """Users ranked by number of events; ranks come from the (small) table of distinct counts.
+    """Users ranked by number of events, with the next lower number.
 
-    Ranking all users in one ordered window would be one task. Rank and dense rank depend only on
-    the number of events, and row numbers inside one number of events on the user id.
+    Ranking all users in one ordered window would be one task. Ranks depend only on the number of
+    events, and n events have less than sqrt(2n) different numbers per user, so the window runs
+    over these and the result is attached to the users.
     """
     n = events.groupBy("user_id").agg(F.count("*").alias("events"))
     levels = n.groupBy("events").agg(F.count("*").alias("_users"))

@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.sql.types import DecimalType
 
 from ..functions.numeric import pct2, units
+from ..functions.timefn import ago
+from ..schemas import EVENT_TYPES, MAX_LENGTH, USER_EVENTS_TABLE
+
+REQUIRED = [f.name for f in USER_EVENTS_TABLE.fields if not f.nullable]
 
 # Lowest score of each grade.
 GRADES = [(96.0, "Excellent"), (90.0, "Good"), (80.0, "Fair")]
@@ -90,7 +94,8 @@ def grade(score: Column) -> Column:
 
 
 def quality_scores(events: DataFrame, known_users: DataFrame, as_of: str, max_age: str,
-                   keys: list[str], event_types: list[str], lengths: dict[str, int]) -> DataFrame:
+                   keys: list[str] = REQUIRED, event_types: list[str] = EVENT_TYPES,
+                   lengths: dict[str, int] = MAX_LENGTH) -> DataFrame:
     """completeness, accuracy, consistency, timeliness and validity in percent, with a grade.
 
     completeness: key columns all present; accuracy: the user exists in `known_users(user_id)`;
@@ -99,8 +104,7 @@ def quality_scores(events: DataFrame, known_users: DataFrame, as_of: str, max_ag
     joins event counts per user, the id check counts ids, so neither depends on how skewed users
     are.
     """
-    kind = dict(events.dtypes)["timestamp"]
-    fresh = F.col("timestamp") >= F.expr(f"cast('{as_of}' as {kind}) - interval {max_age}")
+    fresh = F.col("timestamp") >= ago(events, "timestamp", as_of, max_age)
     present = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
     valid = reduce(Column.__and__, [
         F.coalesce(F.length(F.col(c)) <= n, F.lit(True)) for c, n in lengths.items()

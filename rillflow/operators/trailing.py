@@ -13,12 +13,10 @@ from .skew import attach
 # Horizon name and seconds.
 HORIZONS = {"5min": 300, "1hour": 3600}
 
-def _zero() -> Column:
-    return F.lit(0).cast("long")
 
-
-def _up_to(w, last: int) -> tuple:
-    return w.rangeBetween(W.unboundedPreceding, last)
+def _so_far(value: str, w, last: int) -> Column:
+    """Sum of value over all positions up to here + last."""
+    return F.coalesce(F.sum(F.expr(value)).over(w.rangeBetween(W.unboundedPreceding, last)), F.expr("0L"))
 
 
 def _span_sum(value: str, w, first: int, last: int) -> Column:
@@ -26,8 +24,7 @@ def _span_sum(value: str, w, first: int, last: int) -> Column:
 
     A frame with two moving ends is summed anew for every row; running sums are not.
     """
-    return (F.coalesce(F.sum(value).over(_up_to(w, last)), _zero())
-            - F.coalesce(F.sum(value).over(_up_to(w, first - 1)), _zero()))
+    return _so_far(value, w, last) - _so_far(value, w, first - 1)
 
 
 def _cells(points: DataFrame, changes: list[DataFrame], horizons: dict[str, int], size: int,
@@ -40,16 +37,16 @@ def _cells(points: DataFrame, changes: list[DataFrame], horizons: dict[str, int]
     line = reduce(lambda a, d: a.unionByName(d, allowMissingColumns=True), [n, *changes])
     if names:
         line = line.groupBy("_cell").agg(
-            *[F.coalesce(F.sum(c), _zero()).alias(c) for c in ["_w", *names]])
+            *[F.expr(f"coalesce(sum({c}), 0L) AS {c}") for c in ["_w", *names]])
     w = W.partitionBy().orderBy("_cell")
-    out = [F.coalesce(F.sum(c).over(_up_to(w, -1)), _zero()).alias(c) for c in names]
+    out = [_so_far(c, w, -1).alias(c) for c in names]
     if counts:
         out += [_span_sum("_w", w, -s * SECOND, -size).alias(f"_whole_{h}")
                 for h, s in horizons.items()]
     return line.select("_cell", *out)
 
 
-def _presence(events: DataFrame, horizons: dict[str, int]) -> dict[str, DataFrame]:
+def _presence(points: DataFrame, horizons: dict[str, int]) -> dict[str, DataFrame]:
     """Per horizon: (pos, starts, ends) of users being present.
 
     A user is present from an event until h after it; presences that touch are one. Events in the
@@ -58,26 +55,23 @@ def _presence(events: DataFrame, horizons: dict[str, int]) -> dict[str, DataFram
     are built from those of a shorter one that divides it.
     """
     out, cells, done = {}, None, 0
-    base = events.where("_user is not null").select(
-        "_user", F.col("_us").alias("_first"), F.col("_us").alias("_last"))
+    base = points.where("_user IS NOT NULL").selectExpr("_user", "_us AS _first", "_us AS _last")
     for h, s in sorted(horizons.items(), key=lambda x: x[1]):
         size = s * SECOND
         finer = cells if done and size % done == 0 else base
         cells = finer.groupBy("_user", cell("_first", size).alias("_cell")).agg(
             F.min("_first").alias("_first"), F.max("_last").alias("_last"))
         done = size
-        w = W.partitionBy("_user").orderBy("_first")
-        opens = F.coalesce(F.col("_first") - F.lag("_last").over(w) > size, F.lit(True))
-        closes = F.coalesce(F.lead("_first").over(w) - F.col("_last") > size, F.lit(True))
-        edges = cells.select(
-            "_first", "_last", opens.alias("_opens"), closes.alias("_closes"))
-        out[h] = edges.select(F.explode(F.array(
-            F.struct(F.when(F.col("_opens"), F.col("_first")).alias("_us"),
-                     F.lit(1).alias("_start"), F.lit(0).alias("_end")),
-            F.struct(F.when(F.col("_closes"), F.col("_last") + size).alias("_us"),
-                     F.lit(0).alias("_start"), F.lit(1).alias("_end")),
-        )).alias("_e")).select("_e.*").where("_us is not null").groupBy("_us").agg(
-            F.sum("_start").alias(f"_start_{h}"), F.sum("_end").alias(f"_end_{h}"))
+        over = "OVER (PARTITION BY _user ORDER BY _first)"
+        out[h] = cells.selectExpr(
+            f"CASE WHEN _first - lag(_last) {over} <= {size} THEN null ELSE _first END AS _opens",
+            f"CASE WHEN lead(_first) {over} - _last <= {size} THEN null "
+            f"ELSE _last + {size} END AS _closes",
+        ).selectExpr(
+            "inline(array(struct(_opens AS _us, 1 AS _in, 0 AS _out), "
+            "struct(_closes AS _us, 0 AS _in, 1 AS _out)))"
+        ).where("_us IS NOT NULL").groupBy("_us").agg(
+            F.sum("_in").alias(f"_start_{h}"), F.sum("_out").alias(f"_end_{h}"))
     return out
 
 
@@ -98,36 +92,29 @@ def trailing_activity(events: DataFrame, horizons: dict[str, int] = HORIZONS, co
     points = events.where(us.isNotNull()).select(us.alias("_us"), F.col(user).alias("_user"))
     stamps = points.groupBy("_us").agg(F.count("*").alias("_n"))
     moves, changes, inside, total = [stamps], [], {}, {}
-    in_cell = W.partitionBy("_cell").orderBy("_us")
-
-    def entered(c: str) -> Column:
-        return F.coalesce(F.sum(c).over(_up_to(in_cell, 0)), _zero())
-
-    def left(c: str) -> Column:
-        return F.coalesce(F.sum(c).over(_up_to(in_cell, -1)), _zero())
-
+    w = W.partitionBy("_cell").orderBy("_us")
     if counts:
-        moves = [stamps.select(F.explode(F.array(
-            F.struct(F.col("_us"), F.col("_n"), *[_zero().alias(f"_out_{h}") for h in horizons]),
-            *[F.struct((F.col("_us") + s * SECOND).alias("_us"), _zero().alias("_n"),
-                       *[(F.col("_n") if g == h else _zero()).alias(f"_out_{g}") for g in horizons])
-              for h, s in horizons.items()])).alias("_m")).select("_m.*")]
+        leaves = [(s * SECOND, [f"{'_n' if g == h else '0L'} AS _out_{g}" for g in horizons])
+                  for h, s in horizons.items()]
+        moves = [stamps.selectExpr("inline(array({}))".format(", ".join(
+            [f"struct(_us, _n, {', '.join(f'0L AS _out_{g}' for g in horizons)})"]
+            + [f"struct(_us + {s} AS _us, 0L AS _n, {', '.join(out)})" for s, out in leaves])))]
         for h in horizons:
-            inside[f"events_{h}"] = entered("_n") - left(f"_out_{h}")
-            total[f"events_{h}"] = F.col(f"events_{h}") + F.col(f"_whole_{h}")
+            inside[f"events_{h}"] = _so_far("_n", w, 0) - _so_far(f"_out_{h}", w, -1)
+            total[f"events_{h}"] = f"_whole_{h}"
     if users:
         for h, edges in _presence(points, horizons).items():
             moves.append(edges)
             changes.append(edges.groupBy(cell("_us", size).alias("_cell")).agg(
-                (F.sum(f"_start_{h}") - F.sum(f"_end_{h}")).alias(f"_there_{h}")))
-            inside[f"unique_users_{h}"] = entered(f"_start_{h}") - left(f"_end_{h}")
-            total[f"unique_users_{h}"] = F.col(f"unique_users_{h}") + F.col(f"_there_{h}")
+                F.expr(f"sum(_start_{h}) - sum(_end_{h}) AS _there_{h}")))
+            inside[f"unique_users_{h}"] = _so_far(f"_start_{h}", w, 0) - _so_far(f"_end_{h}", w, -1)
+            total[f"unique_users_{h}"] = f"_there_{h}"
     at = (
         reduce(lambda a, d: a.unionByName(d, allowMissingColumns=True), moves)
         .withColumn("_cell", cell("_us", size))
         .withColumns(inside).where("_n > 0")
         .join(_cells(points, changes, horizons, size, counts), "_cell", "left")
-        .withColumns(total).select("_us", "_n", *total)
+        .selectExpr("_us", "_n", *[f"{c} + {before} AS {c}" for c, before in total.items()])
     )
     return attach(events.withColumn("_us", us), at, ["_us"], "_n", [event_id],
                   sizes=stamps).drop("_us", "_n")
@@ -151,52 +138,47 @@ def bursts(events: DataFrame, span_seconds: int = 60, factor: int = 3, history:
     own = events.withColumn("_us", micros(ts)).withColumn("_cell", cell("_us", size))
 
     counts = own.groupBy(*keys).agg(F.count("*").alias("_n"))
-    whole = counts.withColumn("_whole", _span_sum(
-        "_n", W.partitionBy(user).orderBy("_cell"), -span, -size)).drop("_n")
+    whole = counts.select(*keys, _span_sum(
+        "_n", W.partitionBy(user).orderBy("_cell"), -span, -size).alias("_whole"))
     leaving = own.select(user, (F.col("_us") + span).alias("_us"),
                          (F.col("_cell") + span).alias("_cell"), F.lit(1).alias("_out"))
     order = W.partitionBy(*keys).orderBy("_us")
+    rows = W.partitionBy(*keys).orderBy("_us", event_id)
     counted = (
         own.withColumn("_out", F.lit(0))
         .unionByName(leaving, allowMissingColumns=True)
-        .withColumns({
-            "_in": F.sum(1 - F.col("_out")).over(_up_to(order, 0)),
-            "_gone": F.coalesce(F.sum("_out").over(_up_to(order, -1)), _zero()),
-        })
+        # One sort serves both windows below.
+        .repartition(*keys).sortWithinPartitions(*keys, "_us", event_id)
+        .withColumn("_inside", _so_far("1 - _out", order, 0) - _so_far("_out", order, -1))
         .where("_out = 0")
         .join(whole, keys, "left")
-        .withColumn("current_events", F.col("_in") + F.col("_whole") - F.col("_gone"))
-        .drop("_out", "_in", "_gone", "_whole")
+        .withColumn("current_events", F.col("_inside") + F.col("_whole"))
+        .drop("_out", "_inside", "_whole")
+        .withColumns({
+            "_sum": F.coalesce(F.sum("current_events").over(rows.rowsBetween(-history, -1)),
+                               F.expr("0L")),
+            "_prev": F.count("current_events").over(rows.rowsBetween(-history, -1)),
+            "_late": F.lead(F.lit(1), history).over(rows).isNull(),
+        })
     )
-
-    newest = W.partitionBy(*keys).orderBy(F.col("_us").desc(), F.col(event_id).desc())
     tails = (
-        counted.select(*keys, "_us", event_id, "current_events")
-        .withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= history)
-        .groupBy(*keys)
+        counted.where("_late").groupBy(*keys)
         .agg(F.sort_array(F.collect_list(F.struct("_us", event_id, "current_events")))
              .alias("_tail"))
-        .withColumn("_halo", F.slice(F.reverse(F.flatten(F.collect_list("_tail").over(
-            W.partitionBy(user).orderBy("_cell").rowsBetween(-history, -1)))), 1, history))
-        .select(*keys, F.col("_halo.current_events").alias("_halo"))
+        .withColumn("_before", F.flatten(F.collect_list("_tail").over(
+            W.partitionBy(user).orderBy("_cell").rowsBetween(-history, -1))))
+        .selectExpr(user, "_cell", f"slice(reverse(_before.current_events), 1, {history}) AS _halo")
     )
-    previous = W.partitionBy(*keys).orderBy("_us", event_id).rowsBetween(-history, -1)
-    total = F.aggregate("_take", _zero(), lambda a, x: a + x)
     return (
-        counted.withColumns({
-            "_sum": F.coalesce(F.sum("current_events").over(previous), _zero()),
-            "_prev": F.count("current_events").over(previous),
-        })
-        .join(tails, keys, "left")
-        .withColumn("_take", F.slice("_halo", F.lit(1), (F.lit(history) - F.col("_prev")).cast("int")))
+        counted.drop("_late").join(tails, keys, "left")
+        .withColumn("_take", F.expr(f"slice(_halo, 1, cast({history} - _prev AS int))"))
         .withColumns({
-            "_sum": F.col("_sum") + total,
-            "_prev": F.col("_prev") + F.size("_take"),
+            "_sum": F.expr("_sum + aggregate(_take, 0L, (a, x) -> a + x)"),
+            "_prev": F.expr("_prev + size(_take)"),
         })
         .withColumns({
-            "avg_events": F.col("_sum").cast("double") / F.nullif(F.col("_prev"), _zero()),
-            "is_anomaly": (F.col("_prev") > 0)
-            & (F.col("current_events") * F.col("_prev") > F.lit(factor) * F.col("_sum")),
+            "avg_events": F.expr("cast(_sum AS double) / nullif(_prev, 0L)"),
+            "is_anomaly": F.expr(f"_prev > 0 AND current_events * _prev > {factor} * _sum"),
         })
         .drop("_us", "_cell", "_sum", "_prev", "_halo", "_take")
     )

@@ -1,4 +1,4 @@
-"""Complete jobs: the event pipeline and the batch report."""
+"""Complete jobs: processed events and the batch report."""
 
 from __future__ import annotations
 

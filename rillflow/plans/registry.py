@@ -5,11 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructType
 
-from ..functions.timefn import zoneless
+from ..functions.timefn import between, zoneless
 from ..operators import aggregates as A, enrich as E, metrics as M, product as P, quality as Q
 from ..operators import running as R, sessions as S, trailing as TR
 from ..operators.transforms import apply_all
@@ -129,22 +130,32 @@ def _(spark, folder):
     return topics.to_envelope(rows, "user_id")
 
 
+_RECORD = StructType().add("id", "long").add("event_type", "string").add("value", "double")
+HANDLERS = {
+    "user_events": lambda d: topics.parse_json(d, _RECORD).select(
+        E.value_band(F.col("value")).alias("label")),
+    "analytics_events": lambda d: topics.parse_json(d, _RECORD).select(
+        F.col("event_type").alias("label")),
+}
+
+
+def _records(events: DataFrame) -> DataFrame:
+    """Events as records of two topics."""
+    kind = F.get_json_object("value", "$.event_type")
+    return topics.to_envelope(events.select("id", "event_type", "value"), "id").withColumn(
+        "topic", F.when(kind == "error", "analytics_events").otherwise("user_events"))
+
+
+def _by_topic(results: dict[str, DataFrame]) -> DataFrame:
+    """Rows per label and topic of the handlers' results."""
+    parts = [d.select("label", F.lit(t).alias("topic")) for t, d in results.items()]
+    return reduce(DataFrame.unionByName, parts).groupBy("label", "topic").agg(
+        F.count("*").alias("n"))
+
+
 @query("topic_handlers")
 def _(spark, folder):
-    """Two topics through their handlers: value bands of events, 5-minute rollups of metrics."""
-    records = topics.to_envelope(
-        _events(spark, folder).select("id", "event_type", "value"), "id",
-    ).withColumn("topic", F.when(F.get_json_object("value", "$.event_type") == "error",
-                                 "analytics_events").otherwise("user_events"))
-    schema = StructType().add("id", "long").add("event_type", "string").add("value", "double")
-    done = topics.route(records, {
-        "user_events": lambda d: topics.parse_json(d, schema).groupBy(
-            E.value_band(F.col("value")).alias("label")).agg(F.count("*").alias("n")),
-        "analytics_events": lambda d: topics.parse_json(d, schema).groupBy(
-            F.col("event_type").alias("label")).agg(F.count("*").alias("n")),
-    })
-    return done["user_events"].withColumn("topic", F.lit("user_events")).unionByName(
-        done["analytics_events"].withColumn("topic", F.lit("analytics_events")))
+    return _by_topic(topics.route(_records(_events(spark, folder)), HANDLERS))
 
 
 # ---- joins ------------------------------------------------------------------------------------
@@ -190,6 +201,8 @@ _simple("funnel", lambda e: P.funnel(e, AS_OF, FUNNEL_STEPS))
 _simple("event_statistics", A.event_statistics)
 _simple("event_type_counts", jobs.type_counts)
 _simple("kpis", lambda e: A.kpis(e, AS_OF, CENTS))
+_simple("kpis_between", lambda e: A.kpis(between(
+    e, "timestamp", "2024-01-10 00:00:00", "2024-01-17 00:00:00"), "2024-01-17 00:00:00", CENTS))
 _simple("user_zscore", lambda e: A.user_zscore(e, CENTS))
 _simple("top_event_types", lambda e: A.value_counts(e, "event_type", 5))
 _simple("country_distribution", lambda e: A.value_counts(e, "country", 10), customers=True)
@@ -392,6 +405,16 @@ def _(spark, folder):
     return spark.read.parquet(f"{out}/rows")
 
 
+@query("stream_topics")
+def _(spark, folder):
+    """Two topics of one stream, each through its handler to its own sink."""
+    out = _fresh(spark, "stream")
+    sinks = {topic: io.changed_rows(f"{out}/{topic}") for topic in HANDLERS}
+    io.finish(io.for_each(_records(_stream(spark, folder)), jobs.routed(HANDLERS, sinks),
+                          f"{out}/cp", trigger_seconds=None))
+    return _by_topic({topic: spark.read.parquet(f"{out}/{topic}") for topic in HANDLERS})
+
+
 @query("stream_metric_change")
 def _(spark, folder):
     out = _fresh(spark, "stream")

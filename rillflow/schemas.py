@@ -74,14 +74,9 @@ MAX_LENGTH = {
     "device_type": 20, "browser": 50, "country": 10,
 }
 
-# The event types and metric names of the model.
+# The event types of the model.
 EVENT_TYPES = [
     "page_view", "click", "scroll", "video_play", "video_pause", "video_complete", "search",
     "purchase", "add_to_cart", "remove_from_cart", "login", "logout", "signup", "share",
     "like", "comment", "follow",
 ]
-METRIC_NAMES = [
-    "page_views", "unique_visitors", "bounce_rate", "session_duration", "conversion_rate",
-    "revenue", "cart_abandonment_rate", "search_queries", "video_completion_rate",
-    "social_shares", "user_engagement_score",
-]

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import Settings
+from ..functions.timefn import ago
 
 # Text formats would otherwise cut timestamps to milliseconds.
 TEXT_TIME = {
@@ -68,9 +69,7 @@ def snapshot(df: DataFrame, root: str, name: str, day: date) -> str:
 
 def expired(df: DataFrame, ts: str, as_of: str, days: int = 30) -> DataFrame:
     """Adds `expired`: older than `days` before `as_of`. Nothing is deleted here."""
-    kind = dict(df.dtypes)[ts]
-    limit = F.expr(f"cast('{as_of}' as {kind}) - interval {int(days)} days")
-    return df.withColumn("expired", F.col(ts) < limit)
+    return df.withColumn("expired", F.col(ts) < ago(df, ts, as_of, f"{int(days)} days"))
 
 
 def retention_counts(df: DataFrame, ts: str, as_of: str, days: int = 30) -> DataFrame:

@@ -111,9 +111,11 @@ def test_numbered_and_previous_equal_plain_windows(make_events):
 def test_attach_splits_hot_keys_and_keeps_every_row(make_events):
     e = make_events([(i, "bot" if i % 3 else f"u{i}") for i in range(300)])
     per_user = A.latest_country(e.withColumn("country", F.lit("X")))
-    got = attach(e, per_user, ["user_id"], "user_events", ["id"], parts=20, floor=10)
+    got = attach(e, per_user, ["user_id"], "user_events", ["id"], floor=10)
+    few = attach(e, per_user, ["user_id"], "user_events", ["id"], floor=1, listed=1)
     plain = e.join(per_user, "user_id", "left")
     assert rows_of(got, "id", "user_events") == rows_of(plain, "id", "user_events")
+    assert rows_of(few, "id", "user_events") == rows_of(plain, "id", "user_events")
     assert set(got.columns) == set(plain.columns)
 
 
