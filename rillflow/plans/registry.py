@@ -94,7 +94,7 @@ def _(spark, folder):
 def _(spark, folder):
     return warehouse.run_sql(
         spark,
-        "SELECT user_id, count(*) AS n FROM user_events "
+        "SELECT user_id, count(*) AS n FROM {user_events} "
         "WHERE event_type = :kind AND value >= :least GROUP BY user_id",
         {"kind": "purchase", "least": 10.0}, {"user_events": _events(spark, folder)})
 
@@ -308,10 +308,10 @@ query("partition_memory")(lambda s, f: Q.partition_skew(Q.partition_memory(
 @query("matview")
 def _(spark, folder):
     """Daily totals stored behind a view, refreshed once by a query over the same events."""
-    _events(spark, folder).createOrReplaceTempView("matview_events")
     view = warehouse.MaterializedView(
         spark, f"daily_totals_{uuid.uuid4().hex[:8]}",
-        "SELECT to_date(timestamp) AS day, event_type, count(*) AS n FROM matview_events GROUP BY ALL")
+        "SELECT to_date(timestamp) AS day, event_type, count(*) AS n FROM {events} GROUP BY ALL",
+        {"events": _events(spark, folder)})
     return view.create().refresh().read()
 
 

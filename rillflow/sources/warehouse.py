@@ -29,11 +29,12 @@ def append_warehouse(df: DataFrame, table: str, bigquery: bool = False) -> None:
 
 
 def run_sql(spark: SparkSession, query: str, params: dict | None = None,
-            views: dict[str, DataFrame] | None = None) -> DataFrame:
-    """A query with named parameters over views. Errors are raised, not turned into no rows."""
-    for name, df in (views or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(query, args=params or {})
+            frames: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A query over catalog tables and, as {name}, given frames, with :named parameters.
+
+    Errors are raised, not turned into no rows.
+    """
+    return spark.sql(query, args=params or {}, **(frames or {}))
 
 
 def create_table(spark: SparkSession, name: str, schema: StructType) -> None:
@@ -56,8 +57,9 @@ class MaterializedView:
     never see a half-written table and the query may read the view it refreshes.
     """
 
-    def __init__(self, spark: SparkSession, name: str, query: str):
-        self.spark, self.name, self.query = spark, name, query
+    def __init__(self, spark: SparkSession, name: str, query: str,
+                 frames: dict[str, DataFrame] | None = None):
+        self.spark, self.name, self.query, self.frames = spark, name, query, frames
 
     def create(self) -> "MaterializedView":
         if not self.spark.catalog.tableExists(self.name):
@@ -67,7 +69,7 @@ class MaterializedView:
     def refresh(self) -> "MaterializedView":
         version = f"{self.name}__{uuid.uuid4().hex[:12]}"
         folder = f"{shared_dir(self.spark)}/matview/{version}"
-        self.spark.sql(self.query).write.option("path", folder).saveAsTable(version)
+        run_sql(self.spark, self.query, frames=self.frames).write.option("path", folder).saveAsTable(version)
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} AS SELECT * FROM {version}")
         return self
 

@@ -90,7 +90,7 @@ def test_partitioned_copy_prunes(spark, make_events, tmp_path):
 
 def test_sql_parameters_and_errors(spark, make_events):
     e = make_events([(0, "a"), (1, "b")])
-    got = warehouse.run_sql(spark, "select id from ev where user_id = :u", {"u": "b"}, {"ev": e})
+    got = warehouse.run_sql(spark, "select id from {ev} where user_id = :u", {"u": "b"}, {"ev": e})
     assert rows_of(got, "id") == [(1,)]
     with pytest.raises(PySparkException):
         warehouse.run_sql(spark, "select nothing from nowhere").collect()
