@@ -61,37 +61,52 @@ def session_analytics(events: DataFrame, scale: int | None = None) -> DataFrame:
     })
 
 
-def _hours(per_hour: DataFrame) -> DataFrame:
-    """Every hour between the first and the last one present."""
-    return per_hour.agg(F.min("hour").alias("lo"), F.max("hour").alias("hi")).where(
-        "lo is not null"
-    ).select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 hour"))).alias("hour"))
+def _with_empty_hours(per_hour: DataFrame) -> DataFrame:
+    """Adds the hours that are missing between two rows, with null values.
+
+    Each row produces the hours up to the next one; the window has one row per hour.
+    """
+    hour = F.expr("interval 1 hour")
+    until = F.coalesce(F.lead("hour").over(W.partitionBy().orderBy("hour")) - hour, F.col("hour"))
+    values = [c for c in per_hour.columns if c != "hour"]
+    return per_hour.withColumn("_until", until).withColumn(
+        "_at", F.explode(F.sequence("hour", "_until", hour))
+    ).select(F.col("_at").alias("hour"),
+             *[F.when(F.col("_at") == F.col("hour"), F.col(c)).alias(c) for c in values])
 
 
 def hourly_resample(events: DataFrame, scale: int | None = None) -> DataFrame:
-    """One row per hour, empty hours included (count 0, sum 0, mean null, type 'None')."""
+    """One row per hour, empty hours included (count 0, sum 0, mean null, type 'None').
+
+    Sums and the usual type come from counts per (hour, type); ties go to the smaller type.
+    """
     e = events.withColumn("hour", F.date_trunc("hour", "timestamp"))
-    v = F.col("value")
-    per_hour = e.groupBy("hour").agg(
-        exact_sum(v, scale).alias("value_sum"),
-        exact_mean(v, scale).alias("value_mean"),
-        F.count(v).alias("value_count"),
+    v, kind = F.col("value"), F.col("event_type")
+    unit = v if scale is None else units(v, scale)
+    usual = F.min(F.when(kind.isNotNull(), F.struct((-F.col("_n")).alias("n"), kind.alias("t"))))
+    size = F.lit(1.0 if scale is None else float(10 ** scale))
+    total, count = F.sum("_s").cast("double"), F.sum("_c")
+    per_hour = e.groupBy("hour", "event_type").agg(
+        F.sum(unit).alias("_s"), F.count(v).alias("_c"), F.count("*").alias("_n"),
+    ).groupBy("hour").agg(
+        (total / size).alias("value_sum"),
+        (total / F.nullif(count, F.expr("0L")) / size).alias("value_mean"),
+        count.alias("value_count"),
+        usual.getField("t").alias("event_type_mode"),
+    )
+    who = e.groupBy("hour").agg(
         F.countDistinct("user_id").alias("user_id_nunique"),
         F.countDistinct("session_id").alias("session_id_nunique"),
     )
-    usual = most_common(e, ["hour"], "event_type", "event_type_mode")
-    return (
-        _hours(e.groupBy("hour").count())
-        .join(per_hour, "hour", "left").join(usual, "hour", "left")
-        .fillna({"value_sum": 0.0, "value_count": 0, "user_id_nunique": 0,
-                 "session_id_nunique": 0, "event_type_mode": "None"})
-    )
+    return _with_empty_hours(per_hour.join(who, "hour")).fillna({
+        "value_sum": 0.0, "value_count": 0, "user_id_nunique": 0, "session_id_nunique": 0,
+        "event_type_mode": "None"})
 
 
 def rolling_24h(events: DataFrame, scale: int | None = None, hours: int = 24) -> DataFrame:
     """hourly_resample with rolling means over `hours` rows. Its input is one row per hour."""
     hourly = hourly_resample(events, scale)
-    w = W.orderBy("hour").rowsBetween(1 - hours, 0)
+    w = W.partitionBy().orderBy("hour").rowsBetween(1 - hours, 0)
     total = F.col("value_sum")
     mean = F.avg(total).over(w) if scale is None else (
         F.sum(units(total, scale)).over(w).cast("double")
@@ -106,7 +121,7 @@ def rolling_24h(events: DataFrame, scale: int | None = None, hours: int = 24) ->
 def resample_sum(events: DataFrame, scale: int | None = None) -> DataFrame:
     per_hour = events.groupBy(F.date_trunc("hour", "timestamp").alias("hour")).agg(
         exact_sum(F.col("value"), scale).alias("value_sum"))
-    return _hours(per_hour).join(per_hour, "hour", "left").fillna({"value_sum": 0.0})
+    return _with_empty_hours(per_hour).fillna({"value_sum": 0.0})
 
 
 def sum_by_user(events: DataFrame, scale: int | None = None) -> DataFrame:

@@ -30,21 +30,25 @@ def _long_form(df: DataFrame, columns: list[str]) -> DataFrame:
 def column_profile(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
     """Per column: rows, nulls, distinct values, smallest and largest value (as text).
 
-    The exact form counts rows per (column, value) first, so that columns with few values shrink
-    before the shuffle and columns with many are spread over all tasks.
+    The approximate form is one wide aggregate. The exact form counts rows per (column, value)
+    first, so that columns with few values shrink before the shuffle and columns with many are
+    spread over all tasks; the columns are then told apart by conditions instead of a grouping,
+    which would sort all values by column.
     """
-    if not exact:
-        return _long_form(df, columns).groupBy("column_name").agg(
-            F.count("*").alias("rows"), F.count_if(F.col("value").isNull()).alias("nulls"),
-            F.approx_count_distinct("value").alias("distinct_values"),
-            F.min("value").alias("min_value"), F.max("value").alias("max_value"))
-    n = _long_form(df, columns).groupBy("column_name", "value").agg(F.count("*").alias("n"))
-    return n.groupBy("column_name").agg(
-        F.sum("n").alias("rows"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))),
-                   F.lit(0).cast("long")).alias("nulls"),
-        F.count("value").alias("distinct_values"),
-        F.min("value").alias("min_value"), F.max("value").alias("max_value"))
+    if exact:
+        df = _long_form(df, columns).groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    facts = []
+    for c in columns:
+        mine = F.col("column_name") == c if exact else F.lit(True)
+        value = F.when(mine, F.col("value")) if exact else F.col(c).cast("string")
+        weight = F.when(mine, F.col("n")) if exact else F.lit(1)
+        facts.append(F.struct(
+            F.lit(c).alias("column_name"),
+            F.coalesce(F.sum(weight), F.expr("0L")).alias("rows"),
+            F.coalesce(F.sum(F.when(value.isNull(), weight)), F.expr("0L")).alias("nulls"),
+            (F.count(value) if exact else F.approx_count_distinct(value)).alias("distinct_values"),
+            F.min(value).alias("min_value"), F.max(value).alias("max_value")))
+    return df.agg(F.array(*facts).alias("c")).select(F.inline("c"))
 
 
 def top_values(df: DataFrame, columns: list[str], top: int = 10) -> DataFrame:
