@@ -1,7 +1,7 @@
 """Sources, sinks and catalog tables."""
 
 import json
-from datetime import date, timedelta
+from datetime import date
 
 import pytest
 from pyspark.errors import PySparkException
@@ -83,9 +83,8 @@ def test_partitioned_copy_prunes(spark, make_events, tmp_path):
     e = make_events([(i * 3600, "a") for i in range(72)])
     warehouse.write_partitioned(e, str(tmp_path / "p"), "timestamp")
     day = spark.read.parquet(str(tmp_path / "p")).where("event_date = date'2024-01-02'")
-    assert "PartitionFilters: [isnotnull(event_date" in plan(day).replace("#", "") or (
-        "PartitionFilters" in plan(day))
-    assert day.count() == 24 and len(day.inputFiles()) < 72
+    assert "PartitionFilters: [isnotnull(event_date" in plan(day)
+    assert day.count() == 24
 
 
 def test_sql_parameters_and_errors(spark, make_events):
@@ -195,4 +194,3 @@ def test_no_pairwise_joins_and_no_python_in_built_in_queries(spark):
 def test_model_joins_only_what_is_asked_for(spark):
     assert "Join" not in plan(model.user_events(spark, SF))
     assert plan(model.user_events(spark, SF, pages=True)).count("Join") == 1
-    assert T0 + timedelta(0) == T0
