@@ -178,7 +178,8 @@ def bursts(events: DataFrame, span_seconds: int = 60, factor: int = 3, history:
         })
         .withColumns({
             "avg_events": F.expr("cast(_sum AS double) / nullif(_prev, 0L)"),
-            "is_anomaly": F.expr(f"_prev > 0 AND current_events * _prev > {factor} * _sum"),
+            "is_anomaly": F.expr(
+                f"coalesce(_prev > 0 AND current_events * _prev > {factor} * _sum, false)"),
         })
         .drop("_us", "_cell", "_sum", "_prev", "_halo", "_take")
     )

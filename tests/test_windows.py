@@ -97,6 +97,13 @@ def test_default_burst_is_flagged(make_events):
     assert not any(f for i, f in flags if i < 11) and any(f for i, f in flags if i >= 11)
 
 
+def test_rows_without_user_are_kept(make_events):
+    e = make_events([(0, None), (1, None), (1, "a")])
+    assert rows_of(bursts(e), "id", "is_anomaly") == [(0, False), (1, False), (2, False)]
+    got = {r.id: r.n for r in numbered(e, ["user_id"], "timestamp", "id", "n").collect()}
+    assert got == {0: None, 1: None, 2: 1}
+
+
 def test_numbered_and_previous_equal_plain_windows(make_events):
     rnd = random.Random(5)
     e = make_events([(rnd.choice([rnd.uniform(0, 600), 60, 61]), "hot" if rnd.random() < .5 else "b",
