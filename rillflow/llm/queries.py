@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.llm.common import table
+from rillflow.llm.jaccard_join import jaccard_components
 from rillflow.llm.mixing import mix
 from rillflow.llm.order_minhash import fingerprints
 from rillflow.llm.packing import pack
@@ -13,6 +14,10 @@ from rillflow.llm.quality_rules import clean_lines
 from rillflow.llm.url_filter import judge_urls
 
 
+def op3_set_relation_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(table(spark, folder, "documents"), size=3, percent=90)
+
+
 def op4_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints(table(spark, folder, "documents"))
 
@@ -43,5 +48,5 @@ def op10_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_order_minhash, op6_fair_mix, op7_sum_of_squares_packing, op8_line_first_cleaning,
+    op3_set_relation_join, op4_order_minhash, op6_fair_mix, op7_sum_of_squares_packing, op8_line_first_cleaning,
     op10_host_reputation)}
