@@ -128,10 +128,12 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     same = filled.select("doc_id", "sig").join(classes, "sig").select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     one = classes.select(F.col("rep").alias("doc_id"), "sig")
-    entries = (filled.join(one, ["doc_id", "sig"]).select(F.col("doc_id").alias("x"), F.explode("keys").alias("key")))
-    lists = (entries.groupBy("key").agg(F.min("x").alias("first"), F.max("x").alias("last"), F.count("*").alias("many"))
-             .where("first < last"))
-    member = stored(entries.join(lists, "key").groupBy("x", "first").agg(F.sum("many").alias("many")), "lists")
+    # one exchange by key serves the lists and the join with them; a list has a class once, out of
+    # the many keys a set has, so no list is a large part of the rows
+    entries = (filled.join(one, ["doc_id", "sig"]).select(F.col("doc_id").alias("x"), F.explode("keys").alias("key"))
+               .repartition("key"))
+    lists = entries.groupBy("key").agg(F.min("x").alias("first"), F.max("x").alias("last")).where("first < last")
+    member = stored(entries.join(lists, "key").groupBy("x", "first").agg(F.count("*").alias("many")), "lists")
     groups = components(member.select(F.col("x").alias("a"), F.col("first").alias("b")))
     groups = stored(groups.select(F.col("id").alias("x"), F.col("component").alias("g")), "groups")
     weight = member.groupBy("x").agg(F.sum("many").alias("many"))

@@ -109,10 +109,10 @@ class Block:
         self.doc_ids, self.n_tokens, train, self.has_id = expand(row["docs"])
         self.words, self.tokens = expand(row["tokens"])
         self.n_tokens = self.n_tokens.astype(np.int64)
-        self.doc = np.repeat(np.arange(len(self.n_tokens)), self.n_tokens)
+        self.doc = np.repeat(np.arange(len(self.n_tokens), dtype=np.int32), self.n_tokens)
         self.train = np.repeat(train.astype(bool), self.n_tokens)
         first = np.concatenate([[0], np.cumsum(self.n_tokens)[:-1]])
-        self.place = np.arange(len(self.tokens)) - first[self.doc]
+        self.place = (np.arange(len(self.tokens)) - first[self.doc]).astype(np.int32)
         self.gram = self.tokens.astype(np.int64)  # place of each token's n-gram in the list of its order
         self.p = None
 
@@ -309,7 +309,7 @@ def _replayed(row, answers: pd.DataFrame, levels: list[Level], upto: int) -> tup
 
 
 def score(docs: DataFrame, order: int = 2, held_out: int = 1, folds: int = 5,
-          block_tokens: int = 4_000_000, bucket_tokens: int = 2_000_000) -> DataFrame:
+          block_tokens: int = 1_500_000, bucket_tokens: int = 2_000_000) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document.
 
     The model learns from documents whose crc32(doc_id as text) mod `folds` is not `held_out`

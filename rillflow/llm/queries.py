@@ -13,6 +13,7 @@ from rillflow.llm.line_dedup import dedup_lines
 from rillflow.llm.mixing import mix
 from rillflow.llm.order_minhash import fingerprints
 from rillflow.llm.packing import pack
+from rillflow.llm.pii import find
 from rillflow.llm.quality_rules import clean_lines
 from rillflow.llm.url_filter import judge_urls
 
@@ -21,6 +22,10 @@ def op1_katz_backoff(spark: SparkSession, folder: str) -> DataFrame:
     return score(table(spark, folder, "documents"))
 
 
+def op2_skip_chain_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return find(table(spark, folder, "documents"))
+
+
 def op3_set_relation_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"), size=3, percent=90)
 
@@ -88,5 +93,6 @@ def op10_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_katz_backoff, op3_set_relation_join, op4_order_minhash, op5_winnowed_lines, op6_fair_mix, op7_sum_of_squares_packing, op8_line_first_cleaning,
+    op1_katz_backoff, op2_skip_chain_pii, op3_set_relation_join, op4_order_minhash,
+    op5_winnowed_lines, op6_fair_mix, op7_sum_of_squares_packing, op8_line_first_cleaning,
     op9_transcript_roles, op10_host_reputation)}
