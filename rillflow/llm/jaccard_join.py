@@ -128,9 +128,10 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     same = filled.select("doc_id", "sig").join(classes, "sig").select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     one = classes.select(F.col("rep").alias("doc_id"), "sig")
+    # classes and members grow with the corpus, so their joins are merge joins at every size;
     # one exchange by key serves the lists and the join with them; a list has a class once, out of
     # the many keys a set has, so no list is a large part of the rows
-    entries = (filled.join(one, ["doc_id", "sig"]).select(F.col("doc_id").alias("x"), F.explode("keys").alias("key"))
+    entries = (filled.join(one.hint("merge"), ["doc_id", "sig"]).select(F.col("doc_id").alias("x"), F.explode("keys").alias("key"))
                .repartition("key"))
     lists = entries.groupBy("key").agg(F.min("x").alias("first"), F.max("x").alias("last")).where("first < last")
     member = stored(entries.join(lists, "key").groupBy("x", "first").agg(F.count("*").alias("many")), "lists")
@@ -141,7 +142,7 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
              .agg(F.max(F.struct("many", (-F.col("x")).alias("neg"))).alias("top"))
              .select("g", (-F.col("top.neg")).alias("lead")))
     whole = parts.groupBy("doc_id").agg(F.min("text").alias("text")) if _repeats(seen) else parts
-    with_text = stored(groups.join(whole, groups.x == whole.doc_id).select("g", "x", "text"), "members")
+    with_text = stored(groups.hint("merge").join(whole, groups.x == whole.doc_id).select("g", "x", "text"), "members")
     lead_text = (leads.join(with_text.withColumnRenamed("x", "lead"), ["g", "lead"])
                  .select("g", "lead", F.col("text").alias("lead_text")))
     state = stored(with_text.join(lead_text, "g").mapInArrow(
