@@ -181,12 +181,10 @@ def _sends(block: Block, order: int, levels: list[Level], ids: list[np.ndarray])
     ctx, word, gram, has = block.keys(order, ids)
     level = levels[order - 1]
     n = block.counts(gram, len(word))
-    if order == 1:
-        lower = np.zeros(len(word))
-    else:
+    lower = np.zeros(len(word), np.int64 if order == 2 else float)
+    if order > 1:
         t = np.flatnonzero(has)
-        lower = np.zeros(len(word))
-        lower[gram[t]] = block.p[t]
+        lower[gram[t]] = (block.known if order == 2 else block.p)[t]
     to = bucket_of(order, ctx, word, level.buckets, level.split)
     order_ = np.lexsort((word, ctx, to))
     cuts = np.searchsorted(to[order_], np.arange(level.buckets + 1))
@@ -194,7 +192,8 @@ def _sends(block: Block, order: int, levels: list[Level], ids: list[np.ndarray])
         at = order_[cuts[b]:cuts[b + 1]]
         if len(at):
             c, many = np.unique(ctx[at], return_counts=True)
-            yield b, block.id, squeeze(c, many, word[at], n[at], *codes(lower[at]))
+            sent = (lower[at],) if order == 2 else codes(lower[at])
+            yield b, block.id, squeeze(c, many, word[at], n[at], *sent)
 
 
 SENT = "bucket int, block long, blob binary"
@@ -215,15 +214,22 @@ def _later_sends(order: int, levels: list[Level]):
     return run
 
 
-def _add_up(order: int, level: Level):
-    """A bucket: totals, numbers and context statistics for the blocks that sent n-grams."""
+def _add_up(order: int, level: Level, words: Level):
+    """A bucket: totals, numbers and context statistics for the blocks that sent n-grams. For the
+    words of bigrams their counts were sent, which say the same as probabilities, but shorter."""
+
+    def lower_of(sent: list[np.ndarray]) -> np.ndarray:
+        if order != 2:
+            return sent[0][sent[1]]
+        zero = np.zeros(len(sent[0]), np.int64)
+        return probability(sent[0].astype(np.int64), words.split[0][None, :], zero, np.ones(len(zero)), words.discount)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         bucket, parts = int(pdf["bucket"].iloc[0]), []
         blocks = pdf["block"].to_numpy()
         for blob in pdf["blob"]:
-            c, many, w, n, values, at = expand(blob)
-            parts.append((np.repeat(c.astype(np.uint64), many), w.astype(np.uint64), n.astype(np.int64), values[at]))
+            c, many, w, n, *sent = expand(blob)
+            parts.append((np.repeat(c.astype(np.uint64), many), w.astype(np.uint64), n.astype(np.int64), lower_of(sent)))
         size = [len(p[1]) for p in parts]
         ctx, word, n, lower = (np.concatenate(x) for x in zip(*parts))
         by = np.lexsort((word, ctx))
@@ -341,7 +347,7 @@ def score(docs: DataFrame, order: int = 2, held_out: int = 1, folds: int = 5,
         else:
             sends = blocks.groupBy("block").cogroup(_all(tables).groupBy("block")).applyInPandas(
                 _later_sends(k, list(levels)), SENT)
-        answers = stored(sends.groupBy("bucket").applyInPandas(_add_up(k, level), ANSWER), f"ngrams_{k}")
+        answers = stored(sends.groupBy("bucket").applyInPandas(_add_up(k, level, levels[0]), ANSWER), f"ngrams_{k}")
         nums = [F.sum(F.col("nums")[i]).alias(str(i)) for i in range(K + 4)]
         totals = [x or 0 for x in answers.where("block = -1").agg(*nums).first()]
         level.discount = discounts([int(x) for x in totals[:K + 2]])
