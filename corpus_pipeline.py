@@ -20,8 +20,9 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go, the others lose their failing lines."""
-    kept = clean_lines(docs).where("kept")
+    """Rejected documents go, the others lose their failing lines. Rows are kept by exploding a
+    one-row array: a filter would be pushed below the counts and compute them several times."""
+    kept = clean_lines(docs).withColumn("row", F.explode(F.when(F.col("kept"), F.array(F.lit(1)))))
     return _documents(kept.withColumn("text", F.col("clean_text")))
 
 

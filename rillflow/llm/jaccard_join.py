@@ -20,9 +20,10 @@ prefix skip most of the rest. Copies of one text with edits of their own share h
 differences, so a group of any size makes few pairs.
 """
 
-from __future__ import annotations
+import uuid
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -30,9 +31,13 @@ from pyspark.sql import functions as F
 
 from rillflow.llm.common import stored
 from rillflow.llm.components import components
+from rillflow.llm.packed import expand, squeeze
 from rillflow.llm.shingles import mix, shingle_set
 
 
+BUCKET = 2_000_000  # index entries of a bucket, about
+
+
 def _most_differing(total: int, percent: int) -> int:
     return (100 - percent) * total // (100 + percent)
 
@@ -88,6 +93,41 @@ def _index(size: int, percent: int):
     return run
 
 
+def _deal(buckets: int):
+    """The (key, id) entries of a batch, dealt to buckets of keys and packed."""
+    def run(batches):
+        for batch in batches:
+            ids, lists = batch.column("doc_id").to_numpy(), batch.column("keys")
+            keys = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            x = np.repeat(ids, lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            order = np.argsort(keys)
+            keys, x = keys[order], x[order]
+            to = (keys // np.uint64(2**64 // buckets + 1)).astype(np.int64)
+            cuts = np.searchsorted(to, np.arange(buckets + 1))
+            full = np.flatnonzero(cuts[1:] > cuts[:-1])
+            low = int(ids.min()) if len(ids) else 0
+            blobs = [squeeze(np.array([low % 2**64], np.uint64), keys[cuts[b]:cuts[b + 1]], x[cuts[b]:cuts[b + 1]] - low) for b in full]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(full, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "entries"])
+    return run
+
+
+def _lists(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The index lists of a bucket with two sets or more: each member with the first one. A list
+    has a class once, out of the many keys of its set, so none is a large part of the entries."""
+    parts = [expand(e) for e in pdf["entries"]]
+    keys = np.concatenate([p[1].astype(np.uint64) for p in parts])
+    x = np.concatenate([p[2].astype(np.int64) + p[0].astype(np.uint64).view(np.int64)[0] for p in parts])
+    order = np.lexsort((x, keys))
+    keys, x = keys[order], x[order]
+    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    many = np.diff(np.append(start, len(keys)))
+    first = np.repeat(x[start], many)
+    shared = np.repeat(many > 1, many)
+    out = pd.DataFrame({"x": x[shared], "first": first[shared]})
+    return out.groupby(["x", "first"]).size().reset_index(name="many").astype("int64")
+
+
 def _differences(size: int):
     def run(batches):
         held, lead = None, None
@@ -122,19 +162,21 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     n_shingles and get a null component. Shingles are compared by 64-bit hashes.
     """
     parts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    seen = stored(parts.mapInArrow(_index(size, percent), "doc_id long, n long, sig binary, keys array<long>"), "sets")
+    # a table in buckets of ids, so that finding the class representatives does not move the keys
+    name, spread = f"sets_{uuid.uuid4().hex}", int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts.mapInArrow(_index(size, percent), "doc_id long, n long, sig binary, keys array<long>").write.bucketBy(
+        spread, "doc_id").saveAsTable(name)
+    seen = docs.sparkSession.table(name)
     filled = seen.where("n > 0 and doc_id is not null")
     classes = filled.groupBy("sig").agg(F.min("doc_id").alias("rep"))
     same = filled.select("doc_id", "sig").join(classes, "sig").select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    one = classes.select(F.col("rep").alias("doc_id"), "sig")
-    # classes and members grow with the corpus, so their joins are merge joins at every size;
-    # one exchange by key serves the lists and the join with them; a list has a class once, out of
-    # the many keys a set has, so no list is a large part of the rows
-    entries = (filled.join(one.hint("merge"), ["doc_id", "sig"]).select(F.col("doc_id").alias("x"), F.explode("keys").alias("key"))
-               .repartition("key"))
-    lists = entries.groupBy("key").agg(F.min("x").alias("first"), F.max("x").alias("last")).where("first < last")
-    member = stored(entries.join(lists, "key").groupBy("x", "first").agg(F.count("*").alias("many")), "lists")
+    one = classes.select(F.col("rep").alias("doc_id"), F.col("sig").alias("rep_sig"))
+    # classes and members grow with the corpus, so their joins are merge joins at every size
+    reps = filled.join(one.hint("merge"), "doc_id").where("sig = rep_sig")
+    buckets = max(1, (filled.agg(F.sum(F.size("keys"))).first()[0] or 0) // BUCKET)
+    sent = reps.select("doc_id", "keys").mapInArrow(_deal(buckets), "bucket int, entries binary")
+    member = stored(sent.groupBy("bucket").applyInPandas(_lists, "x long, first long, many long"), "lists")
     groups = components(member.select(F.col("x").alias("a"), F.col("first").alias("b")))
     groups = stored(groups.select(F.col("id").alias("x"), F.col("component").alias("g")), "groups")
     weight = member.groupBy("x").agg(F.sum("many").alias("many"))

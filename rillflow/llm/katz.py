@@ -9,7 +9,6 @@ discounts, backoff weight and probability. So n-grams travel once per order, aft
 counted inside a block, and texts never. The answers are tables partitioned by order.
 """
 
-import pickle
 import uuid
 import zlib
 from dataclasses import dataclass, field
@@ -17,12 +16,12 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.llm.common import stored
+from rillflow.llm.packed import expand, squeeze
 from rillflow.llm.shingles import mix, word_hashes
 
 K = 5  # counts above K are not discounted
@@ -30,26 +29,6 @@ END = np.uint64(0x5BD1E995_9D1B58D3)  # the hash of the end token
 STATS = K + 2  # of a context: n-grams seen 1 .. K times, the sum of the larger counts, backed-off mass
 
 
-def squeeze(*arrays: np.ndarray) -> bytes:
-    """Arrays as bytes: whole numbers in as few bytes as they need, bytes of equal rank together."""
-    out = []
-    for a in arrays:
-        if a.dtype.kind in "iu" and a.size:
-            a = a.astype(np.min_scalar_type(int(a.max())))
-        a = np.ascontiguousarray(a)
-        out.append((a.dtype.str, len(a), a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() if a.size else b""))
-    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(out))
-
-
-def expand(blob: bytes) -> list[np.ndarray]:
-    out = []
-    for kind, n, raw in pickle.loads(zstandard.ZstdDecompressor().decompress(blob)):
-        t = np.dtype(kind)
-        out.append(np.frombuffer(np.frombuffer(raw, np.uint8).reshape(t.itemsize, n).T.tobytes(), t)
-                   if n else np.zeros(0, t))
-    return out
-
-
 def codes(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Repeating numbers as a list of values and places in it."""
     values, at = np.unique(p, return_inverse=True)
