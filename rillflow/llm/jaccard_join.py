@@ -102,7 +102,7 @@ def _deal(buckets: int):
             x = np.repeat(ids, lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
             order = np.argsort(keys)
             keys, x = keys[order], x[order]
-            to = (keys // np.uint64(2**64 // buckets + 1)).astype(np.int64)
+            to = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             cuts = np.searchsorted(to, np.arange(buckets + 1))
             full = np.flatnonzero(cuts[1:] > cuts[:-1])
             low = int(ids.min()) if len(ids) else 0
