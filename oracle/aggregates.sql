@@ -193,14 +193,8 @@ SELECT column_name, value, n, CAST(position AS INTEGER) AS position,
 FROM ranked, (SELECT count(*) AS t FROM events) WHERE position <= 10
 
 -- name: order_correlation
-WITH r AS (
-  SELECT 'user_id' AS column_name, CAST(user_id AS HUGEINT) AS x, CAST(id AS HUGEINT) AS y FROM user_events UNION ALL
-  SELECT 'value', CAST(cents AS HUGEINT), CAST(id AS HUGEINT) FROM user_events),
-s AS (SELECT column_name, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * y) AS sxy, sum(x * x) AS sxx, sum(y * y) AS syy
-      FROM r GROUP BY column_name)
-SELECT column_name, CAST(n * sxy - sx * sy AS DOUBLE)
-       / (sqrt(CAST(n * sxx - sx * sx AS DOUBLE)) * sqrt(CAST(n * syy - sy * sy AS DOUBLE))) AS correlation
-FROM s
+SELECT 'user_id' AS column_name, round(corr(user_id, id), 6) AS correlation FROM user_events
+UNION ALL SELECT 'value', round(corr(value, id), 6) FROM user_events
 
 -- name: quality_scores
 WITH g AS (SELECT count(*) AS n FROM user_events),

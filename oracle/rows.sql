@@ -104,7 +104,8 @@ SELECT id, event_type, "timestamp", value FROM user_events
 SELECT id, event_type, "timestamp", value FROM user_events
 
 -- name: snapshot
-SELECT count(*) AS rows FROM events
+SELECT event_id, user_id, event_type, value FROM events
+
 
 -- name: matview
 SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2

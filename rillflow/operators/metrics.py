@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.numeric import exact_mean, exact_sum, mean_units, units
 from ..functions.timefn import MINUTE, cell, micros, since
-from .running import with_previous
-from .skew import attach
+from .running import same_keys, with_previous
 
 # Alert rule, threshold in parts per million (or plain units) and severity.
 ALERT_RULES = [
@@ -43,10 +42,10 @@ def newest(metrics: DataFrame, keep: int = 1000) -> DataFrame:
     )
     w = W.partitionBy("metric_name").orderBy(F.col("timestamp").desc(), F.col("id").desc())
     return (
-        attach(metrics, start, ["metric_name"], "_rows", ["id"])
+        same_keys(metrics, start.drop("_rows"), ["metric_name"])
         .where(at >= F.col("_from"))
         .withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= keep)
-        .drop("_rn", "_from", "_rows")
+        .drop("_rn", "_from")
     )
 
 

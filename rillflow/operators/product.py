@@ -16,18 +16,18 @@ def session_analysis(sessions: DataFrame, events: DataFrame, as_of: str,
                      page_view: str = "page_view", top: int = 5000) -> DataFrame:
     """Stored session figures next to those counted from the events; the `top` longest sessions.
 
-    Sessions without events drop out (the HAVING of the left join), so the events are aggregated
-    per session first and joined inner: the join sees one row per session on both sides.
+    Sessions without events drop out (the HAVING of the left join), so the events of the
+    recent sessions are aggregated per session first and joined inner: the join sees one row per session on both sides.
     """
-    found = events.groupBy("session_id").agg(
+    recent = since(sessions, "start_time", as_of, "7 days")
+    found = events.join(recent.select("session_id"), "session_id", "left_semi").groupBy("session_id").agg(
         F.count("id").alias("actual_events"),
         F.countDistinct("event_type").alias("event_types"),
         F.countDistinct("page_url").alias("pages_visited"),
         F.count_if(F.col("event_type") == page_view).alias("_pv"),
     ).where("actual_events > 0")
     return (
-        since(sessions, "start_time", as_of, "7 days")
-        .select("session_id", "user_id", "duration_seconds", "page_views", "unique_pages",
+        recent.select("session_id", "user_id", "duration_seconds", "page_views", "unique_pages",
                 "device_type", "country")
         .join(found, "session_id")
         .withColumn("page_view_ratio", F.col("_pv").cast("double") / F.col("actual_events"))

@@ -61,33 +61,26 @@ def top_values(df: DataFrame, columns: list[str], top: int = 10) -> DataFrame:
         F.col("position") <= top).withColumn("frequency_pct", pct2(F.col("n"), total))
 
 
-def order_correlation(df: DataFrame, columns: dict[str, int], order: str) -> DataFrame:
-    """Correlation of numeric columns with an ordering column (both as exact integers).
+def order_correlation(df: DataFrame, columns: list[str], order: str, decimals: int = 6) -> DataFrame:
+    """Correlation of numeric columns with an ordering column, rounded; null for constants.
 
-    `columns` maps a column to its number of decimals.
+    Values are taken from the column's minimum, exactly, and then in doubles by one-pass moments:
+    ids of any size and any number of rows neither overflow nor lose their small differences.
     """
-    wide = DecimalType(38, 0)
+    low = df.agg(*[F.min(c).alias(f"_{i}") for i, c in enumerate([order, *columns])]).first()
 
-    def exact(a: Column, b: Column) -> Column:
-        return F.sum((a.cast(DecimalType(19, 0)) * b.cast(DecimalType(19, 0))).cast(wide))
+    def above(c: str, m) -> Column:
+        if isinstance(m, int):
+            wide = DecimalType(38, 0)
+            return (F.col(c).cast(wide) - F.lit(m).cast(wide)).cast("double")
+        return F.col(c).cast("double") - F.lit(m).cast("double")
 
     rows = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), units(F.col(c), s).alias("x"),
-                 F.col(order).cast("long").alias("y")) for c, s in columns.items()])).alias("r")
-    ).select("r.*").where("x is not null and y is not null")
-    x, y = F.col("x"), F.col("y")
-    s = rows.groupBy("column_name").agg(
-        F.count("*").cast(DecimalType(19, 0)).alias("n"),
-        F.sum(x).cast(DecimalType(19, 0)).alias("sx"), F.sum(y).cast(DecimalType(19, 0)).alias("sy"),
-        exact(x, y).alias("sxy"), exact(x, x).alias("sxx"), exact(y, y).alias("syy"))
-
-    def gap(prod: str, a: str, b: str) -> Column:
-        return ((F.col("n") * F.col(prod)).cast(wide)
-                - (F.col(a) * F.col(b)).cast(wide)).cast("double")
-
-    width = F.sqrt(gap("sxx", "sx", "sx")) * F.sqrt(gap("syy", "sy", "sy"))
-    return s.select("column_name",
-                    (gap("sxy", "sx", "sy") / F.nullif(width, F.lit(0.0))).alias("correlation"))
+        F.struct(F.lit(c).alias("column_name"), above(c, m).alias("x"), above(order, low[0]).alias("y"))
+        for c, m in zip(columns, low[1:])])).alias("r")).select("r.*")
+    spread = F.stddev_pop("x") * F.stddev_pop("y")
+    return rows.where("x is not null and y is not null").groupBy("column_name").agg(
+        F.round(F.try_divide(F.covar_pop("x", "y"), spread), decimals).alias("correlation"))
 
 
 def grade(score: Column) -> Column:

@@ -284,7 +284,7 @@ query("health_alerts")(lambda s, f: M.alerts(M.health_measures(_health(s, f), "d
 PROFILED = ["user_id", "event_type", "value", "event_data"]
 _simple("column_profile", lambda e: Q.column_profile(e, PROFILED))
 _simple("column_top_values", lambda e: Q.top_values(e, PROFILED, 10))
-_simple("order_correlation", lambda e: Q.order_correlation(e, {"user_id": 0, "value": 2}, "id"))
+_simple("order_correlation", lambda e: Q.order_correlation(e, ["user_id", "value"], "id"))
 
 
 @query("quality_scores")
@@ -299,8 +299,6 @@ def _(spark, folder):
 
 query("partition_skew")(lambda s, f: Q.partition_skew(Q.partition_sizes(
     model.table(s, f, "events"))))
-query("partition_memory")(lambda s, f: Q.partition_skew(Q.partition_memory(
-    model.table(s, f, "events"))))
 
 
 # ---- tables and files -------------------------------------------------------------------------
@@ -325,7 +323,6 @@ def _(spark, folder):
         "event_date", "event_type").agg(F.count("*").alias("n"))
 
 
-query("file_inventory")(lambda s, f: files.file_inventory(s, f, "*.parquet"))
 _simple("retention_expired", lambda e: files.retention_counts(e, "timestamp", AS_OF, 14))
 
 
@@ -347,7 +344,7 @@ for _fmt in ("parquet", "json", "csv"):
 def _(spark, folder):
     root = _fresh(spark, "snapshots")
     path = files.snapshot(model.table(spark, folder, "events"), root, "events", date(2024, 1, 31))
-    return files.read_files(spark, path).agg(F.count("*").alias("rows"))
+    return files.read_files(spark, path).select("event_id", "user_id", "event_type", "value")
 
 
 # ---- streams ----------------------------------------------------------------------------------
@@ -356,8 +353,7 @@ _simple("sliding_counts", lambda e: jobs.sliding_counts(e))
 
 
 def _stream(spark, folder) -> DataFrame:
-    raw = io.file_stream(spark, folder, model.table(spark, folder, "events").schema,
-                         pattern="events.parquet")
+    raw = io.table_stream(spark, f"{folder}/events.parquet", model.table(spark, folder, "events").schema)
     return model.model_events(raw.withColumn("ts", F.col("ts").cast("timestamp")))
 
 
@@ -421,6 +417,6 @@ def _(spark, folder):
     rows = _stream(spark, folder).select(
         "id", F.col("event_type").alias("metric_name"), F.col("value").alias("metric_value"),
         "timestamp")
-    io.finish(io.for_each(rows, jobs.metric_changes(f"{out}/rows", f"{out}/state"), f"{out}/cp",
+    io.finish(io.for_each(rows, jobs.metric_changes(f"{out}/rows", f"{out}/state", f"{out}/late"), f"{out}/cp",
                           trigger_seconds=None))
     return spark.read.parquet(f"{out}/rows").drop("batch", "timestamp")

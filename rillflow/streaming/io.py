@@ -22,6 +22,23 @@ def file_stream(spark: SparkSession, folder: str, schema: StructType, fmt: str =
     return reader.load(folder)
 
 
+def table_stream(spark: SparkSession, path: str, schema: StructType,
+                 max_bytes: int | None = None) -> DataFrame:
+    """A Parquet table as a stream, whether it is one file or a folder of part files.
+
+    A missing path is an error, not an empty stream. `max_bytes` sizes the batches.
+    """
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    status = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at)
+    reader = spark.readStream.format("parquet").schema(schema)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
+    if status.isDirectory():
+        return reader.load(path)
+    return reader.option("pathGlobFilter", at.getName()).load(at.getParent().toString())
+
+
 def topic_files(spark: SparkSession, folder: str, topics: list[str],
                 max_files: int | None = None) -> DataFrame:
     """JSON files with the record envelope of a topic, for jobs without a broker."""

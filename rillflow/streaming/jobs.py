@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
@@ -80,14 +81,16 @@ def routed(handlers: dict[str, Handler],
     return handle
 
 
-def metric_changes(out: str, state: str, keep: int = 1000,
+def metric_changes(out: str, state: str, late: str, delay_seconds: int = 3600,
                    threshold: float = 20.0) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: change alerts across batches, with the newest rows kept as state.
-
-    The state is a table of at most `keep` rows per metric in the shared folder. Inside a batch the
-    batch operators do the work, so a metric with a third of all rows is spread over many tasks,
-    which a stateful function per metric would not allow. Batch n reads the state slot of n - 1
-    and overwrites its own, so a repeated batch gives the same result.
+    """foreachBatch function: change alerts across batches.
+
+    Between batches a table in the shared folder keeps all rows newer than the watermark (the
+    latest time seen less `delay_seconds`) and of each metric the last row before it, so a row that
+    is no later than that finds its previous value. Rows older than the watermark are not judged
+    but written to `late`. Inside a batch the batch operators do the work, so a metric with
+    a third of all rows is spread over many tasks. Batch n reads the state slot of n - 1 and
+    overwrites its own, so a repeated batch gives the same result.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -95,13 +98,24 @@ def metric_changes(out: str, state: str, keep: int = 1000,
         rows = batch.withColumn("_known", F.lit(False))
         if batch_id > 0:
             before = spark.read.schema(batch.schema).parquet(f"{state}/slot={(batch_id - 1) % 2}")
+            mark = before.agg(F.max("timestamp")).first()[0]
+            if mark is not None:
+                since = F.lit(mark - timedelta(seconds=delay_seconds))
+                rows.where(F.col("timestamp") < since).drop("_known").write.mode(
+                    "overwrite").parquet(f"{late}/batch={batch_id}")
+                rows = rows.where(F.coalesce(F.col("timestamp") >= since, F.lit(True)))
             rows = rows.unionByName(before.withColumn("_known", F.lit(True)))
         rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             metric_change(rows, threshold).where(~F.col("_known")).drop("_known").write.mode(
                 "overwrite").parquet(f"{out}/batch={batch_id}")
-            newest(rows, keep).drop("_known").write.mode("overwrite").parquet(
-                f"{state}/slot={batch_id % 2}")
+            top = rows.agg(F.max("timestamp")).first()[0]
+            kept = rows
+            if top is not None:
+                since = F.lit(top - timedelta(seconds=delay_seconds))
+                new = F.coalesce(F.col("timestamp") >= since, F.lit(False))
+                kept = rows.where(new).unionByName(newest(rows.where(~new), 1).select(rows.columns))
+            kept.drop("_known").write.mode("overwrite").parquet(f"{state}/slot={batch_id % 2}")
         finally:
             rows.unpersist()
 

@@ -270,8 +270,10 @@ def test_correlation(spark):
     df = spark.range(50).select("id", (F.col("id") * 2).alias("up"), (-F.col("id")).alias("down"),
                                 F.lit(3).alias("flat"))
     got = {r.column_name: r.correlation
-           for r in Q.order_correlation(df, {"up": 0, "down": 0, "flat": 0}, "id").collect()}
+           for r in Q.order_correlation(df, ["up", "down", "flat"], "id").collect()}
     assert got["up"] == pytest.approx(1) and got["down"] == pytest.approx(-1) and got["flat"] is None
+    far = spark.range(100).select((F.col("id") * 7 + 1_500_000_000_000_000_000).alias("id"), "id", F.lit(1).alias("z")).toDF("k", "up", "z")
+    assert Q.order_correlation(far, ["up"], "k").collect()[0].correlation == pytest.approx(1)
 
 
 def test_apply_all_and_shared_input(spark):

@@ -2,12 +2,14 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from rillflow.plans.registry import QUERIES
 from check import compare, open_tables
 from conftest import SF
+from oracle import load_sql
 
-SQL = oracle_sql()
-NO_SQL = {"partition_skew", "partition_memory", "file_inventory"}
+SQL = load_sql()
+NO_SQL = {"partition_skew"}
 
 
 @pytest.fixture(scope="module")
@@ -16,18 +18,18 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) - set(SQL) == NO_SQL
-    assert set(SQL) <= set(queries())
+    assert set(QUERIES) - set(SQL) == NO_SQL
+    assert set(SQL) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, duck, name):
-    assert compare(queries()[name](spark, SF), duck, SQL[name]) == []
+    assert compare(QUERIES[name](spark, SF), duck, SQL[name]) == []
 
 
 @pytest.mark.parametrize("name", sorted(NO_SQL))
 def test_query_without_sql(spark, name):
-    assert queries()[name](spark, SF).count() >= 1
+    assert QUERIES[name](spark, SF).count() >= 1
 
 
 def test_entry(spark):
@@ -35,6 +37,6 @@ def test_entry(spark):
 
 
 def test_partition_reports_cover_all_rows(spark):
-    for name in ("partition_skew", "partition_memory"):
-        r = queries()[name](spark, SF).collect()[0]
+    for name in ("partition_skew",):
+        r = QUERIES[name](spark, SF).collect()[0]
         assert r.total_rows == 1000 and r.min_bytes <= r.avg_bytes <= r.max_bytes

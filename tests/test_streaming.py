@@ -117,8 +117,8 @@ def test_sessions_per_user(spark, tmp_path):
 METRIC = "id long, metric_name string, metric_value double, timestamp timestamp"
 
 
-@pytest.mark.parametrize("keep", [1, 1000])
-def test_metric_changes_across_batches_equal_batch(spark, tmp_path, keep):
+@pytest.mark.parametrize("delay", [0, 3600])
+def test_metric_changes_across_batches_equal_batch(spark, tmp_path, delay):
     rnd = random.Random(7)
     rows = [(i, rnd.choice(["m", "m", "n"]), float(rnd.randint(0, 4)), T0 + timedelta(seconds=40 * i))
             for i in range(60)]
@@ -128,21 +128,28 @@ def test_metric_changes_across_batches_equal_batch(spark, tmp_path, keep):
     out, state = str(tmp_path / "out"), str(tmp_path / "state")
     stream = io.file_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], METRIC).schema,
                             max_files=1)
-    io.finish(io.for_each(stream, jobs.metric_changes(out, state, keep), str(tmp_path / "cp"),
+    io.finish(io.for_each(stream, jobs.metric_changes(out, state, str(tmp_path / "late"), delay), str(tmp_path / "cp"),
                           trigger_seconds=None))
     cols = ["id", "previous_value", "is_significant"]
     got = spark.read.parquet(out).fillna(-1.0)
     batch = spark.createDataFrame(rows, METRIC)
     assert got.select("batch").distinct().count() == 5
     assert rows_of(got, *cols) == rows_of(metric_change(batch).fillna(-1.0), *cols)
-    last = spark.read.parquet(f"{state}/slot=0")
-    assert rows_of(metric_summary(last, keep), "metric_name", "count", "latest_value") == rows_of(
-        metric_summary(batch, keep), "metric_name", "count", "latest_value")
+
+
+def test_late_metric_rows_are_judged_or_put_aside(spark, tmp_path):
+    out, late = str(tmp_path / "out"), str(tmp_path / "late")
+    handle = jobs.metric_changes(out, str(tmp_path / "state"), late, 100)
+    row = lambda i, s: (i, "m", float(i), T0 + timedelta(seconds=s))
+    handle(spark.createDataFrame([row(i, 10 * i) for i in range(30)], METRIC), 0)
+    handle(spark.createDataFrame([row(100, 205), row(101, 15), row(102, 300)], METRIC), 1)
+    assert rows_of(spark.read.parquet(f"{out}/batch=1"), "id", "previous_value") == [(100, 20.0), (102, 29.0)]
+    assert rows_of(spark.read.parquet(late), "id") == [(101,)]
 
 
 def test_metric_batch_can_be_repeated(spark, tmp_path):
     out, state = str(tmp_path / "out"), str(tmp_path / "state")
-    handle = jobs.metric_changes(out, state)
+    handle = jobs.metric_changes(out, state, str(tmp_path / "late"))
     first = spark.createDataFrame([(1, "m", 1.0, T0)], METRIC)
     second = spark.createDataFrame([(2, "m", 3.0, T0 + timedelta(seconds=1))], METRIC)
     handle(first, 0)
@@ -172,3 +179,16 @@ def test_sliding_counts_on_a_batch_frame(make_events):
     got = jobs.sliding_counts(make_events([(0, "a"), (59, "a"), (60, "a")]))
     at = got.where(F.col("window_start") == F.lit(T0).cast("timestamp_ntz")).collect()
     assert [r.n for r in at] == [3] and got.count() == 6
+
+
+def test_table_stream_reads_files_and_folders(spark, tmp_path):
+    rows = spark.range(10)
+    rows.coalesce(1).write.parquet(str(tmp_path / "one"))
+    rows.repartition(3).write.parquet(str(tmp_path / "t" / "events.parquet"))
+    one = next((tmp_path / "one").glob("part-*.parquet"))
+    for i, path in enumerate([str(one), str(tmp_path / "t" / "events.parquet")]):
+        out = str(tmp_path / f"out{i}")
+        io.finish(io.to_parquet(io.table_stream(spark, path, rows.schema, 1000), out, str(tmp_path / f"cp{i}"), None))
+        assert rows_of(spark.read.parquet(out), "id") == [(k,) for k in range(10)]
+    with pytest.raises(Exception, match="nowhere"):
+        io.table_stream(spark, str(tmp_path / "nowhere"), rows.schema)
