@@ -173,7 +173,8 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
         F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     one = classes.select(F.col("rep").alias("doc_id"), F.col("sig").alias("rep_sig"))
     # classes and members grow with the corpus, so their joins are merge joins at every size
-    reps = filled.join(one.hint("merge"), "doc_id").where("sig = rep_sig")
+    reps = filled.join(one.hint("merge"), "doc_id").where(
+        "sig >= rep_sig and sig <= rep_sig")  # as a join key it would undo the buckets
     buckets = max(1, (filled.agg(F.sum(F.size("keys"))).first()[0] or 0) // BUCKET)
     sent = reps.select("doc_id", "keys").mapInArrow(_deal(buckets), "bucket int, entries binary")
     member = stored(sent.groupBy("bucket").applyInPandas(_lists, "x long, first long, many long"), "lists")
@@ -216,8 +217,10 @@ def _derived(state: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     need = F.when(near, (size - c * (n - n_lead)) / 2).otherwise((size - c * (n + n_lead)) / (1 + c))
     prefix = size - F.greatest(F.ceil(need - 1e-6), F.lit(1)) + 1
     open_groups = state.where(~near).select("g").distinct()
-    named = stored(state.join(open_groups, "g").join(labels, state.x == labels.id, "left").select(
-        "g", "x", "n", "delta", near.alias("near"), F.coalesce("component", "x").alias("label"),
+    who = state.select("g", "x").join(open_groups, "g").join(labels, F.col("x") == labels.id, "left").select(
+        "g", "x", F.coalesce("component", "x").alias("label"))
+    named = stored(state.join(who, ["g", "x"]).select(
+        "g", "x", "n", "delta", near.alias("near"), "label",
         F.greatest(prefix, F.lit(0)).cast("int").alias("prefix")), "open")
     rows = named.where("prefix > 0").select(
         "g", "x", "n", "near", "label", F.size("delta").alias("far"),
