@@ -35,7 +35,8 @@ from rillflow.llm.packed import expand, squeeze
 from rillflow.llm.shingles import mix, shingle_set
 
 
-BUCKET = 2_000_000  # index entries of a bucket, about
+BUCKET = 500_000  # index entries of a bucket, about
+SLICE = 2_000  # sets dealt to buckets at a time
 
 
 def _most_differing(total: int, percent: int) -> int:
@@ -96,7 +97,7 @@ def _index(size: int, percent: int):
 def _deal(buckets: int):
     """The (key, id) entries of a batch, dealt to buckets of keys and packed."""
     def run(batches):
-        for batch in batches:
+        for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
             ids, lists = batch.column("doc_id").to_numpy(), batch.column("keys")
             keys = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             x = np.repeat(ids, lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
