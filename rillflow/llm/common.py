@@ -39,3 +39,10 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.partitionBy(*(partition_by or [])).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def sliced(batches, rows: int = 500):
+    """Arrow batches in slices, so that few rows are Python objects at a time."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)

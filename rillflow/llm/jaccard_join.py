@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import stored
+from rillflow.llm.common import sliced, stored
 from rillflow.llm.components import components
 from rillflow.llm.packed import expand, squeeze
 from rillflow.llm.shingles import mix, shingle_set
@@ -81,7 +81,7 @@ def index_keys(s: np.ndarray, percent: int) -> np.ndarray:
 
 def _index(size: int, percent: int):
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             n, sig, keys = [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingle_set(text, size)
@@ -97,7 +97,7 @@ def _index(size: int, percent: int):
 def _deal(buckets: int):
     """The (key, id) entries of a batch, dealt to buckets of keys and packed."""
     def run(batches):
-        for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
+        for batch in sliced(batches, SLICE):
             ids, lists = batch.column("doc_id").to_numpy(), batch.column("keys")
             keys = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
             x = np.repeat(ids, lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
@@ -132,7 +132,7 @@ def _lists(pdf: pd.DataFrame) -> pd.DataFrame:
 def _differences(size: int):
     def run(batches):
         held, lead = None, None
-        for batch in batches:
+        for batch in sliced(batches):
             n, n_lead, delta = [], [], []
             for text, other in zip(batch.column("text").to_pylist(), batch.column("lead_text").to_pylist()):
                 if lead is None or other != held:
