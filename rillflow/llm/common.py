@@ -41,6 +41,13 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Texts go to the Python workers `rows` at a time instead of 10,000, for the session: an Arrow
+    batch is held whole by the JVM and by the worker, and texts can be very long. Cells are not cut,
+    results stay the same."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def sliced(batches, rows: int = 500):
     """Arrow batches in slices, so that few rows are Python objects at a time."""
     for batch in batches:

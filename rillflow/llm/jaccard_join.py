@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import sliced, stored
+from rillflow.llm.common import sliced, small_batches, stored
 from rillflow.llm.components import components
 from rillflow.llm.packed import expand, squeeze
 from rillflow.llm.shingles import mix, shingle_set
@@ -162,6 +162,7 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     one node of the graph whose set is that of the id's first text in binary order; null ids keep
     n_shingles and get a null component. Shingles are compared by 64-bit hashes.
     """
+    small_batches(docs.sparkSession)
     parts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # a table in buckets of ids, so that finding the class representatives does not move the keys
     name, spread = f"sets_{uuid.uuid4().hex}", int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

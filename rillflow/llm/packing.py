@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from rillflow.llm.common import small_batches
+
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 #: Pieces of a vocabulary's own text that one call should not merge in quadratic time.
@@ -175,5 +177,6 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = 1024, end_
         if rows:
             yield flush()
 
+    small_batches(docs.sparkSession)
     schema = SCHEMA + (", ids array<long>" if with_ids else "")
     return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, schema)
