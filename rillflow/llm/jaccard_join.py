@@ -36,7 +36,10 @@ from rillflow.llm.shingles import mix, shingle_set
 
 
 BUCKET = 500_000  # index entries of a bucket, about
-SLICE = 2_000  # sets dealt to buckets at a time
+SLICE = 2_000_000  # entries dealt to buckets at a time
+#: Bits of a key kept inside its bucket. A bucket has as many entries at every size of the input, so
+#: unlike contents meet in a list as rarely; they would only make a group larger, not link.
+KEPT = np.uint64(2**40 - 1)
 
 
 def _most_differing(total: int, percent: int) -> int:
@@ -79,37 +82,57 @@ def index_keys(s: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(keys).view(np.int64) if keys else np.zeros(0, dtype=np.int64)
 
 
-def _index(size: int, percent: int):
+def _key_count(n: int, percent: int) -> int:
+    """How many keys a set of n elements has at most on the first level, to size the buckets."""
+    if not n:
+        return 0
+    bounds = _bounds(n, percent)
+    own = len(bounds) - 3
+    most = [_most_differing(bounds[i + 1] + bounds[i + 2] - 2, percent) for i in range(max(0, own - 1), own + 1)]
+    return sum(min(n, m + 2 + m // 200) for m in most if m)
+
+
+def _sets(size: int, percent: int):
     def run(batches):
         for batch in sliced(batches):
-            n, sig, keys = [], [], []
+            n, sig = [], []
             for text in batch.column("text").to_pylist():
                 s = shingle_set(text, size)
                 n.append(len(s))
                 sig.append(xxhash.xxh128_digest(s.tobytes()))
-                keys.append(index_keys(s, percent))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sig, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n", "sig", "keys"])
+                 pa.array([_key_count(k, percent) for k in n], pa.int64()), batch.column("text")],
+                ["doc_id", "n", "sig", "n_keys", "text"])
     return run
 
 
-def _deal(buckets: int):
-    """The (key, id) entries of a batch, dealt to buckets of keys and packed."""
+def _deal(size: int, percent: int, buckets: int):
+    """The (key, id) entries of the index, dealt to buckets of keys and packed."""
+    def dealt(ids, lists):
+        keys, x = np.concatenate(lists), np.repeat(np.array(ids, dtype=np.int64), [len(k) for k in lists])
+        to = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+        order = np.lexsort((x, to))
+        keys, x = keys[order] & KEPT, x[order]
+        cuts = np.searchsorted(to[order], np.arange(buckets + 1))
+        full = np.flatnonzero(cuts[1:] > cuts[:-1])
+        blobs = [squeeze(x[i:i + 1].view(np.uint64), np.diff(x[i:j]), keys[i:j]) for i, j in zip(cuts[full], cuts[full + 1])]
+        return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "entries"])
+
     def run(batches):
-        for batch in sliced(batches, SLICE):
-            ids, lists = batch.column("doc_id").to_numpy(), batch.column("keys")
-            keys = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            x = np.repeat(ids, lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-            order = np.argsort(keys)
-            keys, x = keys[order], x[order]
-            to = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            cuts = np.searchsorted(to, np.arange(buckets + 1))
-            full = np.flatnonzero(cuts[1:] > cuts[:-1])
-            low = int(ids.min()) if len(ids) else 0
-            blobs = [squeeze(np.array([low % 2**64], np.uint64), keys[cuts[b]:cuts[b + 1]], x[cuts[b]:cuts[b + 1]] - low) for b in full]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(full, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "entries"])
+        ids, lists, held = [], [], 0
+        for batch in sliced(batches):
+            for x, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                keys = index_keys(shingle_set(text, size), percent).view(np.uint64)
+                if len(keys):
+                    ids.append(x)
+                    lists.append(keys)
+                    held += len(keys)
+                if held >= SLICE:
+                    yield dealt(ids, lists)
+                    ids, lists, held = [], [], 0
+        if held:
+            yield dealt(ids, lists)
     return run
 
 
@@ -117,8 +140,9 @@ def _lists(pdf: pd.DataFrame) -> pd.DataFrame:
     """The index lists of a bucket with two sets or more: each member with the first one. A list
     has a class once, out of the many keys of its set, so none is a large part of the entries."""
     parts = [expand(e) for e in pdf["entries"]]
-    keys = np.concatenate([p[1].astype(np.uint64) for p in parts])
-    x = np.concatenate([p[2].astype(np.int64) + p[0].astype(np.uint64).view(np.int64)[0] for p in parts])
+    keys = np.concatenate([p[2].astype(np.uint64) for p in parts])
+    x = np.concatenate([np.cumsum(np.concatenate([p[0].astype(np.uint64).view(np.int64), p[1].astype(np.int64)]))
+                        for p in parts])
     order = np.lexsort((x, keys))
     keys, x = keys[order], x[order]
     start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -164,10 +188,10 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     """
     small_batches(docs.sparkSession)
     parts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # a table in buckets of ids, so that finding the class representatives does not move the keys
+    # a table in buckets of ids, so that finding class representatives and members does not move texts
     name, spread = f"sets_{uuid.uuid4().hex}", int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts.mapInArrow(_index(size, percent), "doc_id long, n long, sig binary, keys array<long>").write.bucketBy(
-        spread, "doc_id").saveAsTable(name)
+    parts.mapInArrow(_sets(size, percent), "doc_id long, n long, sig binary, n_keys long, text string").write.option(
+        "compression", "zstd").bucketBy(spread, "doc_id").saveAsTable(name)
     seen = docs.sparkSession.table(name)
     filled = seen.where("n > 0 and doc_id is not null")
     classes = filled.groupBy("sig").agg(F.min("doc_id").alias("rep"))
@@ -177,8 +201,8 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     # classes and members grow with the corpus, so their joins are merge joins at every size
     reps = filled.join(one.hint("merge"), "doc_id").where(
         "sig >= rep_sig and sig <= rep_sig")  # as a join key it would undo the buckets
-    buckets = max(1, (filled.agg(F.sum(F.size("keys"))).first()[0] or 0) // BUCKET)
-    sent = reps.select("doc_id", "keys").mapInArrow(_deal(buckets), "bucket int, entries binary")
+    buckets = max(1, (filled.agg(F.sum("n_keys")).first()[0] or 0) // BUCKET)
+    sent = reps.select("doc_id", "text").mapInArrow(_deal(size, percent, buckets), "bucket int, entries binary")
     member = stored(sent.groupBy("bucket").applyInPandas(_lists, "x long, first long, many long"), "lists")
     groups = components(member.select(F.col("x").alias("a"), F.col("first").alias("b")))
     groups = stored(groups.select(F.col("id").alias("x"), F.col("component").alias("g")), "groups")
@@ -186,7 +210,8 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     leads = (groups.join(weight, "x").groupBy("g")
              .agg(F.max(F.struct("many", (-F.col("x")).alias("neg"))).alias("top"))
              .select("g", (-F.col("top.neg")).alias("lead")))
-    whole = parts.groupBy("doc_id").agg(F.min("text").alias("text")) if _repeats(seen) else parts
+    whole = seen.select("doc_id", "text")
+    whole = whole.groupBy("doc_id").agg(F.min("text").alias("text")) if _repeats(seen) else whole
     with_text = stored(groups.hint("merge").join(whole, groups.x == whole.doc_id).select("g", "x", "text"), "members")
     lead_text = (leads.join(with_text.withColumnRenamed("x", "lead"), ["g", "lead"])
                  .select("g", "lead", F.col("text").alias("lead_text")))
