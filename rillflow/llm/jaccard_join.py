@@ -10,16 +10,20 @@ equal, and an index list per (classes, block, content of the block) finds the pa
 other contents are skipped.
 
 Answers from a similar set. Sets that share lists, directly or through others, form a group with a
-leader. Only the differences D(x) of each member from the leader are computed; they tell whether x
-links with the leader. All other answers follow from them, without looking at the texts again:
-d(x, y) = |D(x)| + |D(y)| - 2 |D(x) & D(y)|. If x does not link with the leader, x and y need common
-differences: with none, d = |D(x)| + |D(y)|, and as y has at most |D(y)| elements more than the leader, x
-would link with the leader too. How many they need at least follows from the sizes, so a prefix of
+leader, the first set of the lists that its members share most. Members are near (they link with
+the leader), between (a set near the leader may link with both) or remote. For near and between
+members the differences D(x) from the leader are kept, and the answers follow from them, without looking
+at the texts again: d(x, y) = |D(x)| + |D(y)| - 2 |D(x) & D(y)|. Near members are one component by the
+leader. If x does not link with the leader, x and a near y need common differences: with none,
+d = |D(x)| + |D(y)|, and as y has at most |D(y)| elements more than the leader, x would link with the
+leader too. Sets that are not near are compared with each other in the same way, by their differences
+from the empty set. How many common differences are needed at least follows from the sizes, so a prefix of
 D(x), rare elements (those the leader lacks) first, is enough to find y, and the positions inside the
 prefix skip most of the rest. Copies of one text with edits of their own share hardly any
 differences, so a group of any size makes few pairs.
 """
 
+import math
 import uuid
 
 import numpy as np
@@ -153,30 +157,48 @@ def _lists(pdf: pd.DataFrame) -> pd.DataFrame:
     return out.groupby(["x", "first"]).size().reset_index(name="many").astype("int64")
 
 
-def _differences(size: int):
+FORMS = "g long, x long, lead long, n long, near boolean, delta array<long>, d_prefix int, own array<long>, o_prefix int"
+
+
+def _differences(size: int, percent: int):
+    """Each member's differences from its leader (near and between) and from the empty set (between
+    and remote), each with the length of the prefix that partners meet in; see the module."""
+    c = (100 - percent) / (100 + percent)
+
+    def prefix(many, need):
+        return max(0, many - max(math.ceil(need - 1e-6), 1) + 1)
+
+    def forms(s, lead):
+        n, k = len(s), len(lead)
+        new, gone = np.setdiff1d(s, lead, assume_unique=True), np.setdiff1d(lead, s, assume_unique=True)
+        d = len(new) + len(gone)
+        near = (100 + percent) * d <= (100 - percent) * (n + k)
+        middle = min(n, k) * 100 // percent  # the largest set that links with both
+        delta = np.concatenate([new, gone]).view(np.int64)
+        if near:
+            return n, True, delta, prefix(d, (d - c * (n - k)) / 2), None, 0
+        own = s.view(np.int64), prefix(n, n * percent / 100)
+        if (100 + percent) * d <= (100 - percent) * (n + k + 2 * middle):
+            return n, False, delta, prefix(d, (d - c * (n + k)) / (1 + c)), *own
+        return n, False, None, 0, *own
+
     def run(batches):
         held, lead = None, None
+        kinds = (pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int64()), pa.int32())
         for batch in sliced(batches):
-            n, n_lead, delta = [], [], []
+            out = []
             for text, other in zip(batch.column("text").to_pylist(), batch.column("lead_text").to_pylist()):
                 if lead is None or other != held:
                     held, lead = other, shingle_set(other, size)
-                s = shingle_set(text, size)
-                n.append(len(s))
-                n_lead.append(len(lead))
-                new, gone = (np.setdiff1d(*z, assume_unique=True) for z in ((s, lead), (lead, s)))
-                delta.append(np.concatenate([new, gone]).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("g"), batch.column("x"), batch.column("lead"), pa.array(n, pa.int64()),
-                 pa.array(n_lead, pa.int64()), pa.array(delta, pa.list_(pa.int64()))],
-                ["g", "x", "lead", "n", "n_lead", "delta"])
+                out.append(forms(shingle_set(text, size), lead))
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("g"), batch.column("x"), batch.column("lead"),
+                     *[pa.array(v, k) for v, k in zip(zip(*out), kinds)]],
+                    [f.split()[0] for f in FORMS.split(", ")])
     return run
 
 
-def _links(percent: int):
-    return (100 + percent) * F.size("delta") <= (100 - percent) * (F.col("n") + F.col("n_lead"))
-
-
 def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of `docs` (doc_id, text).
 
@@ -206,19 +228,17 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     member = stored(sent.groupBy("bucket").applyInPandas(_lists, "x long, first long, many long"), "lists")
     groups = components(member.select(F.col("x").alias("a"), F.col("first").alias("b")))
     groups = stored(groups.select(F.col("id").alias("x"), F.col("component").alias("g")), "groups")
-    weight = member.groupBy("x").agg(F.sum("many").alias("many"))
+    weight = member.where("x != first").groupBy(F.col("first").alias("x")).agg(F.sum("many").alias("many"))
     leads = (groups.join(weight, "x").groupBy("g")
              .agg(F.max(F.struct("many", (-F.col("x")).alias("neg"))).alias("top"))
              .select("g", (-F.col("top.neg")).alias("lead")))
     whole = seen.select("doc_id", "text")
     whole = whole.groupBy("doc_id").agg(F.min("text").alias("text")) if _repeats(seen) else whole
-    with_text = stored(groups.hint("merge").join(whole, groups.x == whole.doc_id).select("g", "x", "text"), "members")
-    lead_text = (leads.join(with_text.withColumnRenamed("x", "lead"), ["g", "lead"])
-                 .select("g", "lead", F.col("text").alias("lead_text")))
-    state = stored(with_text.join(lead_text, "g").mapInArrow(
-        _differences(size), "g long, x long, lead long, n long, n_lead long, delta array<long>"), "differences")
-    linked = [state.where(_links(percent)).select(F.col("x").alias("a"), F.col("lead").alias("b"))]
-    linked.append(_derived(state, components(linked[0]), percent))
+    members = groups.hint("merge").join(whole, groups.x == whole.doc_id).select("g", "x", "text")
+    lead_text = leads.hint("merge").join(whole, leads.lead == whole.doc_id).select(
+        "g", "lead", F.col("text").alias("lead_text"))
+    state = stored(members.join(lead_text, "g").mapInArrow(_differences(size, percent), FORMS), "differences")
+    linked = [state.where("near").select(F.col("x").alias("a"), F.col("lead").alias("b")), _derived(state, percent)]
     found = components(_union([same, *linked]))
     out = seen.join(found, seen.doc_id == found.id, "left")
     return out.select(seen.doc_id, F.col("n").alias("n_shingles"),
@@ -236,36 +256,35 @@ def _repeats(seen: DataFrame) -> bool:
     return bool(seen.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count())
 
 
-def _derived(state: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _derived(state: DataFrame, percent: int) -> DataFrame:
     """Links between members, at least one of which does not link with their leader."""
-    c = (100 - percent) / (100 + percent)
-    size, n, n_lead = F.size("delta"), F.col("n"), F.col("n_lead")
-    near = _links(percent)
-    need = F.when(near, (size - c * (n - n_lead)) / 2).otherwise((size - c * (n + n_lead)) / (1 + c))
-    prefix = size - F.greatest(F.ceil(need - 1e-6), F.lit(1)) + 1
-    open_groups = state.where(~near).select("g").distinct()
-    who = state.select("g", "x").join(open_groups, "g").join(labels, F.col("x") == labels.id, "left").select(
-        "g", "x", F.coalesce("component", "x").alias("label"))
-    named = stored(state.join(who, ["g", "x"]).select(
-        "g", "x", "n", "delta", near.alias("near"), "label",
-        F.greatest(prefix, F.lit(0)).cast("int").alias("prefix")), "open")
-    rows = named.where("prefix > 0").select(
-        "g", "x", "n", "near", "label", F.size("delta").alias("far"),
-        F.posexplode(F.slice("delta", 1, F.col("prefix"))).alias("i", "e"))
+    open_groups = state.where("not near and d_prefix > 0").select("g").distinct()
+
+    def form(name, rows, column, prefix):
+        return rows.where(f"{prefix} > 0").select(
+            "g", F.lit(name).alias("form"), "x", "n", "near", F.size(column).alias("far"),
+            F.posexplode(F.slice(column, 1, F.col(prefix))).alias("i", "e"))
+
+    rows = form("leader", state.join(open_groups, "g", "left_semi"), "delta", "d_prefix").unionByName(
+        form("empty", state, "own", "o_prefix"))
     a, b = rows.alias("a"), rows.alias("b")
 
     def most(m, k):
         return F.floor((100 - percent) * (F.col(m) + F.col(k)) / (100 + percent))
 
     shared = F.least(F.col("a.far") - F.col("a.i"), F.col("b.far") - F.col("b.i"))  # at most
-    pairs = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.e") == F.col("b.e"))
-                   & (F.col("a.x") < F.col("b.x")) & (F.col("a.label") != F.col("b.label"))
-                   & ~(F.col("a.near") & F.col("b.near"))
-                   & (F.col("a.far") + F.col("b.far") - 2 * shared <= most("a.n", "b.n"))
-                   ).select(F.col("a.g").alias("g"), F.col("a.x").alias("x"), F.col("b.x").alias("y")).distinct()
-    one = named.select("g", "x", F.col("n").alias("n1"), F.col("delta").alias("d1"))
-    two = named.select("g", F.col("x").alias("y"), F.col("n").alias("n2"), F.col("delta").alias("d2"))
-    differing = F.size("d1") + F.size("d2") - 2 * F.size(F.array_intersect("d1", "d2"))
-    return (pairs.join(one, ["g", "x"]).join(two, ["g", "y"])
+    pairs = stored(a.join(
+        b, (F.col("a.g") == F.col("b.g")) & (F.col("a.form") == F.col("b.form")) & (F.col("a.e") == F.col("b.e"))
+        & (F.col("a.x") < F.col("b.x")) & ((F.col("a.form") == "empty") | (F.col("a.near") != F.col("b.near")))
+        & (F.col("a.far") + F.col("b.far") - 2 * shared <= most("a.n", "b.n"))
+        ).select(F.col("a.form").alias("form"), F.col("a.x").alias("x"), F.col("b.x").alias("y")).distinct(), "pairs")
+    ids = pairs.select("x").unionByName(pairs.select(F.col("y").alias("x"))).distinct()
+    used = stored(state.join(ids, "x", "left_semi").select("x", "n", "delta", "own"), "open")
+    one = used.select("x", F.col("n").alias("n1"), F.col("delta").alias("d1"), F.col("own").alias("o1"))
+    two = used.select(F.col("x").alias("y"), F.col("n").alias("n2"), F.col("delta").alias("d2"), F.col("own").alias("o2"))
+    leader = F.col("form") == "leader"
+    d1, d2 = F.when(leader, F.col("d1")).otherwise(F.col("o1")), F.when(leader, F.col("d2")).otherwise(F.col("o2"))
+    differing = F.size(d1) + F.size(d2) - 2 * F.size(F.array_intersect(d1, d2))
+    return (pairs.join(one, "x").join(two, "y")
             .where((100 + percent) * differing <= (100 - percent) * (F.col("n1") + F.col("n2")))
             .select(F.col("x").alias("a"), F.col("y").alias("b")))

@@ -77,6 +77,34 @@ def test_jaccard_components_equal_all_pairs(spark):
     assert got == {i: (len(sets[i]), low[i]) for i in sets}
 
 
+def test_jaccard_components_of_chains_with_shared_passages(spark):
+    """Clusters, chains of edits and strangers that common passages put into one group."""
+    rnd, texts = random.Random(8), []
+    passages = [[f"p{k}x{i}" for i in range(30)] for k in range(3)]
+    for g in range(10):
+        t = [f"w{rnd.randrange(4000)}" for _ in range(rnd.choice([15, 60, 90, 200]))] + passages[g % 3]
+        for step in range(10):
+            texts.append(" ".join(t))
+            at = rnd.randrange(len(t) - 1)
+            if g % 2:  # a chain: every text differs from the one before
+                t = t[:at] + [f"n{rnd.randrange(4000)}"] + t[at + rnd.randrange(3):]
+            elif step % 3 == 0:
+                t = t + passages[(g + step) % 3][:12]
+    rnd.shuffle(texts)
+    rows = list(enumerate(texts))
+    sets = {i: plain_sets(t, 5) for i, t in rows}
+    for percent in (80, 90):
+        got = {r.doc_id: r.component_id
+               for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 5, percent).collect()}
+        low = {i: i for i in sets}
+        links = [(a, b) for a in sets for b in sets
+                 if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+        for _ in sets:
+            for a, b in links:
+                low[a] = low[b] = min(low[a], low[b])
+        assert got == low
+
+
 def test_linked_sets_share_an_index_list():
     rnd = np.random.default_rng(3)
     for n in (3, 12, 19, 40, 333, 2000):
