@@ -16,8 +16,8 @@ members the differences D(x) from the leader are kept, and the answers follow fr
 at the texts again: d(x, y) = |D(x)| + |D(y)| - 2 |D(x) & D(y)|. Near members are one component by the
 leader. If x does not link with the leader, x and a near y need common differences: with none,
 d = |D(x)| + |D(y)|, and as y has at most |D(y)| elements more than the leader, x would link with the
-leader too. Sets that are not near are compared with each other in the same way, by their differences
-from the empty set. How many common differences are needed at least follows from the sizes, so a prefix of
+leader too. Two sets between are compared in the same way; remote sets, with each other and
+with those between, too, but by their differences from the empty set. How many common differences are needed at least follows from the sizes, so a prefix of
 D(x), rare elements (those the leader lacks) first, is enough to find y, and the positions inside the
 prefix skip most of the rest. Copies of one text with edits of their own share hardly any
 differences, so a group of any size makes few pairs.
@@ -260,14 +260,15 @@ def _derived(state: DataFrame, percent: int) -> DataFrame:
     """Links between members, at least one of which does not link with their leader."""
     open_groups = state.where("not near and d_prefix > 0").select("g").distinct()
 
-    def form(name, rows, column, prefix):
+    def form(name, rows, column, prefix, asks):
         return rows.where(f"{prefix} > 0").select(
-            "g", F.lit(name).alias("form"), "x", "n", "near", F.size(column).alias("far"),
+            "g", F.lit(name).alias("form"), "x", "n", F.expr(asks).alias("asks"), F.size(column).alias("far"),
             F.posexplode(F.slice(column, 1, F.col(prefix))).alias("i", "e"))
 
-    rows = form("leader", state.join(open_groups, "g", "left_semi"), "delta", "d_prefix").unionByName(
-        form("empty", state, "own", "o_prefix"))
-    a, b = rows.alias("a"), rows.alias("b")
+    rows = form("leader", state.join(open_groups, "g", "left_semi"), "delta", "d_prefix", "not near").unionByName(
+        form("empty", state, "own", "o_prefix", "delta is null"))
+    # members between ask near ones and each other, remote ones ask all that are not near
+    a, b = rows.where("asks").alias("a"), rows.alias("b")
 
     def most(m, k):
         return F.floor((100 - percent) * (F.col(m) + F.col(k)) / (100 + percent))
@@ -275,7 +276,7 @@ def _derived(state: DataFrame, percent: int) -> DataFrame:
     shared = F.least(F.col("a.far") - F.col("a.i"), F.col("b.far") - F.col("b.i"))  # at most
     pairs = stored(a.join(
         b, (F.col("a.g") == F.col("b.g")) & (F.col("a.form") == F.col("b.form")) & (F.col("a.e") == F.col("b.e"))
-        & (F.col("a.x") < F.col("b.x")) & ((F.col("a.form") == "empty") | (F.col("a.near") != F.col("b.near")))
+        & (~F.col("b.asks") | (F.col("a.x") < F.col("b.x")))
         & (F.col("a.far") + F.col("b.far") - 2 * shared <= most("a.n", "b.n"))
         ).select(F.col("a.form").alias("form"), F.col("a.x").alias("x"), F.col("b.x").alias("y")).distinct(), "pairs")
     ids = pairs.select("x").unionByName(pairs.select(F.col("y").alias("x"))).distinct()
