@@ -177,7 +177,8 @@ def _differences(size: int, percent: int):
         delta = np.concatenate([new, gone]).view(np.int64)
         if near:
             return n, True, delta, prefix(d, (d - c * (n - k)) / 2), None, 0
-        own = s.view(np.int64), prefix(n, n * percent / 100)
+        common = np.intersect1d(s, lead, assume_unique=True)  # as passages of many members are, so they come last
+        own = np.concatenate([new, common]).view(np.int64), prefix(n, n * percent / 100)
         if (100 + percent) * d <= (100 - percent) * (n + k + 2 * middle):
             return n, False, delta, prefix(d, (d - c * (n + k)) / (1 + c)), *own
         return n, False, None, 0, *own
