@@ -146,6 +146,37 @@ def test_lines(spark, odd, none):
     assert dedup_lines(odd).count() == len(ODD)
 
 
+def plain_runs(rows, least):
+    """Line numbers cut by id: every run of equal lines with an earlier place, extended to its end."""
+    lines = {d: [(i, x.split()) for i, x in enumerate(t.split("\n")) if x.split()] for d, t in rows}
+    cut = {d: set() for d in lines}
+    places = [(d, k) for d in sorted(lines) for k in range(len(lines[d]))]
+    for at, (d, k) in enumerate(places):
+        for e, j in places[:at]:
+            n = 0
+            while n < min(len(lines[d]) - k, len(lines[e]) - j) and lines[d][k + n][1] == lines[e][j + n][1]:
+                n += 1
+            if sum(len(w) for _, w in lines[d][k:k + n]) >= least:
+                cut[d].update(i for i, _ in lines[d][k:k + n])
+    return cut
+
+
+def test_runs_are_cut_to_their_last_line(spark):
+    run = " ".join(WORDS + WORDS[:20]) + "\n" + " ".join(WORDS[:20])
+    rows = [(1, f"{run}\nthe end"), (2, f"{run}\nother"), (3, f"{run.splitlines()[0]}\nno more"), (4, f"x\n{run}")]
+    got = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "other", 3: "no more", 4: "x"}
+    rnd, rows = random.Random(9), []
+    pool = [" ".join(rnd.choices(WORDS, k=rnd.choice([1, 2, 3, 9, 14]))) for _ in range(12)]
+    runs = [[rnd.choice(pool) for _ in range(rnd.randint(2, 9))] for _ in range(6)]
+    for d in range(60):
+        parts = [rnd.choice(runs)[rnd.randrange(2):] if rnd.random() < 0.6 else [rnd.choice(pool)] for _ in range(4)]
+        rows.append((d, "\n".join(sum(parts, []))))
+    got = {r.doc_id: set(r.removed) for r in dedup_lines(
+        spark.createDataFrame(rows, "doc_id long, text string"), min_words=12).collect()}
+    assert got == plain_runs(rows, 12)
+
+
 def test_mix(spark, odd, none):
     assert mix(none).count() == 0
     rows = [(i, "w " * (i % 7), None, f"s{i % 3}", 0) for i in range(300)]
