@@ -156,35 +156,48 @@ class Field:
             skip[:-1] += rate * ((near * g).sum(0) / n - decay * (skip - skip_prior))[:-1]
         return cls(unary, chain, np.maximum(skip, 0))
 
-    def marginals(self, on, label, chain, skip, rounds: int = 10) -> np.ndarray:
-        """Loopy belief propagation, all edges at once; nodes with a pattern label are held to it."""
+    def marginals(self, on, label, chain, skip, sweeps: int = 1000) -> np.ndarray:
+        """Belief propagation in sweeps until no message changes; nodes with a pattern label are held
+        to it. Skip edges are used in order to the end of the text and back: a node sends on after
+        all that link to it have sent, so one sweep carries evidence over all repeats of a datum.
+        Chain edges, between neighbours, all send once a sweep. Where loops keep messages
+        moving, they are damped from the 20th sweep on."""
         n = len(on)
         own = np.array([self.unary[f].sum(0) for f in on])
         own[label < LABELS - 1] = -30.0
         fixed = np.flatnonzero(label < LABELS - 1)
         own[fixed, label[fixed]] = 30.0
-        edges = np.array([*chain, *skip], dtype=np.int64).reshape(-1, 2)
-        pair = np.concatenate([np.repeat(self.chain[None], len(chain), 0),
-                               np.repeat(np.diag(self.skip)[None], len(skip), 0)]) if len(edges) else None
-        if pair is None:
+        edges = [*chain, *skip]
+        if not edges:
             return _normal(own)
+        depth = [0] * n  # skip edges on the longest way to a node; they lead to later nodes, in order
+        for a, b in skip:
+            depth[b] = max(depth[b], depth[a] + 1)
+        edges, depth = np.array(edges, dtype=np.int64), np.array(depth)
+        pair = np.concatenate([np.repeat(self.chain[None], len(chain), 0),
+                               np.repeat(np.diag(self.skip)[None], len(skip), 0)])
         to = np.concatenate([edges[:, 1], edges[:, 0]])
         source = np.concatenate([edges[:, 0], edges[:, 1]])
         both = np.exp(np.concatenate([pair, pair.transpose(0, 2, 1)]))
         back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
-        message = np.zeros((len(to), LABELS))
-        for _ in range(rounds):
-            belief = own.copy()
-            np.add.at(belief, to, message)
-            sent = _normal(belief[source] - message[back])
-            new = np.log(np.maximum(np.einsum("ij,ijk->ik", sent, both), 1e-300))
-            new -= new.max(1, keepdims=True)
-            done = np.abs(new - message).max() < 1e-4
-            message = 0.5 * message + 0.5 * new
-            if done:
+        number = np.arange(len(to))
+        at = np.where(number % len(edges) < len(chain), -1,
+                      np.where(number < len(edges), depth[source], 2 * n - depth[source]))
+        by = np.argsort(at, kind="stable")
+        steps = [(e, source[e], to[e], back[e], both[e])
+                 for e in np.split(by, np.flatnonzero(np.diff(at[by])) + 1)]
+        message, belief = np.zeros((len(to), LABELS)), own.copy()
+        for k in range(sweeps):
+            moved = 0.0
+            for e, src, dst, rev, p in steps:
+                new = np.log(np.maximum((_normal(belief[src] - message[rev])[:, None, :] @ p)[:, 0], 1e-300))
+                new -= new.max(1, keepdims=True)
+                change = (new - message[e]) * (1.0 if k < 20 else 0.5)
+                moved = max(moved, np.abs(change).max())
+                message[e] += change
+                np.add.at(belief, dst, change)
+            if moved < 1e-4:
                 break
-        belief = own.copy()
-        np.add.at(belief, to, message)
         return _normal(belief)
 
 
@@ -261,7 +274,7 @@ def find(docs: DataFrame, model: Field | None = None, sure: float = 0.95) -> Dat
     The patterns' spans stay as they are. A conditional random field over the tokens with a digit or
     `@` holds them to their kind; chain edges join neighbouring tokens and skip edges distant ones
     with the same word or last digits, so a number once written as a phone is found where it
-    stands without its prefix. Tokens with a probability of `sure` or more are added. Positions
+    stands without its prefix, however many times. Tokens with a probability of `sure` or more are added. Positions
     are code points, ends exclusive. Null texts are empty; rows are judged alone, so repeated rows,
     null ids and empty tables need no rule. No shuffle but that of the sample for `fit`.
     """

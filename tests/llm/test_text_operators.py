@@ -1,6 +1,7 @@
 """The text operators on small tables with nulls, empty texts, ties, repeated rows, clashing
 columns and no rows, against plain versions where SQL does not hold them."""
 
+import itertools
 import random
 import re
 from collections import Counter
@@ -253,6 +254,33 @@ def test_pii(spark, odd, none):
     assert find(none).count() == 0
 
 
+def test_pii_evidence_reaches_all_repeats():
+    model = Field(np.zeros((20, 5)), np.zeros((5, 5)), np.array([8.0] * 4 + [0.0]))
+    words = " ".join(["555-3824 and then"] * 50)
+    for t in (f"call +1 (743) 555-3824 now, {words}", f"{words} call +1 (743) 555-3824"):
+        assert [t[a:b] for _, a, b in added_spans(t, base_spans(t), model, 0.9)] == ["555-3824"] * 50
+
+
+def test_pii_marginals_are_exact_on_trees_and_near_on_loops():
+    rnd = np.random.default_rng(6)
+    for loop in (False, True):
+        for _ in range(5):
+            model = Field(rnd.normal(size=(20, 5)), rnd.normal(size=(5, 5)) / 2, np.append(rnd.random(4) * 2, 0))
+            n, on = 6, [[0, int(f)] for f in rnd.integers(1, 20, 6)]
+            label, chain, skip = np.array([4, 3, 4, 4, 4, 4]), [(0, 1), (2, 3)], [(0, 2), (3, 5), (1, 4)]
+            if loop:
+                chain.append((4, 5))
+            p = np.zeros((n, 5))
+            for y in itertools.product(range(5), repeat=n):
+                if y[1] == 3:
+                    s = sum(model.unary[f, y[i]].sum() for i, f in enumerate(on) if i != 1)
+                    s += sum(model.chain[y[a], y[b]] for a, b in chain)
+                    s += sum(model.skip[y[a]] for a, b in skip if y[a] == y[b])
+                    p[range(n), y] += np.exp(s)
+            got = model.marginals(on, label, chain, skip)
+            assert np.abs(got - p / p.sum(1, keepdims=True)).max() < (0.1 if loop else 1e-3)
+
+
 def test_segments_give_the_viterbi_path():
     rnd = np.random.default_rng(4)
     n = 2 * len(ROLES)
