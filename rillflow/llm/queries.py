@@ -19,7 +19,7 @@ from rillflow.llm.url_filter import judge_urls
 
 
 def op1_katz_backoff(spark: SparkSession, folder: str) -> DataFrame:
-    return score(table(spark, folder, "documents"))
+    return score(table(spark, folder, "documents"), order=3)
 
 
 def op2_skip_chain_pii(spark: SparkSession, folder: str) -> DataFrame:

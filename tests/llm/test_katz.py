@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from rillflow.llm.katz import K, discounts, score
+from rillflow.llm.queries import QUERIES
 
 END, START = "\n", "\t"
 
@@ -73,6 +74,13 @@ def test_equals_plain_model(spark, order, block):
         assert r.score == pytest.approx(plain.score(texts[r.doc_id]), abs=1e-7)
 
 
+def test_query_backs_off_from_trigrams(spark, tmp_path):
+    spark.createDataFrame(ROWS, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    plain, texts = Plain([t for i, t in ROWS if is_train(i)], 3), dict(ROWS)
+    for r in QUERIES["op1_katz_backoff"](spark, str(tmp_path)).collect():
+        assert r.score == pytest.approx(plain.score(texts[r.doc_id]), abs=1e-7)
+
+
 def test_sums_to_one():
     plain = Plain([t for _, t in ROWS], 3)
     words = [*plain.after[1][()], "unknown"]
