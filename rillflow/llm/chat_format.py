@@ -5,10 +5,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import stored
+from rillflow.llm.common import sliced, small_batches, stored
 
 LOWEST = -(2**63)
 ROLES = ("system", "user", "assistant")
@@ -140,29 +141,94 @@ def fit(lines: DataFrame) -> Model:
     return Model.fitted(moves, emits)
 
 
+KEY = ["conv_id", "line_no", "text"]
+
+
+def _counted(batches):
+    """Equal lines of a batch as one row with their number."""
+    for b in batches:
+        t = pa.Table.from_batches([b]).group_by(KEY).aggregate([([], "count_all")])
+        for out in t.select([*KEY, "count_all"]).rename_columns([*KEY, "n"]).to_batches():
+            yield out
+
+
+#: A segment begins its transcript, goes on with it, or may do either, as the first one of a task.
+BEGINS, GOES_ON, EITHER = range(3)
+
+
+def _segments(size: int, at_once: int = 4096):
+    """Cuts sorted lines with their numbers into runs of at most `size` lines of one transcript."""
+    def run(batches):
+        seg, conv, place = TaskContext.get().partitionId() << 32, None, EITHER
+        numbers, texts, cuts, rows = [], [], [0], []
+
+        def close():
+            nonlocal seg, place
+            if len(texts) > cuts[-1]:
+                cuts.append(len(texts))
+                rows.append((conv, seg, place))
+                seg, place = seg + 1, GOES_ON
+
+        def batch_of():
+            out = pa.StructArray.from_arrays(
+                [pa.array(numbers, pa.int64()), pa.array(texts, pa.string())], ["line_no", "text"])
+            whole = [*(pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32()))),
+                     pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), out)]
+            return pa.RecordBatch.from_arrays(whole, ["conv_id", "seg", "place", "lines"])
+
+        for batch in sliced(batches):
+            for c, i, t, n in zip(*(batch.column(k).to_pylist() for k in (*KEY, "n"))):
+                if conv is not None and c != conv:
+                    close()
+                    place = BEGINS
+                    if len(texts) >= at_once:
+                        yield batch_of()
+                        numbers, texts, cuts, rows = [], [], [0], []
+                conv = c
+                while n:
+                    k = min(n, size - len(texts) + cuts[-1])
+                    numbers += [i] * k
+                    texts += [t] * k
+                    n -= k
+                    if len(texts) - cuts[-1] == size:
+                        close()
+                        if len(texts) >= at_once:
+                            yield batch_of()
+                            numbers, texts, cuts, rows = [], [], [0], []
+        close()
+        if rows:
+            yield batch_of()
+    return run
+
+
 def parse_transcripts(lines: DataFrame, model: Model, segment: int = 512) -> DataFrame:
     """Turns from raw lines (conv_id, line_no, text): (conv_id, first_line, n_lines, role, begins,
     ends, rendered).
 
-    A transcript is cut into segments of `segment` line numbers. For each, the best score between
-    every pair of entry and exit states is computed; along a transcript these small tables give the
-    states at the segment ends, and the segments are then decoded by themselves: the same path as
-    Viterbi over all lines, with no transcript in one task. A turn over a segment end comes in
-    pieces, of which one begins and one ends it. Rendered: `<|role|>`, the lines without markers,
-    `<|end|>`. Null lines are empty, lines with equal numbers come in order of their text; a null
-    conv_id is a transcript of its own.
+    The lines are sorted over all tasks and cut into segments of at most `segment` lines of one
+    transcript, whatever their numbers are; equal lines travel with their count, so a hot line is cut too.
+    For each segment, the best score between every pair of entry and exit states is computed; along a
+    transcript these small tables, 36 numbers a segment, come together and give the states at the segment ends,
+    and the segments are then decoded by themselves: the same path as Viterbi over all lines, with no
+    transcript's lines in one task. A turn over a segment end comes in pieces, of which one begins and
+    one ends it. Rendered: `<|role|>`, the lines without markers, `<|end|>`. Null lines are empty,
+    lines with equal numbers come in order of their text; a null conv_id is a transcript of its own.
     """
-    seg = F.floor(F.col("line_no") / segment)
+    small_batches(lines.sparkSession)
     conv = F.coalesce(F.col("conv_id").cast("long"), F.lit(LOWEST)).alias("conv_id")
-    parts = lines.select(conv, seg.alias("seg"), "line_no", F.coalesce("text", F.lit("")).alias("text"))
-    parts = stored(parts.groupBy("conv_id", "seg").agg(
-        F.sort_array(F.collect_list(F.struct("line_no", "text"))).alias("lines")), "transcripts")
-    firsts = parts.groupBy("conv_id").agg(F.min("seg").alias("first"))
+    rows = lines.select(conv, F.col("line_no").cast("long").alias("line_no"), F.coalesce("text", F.lit("")).alias("text"))
+    counted = rows.mapInArrow(_counted, "conv_id long, line_no long, text string, n long")
+    parts = stored(counted.repartitionByRange(*KEY).sortWithinPartitions(*KEY).mapInArrow(
+        _segments(segment), "conv_id long, seg long, place int, lines array<struct<line_no: long, text: string>>"),
+        "transcripts")
 
     def transfers(batches):
-        for b in batches:
-            out = [model.transfer([symbol_of(x["text"]) for x in ls], s == f).ravel()
-                   for ls, s, f in zip(*(b.column(c).to_pylist() for c in ("lines", "seg", "first")))]
+        for b in sliced(batches, 20):
+            out = []
+            for ls, place in zip(b.column("lines").to_pylist(), b.column("place").to_pylist()):
+                symbols = [symbol_of(x["text"]) for x in ls]
+                firsts = {BEGINS: (True,), GOES_ON: (False,), EITHER: (True, False)}[place]
+                out.append(np.concatenate([model.transfer(symbols, f) for f in firsts]).ravel())
             yield pa.RecordBatch.from_arrays(
                 [b.column("conv_id"), b.column("seg"), pa.array(out, pa.list_(pa.float64()))], ["conv_id", "seg", "m"])
 
@@ -170,21 +236,22 @@ def parse_transcripts(lines: DataFrame, model: Model, segment: int = 512) -> Dat
         for b in batches:
             rows = []
             for conv, tables in zip(b.column("conv_id").to_pylist(), b.column("tables").to_pylist()):
-                found = segment_ends([np.array(t["m"]).reshape(-1, STATES) for t in tables])
+                ms = [np.array(t["m"]).reshape(-1, STATES) for t in tables]
+                found = segment_ends([ms[0][:1], *(m[-STATES:] for m in ms[1:])])
                 after = [t["seg"] for t in tables[1:]] + [None]
                 rows += [(conv, t["seg"], a, z, n) for t, a, z, n in zip(tables, [-1, *found], found, after)]
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else
                                              [pa.array([], k) for k in kinds], ["conv_id", "seg", "before", "last", "next"])
 
-    tables = parts.join(firsts, "conv_id").select("conv_id", "seg", "lines", "first").mapInArrow(
+    tables = parts.select("conv_id", "seg", "place", "lines").mapInArrow(
         transfers, "conv_id long, seg long, m array<double>")
     found = stored(tables.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("seg", "m"))).alias("tables"))
                    .mapInArrow(ends, "conv_id long, seg long, before int, last int, next long"), "ends")
     def pieces(batches):
-        for b in batches:
+        for b in sliced(batches, 20):
             rows = []
-            for conv, ls, before, last in zip(*(b.column(c).to_pylist() for c in ("conv_id", "lines", "before", "last"))):
+            for conv, seg, ls, before, last in zip(*(b.column(c).to_pylist() for c in ("conv_id", "seg", "lines", "before", "last"))):
                 texts = [x["text"] for x in ls]
                 marks = [features(t) for t in texts]
                 path = model.path([m[0] for m in marks], before, last)
@@ -193,16 +260,15 @@ def parse_transcripts(lines: DataFrame, model: Model, segment: int = 512) -> Dat
                     begins = path[a] % 2 == 0
                     body = "\n".join(texts[i][marks[i][1] if i == a and begins else 0:] for i in range(a, z))
                     role = ROLES[path[a] // 2]
-                    rows.append((conv, ls[a]["line_no"], z - a, role, begins, (f"<|{role}|>\n" if begins else "") + body,
+                    rows.append((conv, seg, ls[a]["line_no"], z - a, role, begins, (f"<|{role}|>\n" if begins else "") + body,
                                  z == len(path)))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.string(), pa.bool_())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.string(), pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds],
-                ["conv_id", "first_line", "n_lines", "role", "begins", "rendered", "at_end"])
+                ["conv_id", "seg", "first_line", "n_lines", "role", "begins", "rendered", "at_end"])
 
-    out = parts.join(found, ["conv_id", "seg"]).select("conv_id", "lines", "before", "last").mapInArrow(
-        pieces, "conv_id long, first_line long, n_lines long, role string, begins boolean, rendered string, at_end boolean")
-    out = out.withColumn("seg", F.floor(F.col("first_line") / segment))
+    out = parts.join(found, ["conv_id", "seg"]).select("conv_id", "seg", "lines", "before", "last").mapInArrow(
+        pieces, "conv_id long, seg long, first_line long, n_lines long, role string, begins boolean, rendered string, at_end boolean")
     # a piece at a segment's end goes on if the first piece of the next segment does not begin
     opened = out.where(~F.col("begins")).select("conv_id", F.col("seg").alias("next"))
     goes = (found.where("next is not null").join(opened, ["conv_id", "next"], "left_semi")

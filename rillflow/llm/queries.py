@@ -56,8 +56,8 @@ def op8_line_first_cleaning(spark: SparkSession, folder: str) -> DataFrame:
         "base_failed", "kept", "n_lines_removed", "n_words_removed")
 
 
-#: Lines of a turn are numbered from turn * LINES on.
-LINES = 2**20
+#: Lines of a turn are numbered from turn * LINES on; no array of lines is as long.
+LINES = 2**31
 #: Marker styles of the raw transcripts: by name, in brackets, by another name, none.
 STYLES = (("System: ", "User: ", "Assistant: "), ("[system] ", "[user] ", "[assistant] "),
           ("Instructions: ", "Human: ", "AI: "), ("", "", ""))
@@ -72,15 +72,15 @@ def transcript_lines(conversations: DataFrame) -> DataFrame:
     mark = F.coalesce(F.get(F.get(names, style), at), F.lit(""))
     rows = conversations.select("conv_id", "turn", "role", mark.alias("mark"),
                                 F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("idx", "line"))
-    return rows.select("conv_id", "turn", "idx", "role", (F.col("turn") * LINES + F.col("idx")).alias("line_no"),
+    return rows.select("conv_id", "turn", "idx", "role", (F.col("turn").cast("long") * LINES + F.col("idx")).alias("line_no"),
                        F.when(F.col("idx") == 0, F.concat("mark", "line")).otherwise(F.col("line")).alias("text"))
 
 
 def op9_transcript_roles(spark: SparkSession, folder: str) -> DataFrame:
     """The turns of all conversations, recovered from their raw transcripts."""
     lines = transcript_lines(table(spark, folder, "conversations"))
-    return parse_transcripts(lines, fit(lines), segment=256 * LINES).withColumn(
-        "turn", F.floor(F.col("first_line") / LINES))
+    return parse_transcripts(lines, fit(lines)).withColumn(
+        "turn", F.shiftright("first_line", LINES.bit_length() - 1))
 
 
 def op10_host_reputation(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,10 +8,11 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from check import compare, open_tables
 from conftest import SF
-from rillflow.llm.chat_format import ROLES, Model, segment_ends
+from rillflow.llm.chat_format import ROLES, SYMBOLS, Model, parse_transcripts, segment_ends, symbol_of
 from rillflow.llm.components import components
 from rillflow.llm.jaccard_join import index_keys, jaccard_components
 from rillflow.llm.line_dedup import dedup_lines
@@ -21,7 +22,7 @@ from rillflow.llm.order_minhash import fingerprint, fingerprints, likeness
 from rillflow.llm.packing import Encoder, Packer, pack
 from rillflow.llm.pii import Field, added_spans, base_spans, find, luhn
 from rillflow.llm.quality_rules import clean_lines
-from rillflow.llm.queries import QUERIES
+from rillflow.llm.queries import QUERIES, transcript_lines
 from rillflow.llm.shingles import shingle_set
 from rillflow.llm.url_filter import judge_urls
 
@@ -296,6 +297,73 @@ def test_segments_give_the_viterbi_path():
     assert got == path
 
 
+LINE = "conv_id long, line_no long, text string"
+
+
+def plain_turns(rows, model):
+    """(conv_id, first line, lines, role) of the turns on the best way through whole transcripts."""
+    out = Counter()
+    for conv in {r[0] for r in rows}:
+        ls = sorted(((i is not None, i or 0, (t or "").encode()) for c, i, t in rows if c == conv))
+        symbols = [symbol_of(t.decode()) for _, _, t in ls]
+        path = model.path(symbols, -1, int(model.transfer(symbols, True)[0].argmax()))
+        cuts = [k for k, s in enumerate(path) if s % 2 == 0] + [len(path)]
+        out.update((conv, ls[a][1] if ls[a][0] else None, z - a, ROLES[path[a] // 2]) for a, z in zip(cuts, cuts[1:]))
+    return out
+
+
+def joined_turns(pieces):
+    """Turns from their pieces, by the order of the lines in a transcript; a turn goes on in the next piece."""
+    out = Counter((r.conv_id, r.first_line, r.n_lines, r.role) for r in pieces if r.begins and r.ends)
+    for r in pieces:
+        assert r.rendered.startswith(f"<|{r.role}|>") == r.begins and r.rendered.endswith("<|end|>") == r.ends
+    return out
+
+
+@pytest.fixture(scope="module")
+def chat():
+    rnd = np.random.default_rng(11)
+    n = 2 * len(ROLES)
+    return Model.fitted({(a, b): rnd.random() * 9 for a in range(-1, n) for b in range(n) if a >= 0 or b % 2 == 0},
+                        {(a, o): rnd.random() * 9 for a in range(n) for o in range(SYMBOLS)})
+
+
+def chat_rows():
+    rnd = random.Random(12)
+    some = ["User: hi?", "Assistant: " + "word " * 20, "well", "System: be brief", "", None, "why?", "x " * 70]
+    rows = [(c, i, rnd.choice(some)) for c in (1, 2, 3) for i in range(rnd.randint(1, 9))]
+    rows += [(None, rnd.randrange(3), rnd.choice(some)) for _ in range(200)]  # few numbers, many lines
+    rows += [(5, 7, "User: the same?")] * 150 + [(5, 2**33, "end")]
+    return rows
+
+
+def test_segments_of_null_ids_and_equal_numbers(spark, chat):
+    assert_whole(spark, chat, chat_rows())
+
+
+def assert_whole(spark, chat, rows):
+    got = parse_transcripts(spark.createDataFrame(rows, LINE).repartition(5), chat, segment=10**6).collect()
+    assert sum(r.n_lines for r in got) == len(rows)
+    short = parse_transcripts(spark.createDataFrame(rows, LINE).repartition(5), chat, segment=4).collect()
+    assert max(r.n_lines for r in short) <= 4 and sum(r.n_lines for r in short) == len(rows)
+    want = plain_turns(rows, chat)
+    for turns in (got, short):
+        assert all(joined_turns(turns)[t] <= want[t] for t in joined_turns(turns))
+        assert Counter(r.conv_id for r in turns if r.begins) == Counter(t[0] for t in want.elements())
+        assert Counter(r.conv_id for r in turns if r.ends) == Counter(t[0] for t in want.elements())
+        for c in {r[0] for r in rows}:
+            by_role = lambda x: sum(n for k, n in x if k == c)
+            assert all(by_role([(t[0], t[2]) for t in want.elements() if t[3] == role])
+                       == by_role([(r.conv_id, r.n_lines) for r in turns if r.role == role]) for role in ROLES)
+    return got
+
+
+def test_long_turns_keep_their_number(spark):
+    rows = [(1, 0, "user", "a\n" * (2**20 + 5)), (1, 1, "assistant", "b"), (1, -1, "user", "c")]
+    lines = transcript_lines(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert lines.select("line_no").distinct().count() == 2**20 + 8
+
+
 def test_transcript_roles_are_found(spark):
     got = QUERIES["op9_transcript_roles"](spark, SF).where("begins").select("conv_id", "turn", "role").collect()
     true = {(r.conv_id, r.turn): r.role for r in spark.read.parquet(f"{SF}/conversations.parquet").collect()}
