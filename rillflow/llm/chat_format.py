@@ -212,7 +212,9 @@ def parse_transcripts(lines: DataFrame, model: Model, segment: int = 512) -> Dat
     and the segments are then decoded by themselves: the same path as Viterbi over all lines, with no
     transcript's lines in one task. A turn over a segment end comes in pieces, of which one begins and
     one ends it. Rendered: `<|role|>`, the lines without markers, `<|end|>`. Null lines are empty,
-    lines with equal numbers come in order of their text; a null conv_id is a transcript of its own.
+    lines with equal numbers come in order of their text; lines with a null number come first in their
+    transcript, in order of their text, and `first_line` is null for pieces that begin with one; a
+    null conv_id is a transcript of its own.
     """
     small_batches(lines.sparkSession)
     conv = F.coalesce(F.col("conv_id").cast("long"), F.lit(LOWEST)).alias("conv_id")

@@ -358,6 +358,16 @@ def assert_whole(spark, chat, rows):
     return got
 
 
+def test_lines_without_a_number_come_first(spark, chat):
+    rows = [(6, None, t) for t in ("User: hi?", "", None, "why?", "System: be brief")]
+    rows += [(6, 0, "User: a"), (6, 1, "b"), (8, None, "Assistant: only this"), (None, None, "User: x"), (None, -1, "y")]
+    got = assert_whole(spark, chat, rows)
+    assert {r.conv_id for r in got if r.first_line is None} == {6, 8, None}
+    conversations = [(1, None, "user", "c\nd"), (1, 0, "user", "e"), (None, None, "user", "f")]
+    lines = transcript_lines(spark.createDataFrame(conversations, "conv_id long, turn long, role string, text string"))
+    assert sum(r.n_lines for r in parse_transcripts(lines, chat).collect()) == 4
+
+
 def test_long_turns_keep_their_number(spark):
     rows = [(1, 0, "user", "a\n" * (2**20 + 5)), (1, 1, "assistant", "b"), (1, -1, "user", "c")]
     lines = transcript_lines(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
