@@ -101,7 +101,7 @@ def test_rows_without_user_are_kept(make_events):
     e = make_events([(0, None), (1, None), (1, "a")])
     assert rows_of(bursts(e), "id", "is_anomaly") == [(0, False), (1, False), (2, False)]
     got = {r.id: r.n for r in numbered(e, ["user_id"], "timestamp", "id", "n").collect()}
-    assert got == {0: None, 1: None, 2: 1}
+    assert got == {0: 1, 1: 2, 2: 1}  # rows without a user are a group of their own
 
 
 def test_numbered_and_previous_equal_plain_windows(make_events):
