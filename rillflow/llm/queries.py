@@ -13,6 +13,7 @@ from rillflow.llm.line_dedup import dedup_lines
 from rillflow.llm.mixing import mix
 from rillflow.llm.order_minhash import fingerprints
 from rillflow.llm.packing import pack
+from rillflow.llm.periodic_runs import digests, find_runs
 from rillflow.llm.pii import find
 from rillflow.llm.quality_rules import clean_lines
 from rillflow.llm.url_filter import judge_urls
@@ -93,7 +94,11 @@ def op10_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "host_labelled", "host_bad")
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return digests(find_runs(table(spark, folder, "documents"), test_repeats=True))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_katz_backoff, op2_skip_chain_pii, op3_set_relation_join, op4_order_minhash,
     op5_winnowed_lines, op6_fair_mix, op7_sum_of_squares_packing, op8_line_first_cleaning,
-    op9_transcript_roles, op10_host_reputation)}
+    op9_transcript_roles, op10_host_reputation, op11_periodic_runs)}
