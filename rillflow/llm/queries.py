@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rillflow.llm.chat_format import fit, parse_transcripts
 from rillflow.llm.common import table
+from rillflow.llm.conversation_audit import audit_rows, damaged
 from rillflow.llm.jaccard_join import jaccard_components
 from rillflow.llm.katz import score
 from rillflow.llm.line_dedup import dedup_lines
@@ -98,7 +99,12 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return digests(find_runs(table(spark, folder, "documents"), test_repeats=True))
 
 
+def op12_audit_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    return audit_rows(conversations, damaged(conversations))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_katz_backoff, op2_skip_chain_pii, op3_set_relation_join, op4_order_minhash,
     op5_winnowed_lines, op6_fair_mix, op7_sum_of_squares_packing, op8_line_first_cleaning,
-    op9_transcript_roles, op10_host_reputation, op11_periodic_runs)}
+    op9_transcript_roles, op10_host_reputation, op11_periodic_runs, op12_audit_repair)}
