@@ -17,6 +17,7 @@ from rillflow.llm.packing import pack
 from rillflow.llm.periodic_runs import digests, find_runs
 from rillflow.llm.pii import find
 from rillflow.llm.quality_rules import clean_lines
+from rillflow.llm.toxicity import score_toxicity
 from rillflow.llm.url_filter import judge_urls
 
 
@@ -104,7 +105,12 @@ def op12_audit_repair(spark: SparkSession, folder: str) -> DataFrame:
     return audit_rows(conversations, damaged(conversations))
 
 
+def op13_toxic_machine(spark: SparkSession, folder: str) -> DataFrame:
+    return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_katz_backoff, op2_skip_chain_pii, op3_set_relation_join, op4_order_minhash,
     op5_winnowed_lines, op6_fair_mix, op7_sum_of_squares_packing, op8_line_first_cleaning,
-    op9_transcript_roles, op10_host_reputation, op11_periodic_runs, op12_audit_repair)}
+    op9_transcript_roles, op10_host_reputation, op11_periodic_runs, op12_audit_repair,
+    op13_toxic_machine)}

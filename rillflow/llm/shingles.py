@@ -36,22 +36,35 @@ class Powers:
 _powers = Powers()
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """A 64-bit hash for each word of the text, A-Z lower-cased, in text order."""
+def _parted(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words (A-Z lower-cased), sums of the bytes times powers, inverse powers."""
     data = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), dtype=np.uint8)
     n = len(data)
     inside = np.zeros(n + 2, dtype=np.int8)
     inside[1:-1] = ~_BLANK[data]
     edges = np.flatnonzero(np.diff(inside))
-    start, end = edges[0::2], edges[1::2]
-    if not len(start):
-        return np.zeros(0, dtype=np.uint64)
     up, down = _powers(n + 1)
     total = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_BYTE[data] * up[:n], out=total[1:])
+    return edges[0::2], edges[1::2], total, down
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """A 64-bit hash for each word of the text, A-Z lower-cased, in text order."""
+    start, end, total, down = _parted(text)
     return mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def start_hashes(text: str | None, lengths: tuple[int, ...]) -> np.ndarray:
+    """Hashes of all words and of their first bytes, `lengths` of them where a word is longer."""
+    start, end, total, down = _parted(text)
+    out = [mix((total[end] - total[start]) * down[start])]
+    for n in lengths:
+        a = start[end - start > n]
+        out.append(mix((total[a + n] - total[a]) * down[a] + np.uint64(n)))
+    return np.concatenate(out)
+
+
 def shingle_set(text: str | None, size: int) -> np.ndarray:
     """The distinct shingles of `size` words, sorted; shorter texts are one shingle, texts
     without words the empty set."""
