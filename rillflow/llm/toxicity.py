@@ -171,7 +171,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", hel
     parts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-    learned = known.where(fold != held_out)
+    # both sides grow with the corpus, so the joins are merge joins at every size
+    learned = known.where(fold != held_out).hint("merge")
     counts = stored(term_counts(parts.where(F.col("doc_id").isNotNull() & (fold != held_out)).join(learned, "doc_id")), "terms")
     rows, ones = learned.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     terms = best_terms(counts, rows, ones, features) if 0 < ones < rows else np.zeros(0, np.int32)
