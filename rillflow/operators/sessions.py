@@ -21,10 +21,11 @@ def session_table(events: DataFrame) -> DataFrame:
     ).withColumn("session_duration", _seconds(F.col("session_end"), F.col("session_start")))
 
 
-def session_metrics(events: DataFrame) -> DataFrame:
-    """Events with the metrics of their whole session.
+def session_metrics(events: DataFrame, base: DataFrame | None = None) -> DataFrame:
+    """Events with the metrics of their whole session. `base` may give the same rows before other
+    columns were added, so that the aggregate does not compute those again.
 
     Aggregate and attach instead of windows: the aggregate shrinks before the shuffle, and the
     join splits sessions that hold many rows, which a window cannot.
     """
-    return attach(events, session_table(events), ["session_id"], "page_views", ["id"])
+    return attach(events, session_table(events if base is None else base), ["session_id"], "page_views", ["id"])

@@ -77,7 +77,7 @@ def _presence(points: DataFrame, horizons: dict[str, int]) -> dict[str, DataFram
 
 def trailing_activity(events: DataFrame, horizons: dict[str, int] = HORIZONS, counts: bool = True,
                       users: bool = True, ts: str = "timestamp", user: str = "user_id",
-                      event_id: str = "id") -> DataFrame:
+                      event_id: str = "id", base: DataFrame | None = None) -> DataFrame:
     """Adds events_<h> and unique_users_<h>: activity in [t - h, t] over all users, t inclusive.
 
     Both depend on t alone, so they are computed once per distinct t and attached to the events.
@@ -86,10 +86,11 @@ def trailing_activity(events: DataFrame, horizons: dict[str, int] = HORIZONS, co
     cell comes from totals per cell. Events leave h after they entered, users h after the last
     event of an unbroken presence. The work is linear in the number of events for any horizon, no
     window is larger than the distinct times of one cell, and no sets of users are built.
+    `base` may give the same rows before other columns were added: the counts are taken there.
     """
     size = gcd(60, *horizons.values()) * SECOND
     us = micros(ts)
-    points = events.where(us.isNotNull()).select(us.alias("_us"), F.col(user).alias("_user"))
+    points = (events if base is None else base).where(us.isNotNull()).select(us.alias("_us"), F.col(user).alias("_user"))
     stamps = points.groupBy("_us").agg(F.count("*").alias("_n"))
     moves, changes, inside, total = [stamps], [], {}, {}
     w = W.partitionBy("_cell").orderBy("_us")
@@ -121,7 +122,8 @@ def trailing_activity(events: DataFrame, horizons: dict[str, int] = HORIZONS, co
 
 
 def bursts(events: DataFrame, span_seconds: int = 60, factor: int = 3, history: int = 10,
-           ts: str = "timestamp", user: str = "user_id", event_id: str = "id") -> DataFrame:
+           ts: str = "timestamp", user: str = "user_id", event_id: str = "id",
+           base: DataFrame | None = None) -> DataFrame:
     """Flags events whose user is suddenly much busier than over the previous `history` events.
 
     current_events: the user's events in [t - span, t]; avg_events: mean of that number over the
@@ -130,17 +132,22 @@ def bursts(events: DataFrame, span_seconds: int = 60, factor: int = 3, history:
     Rows are partitioned by (user, cell of time), so one very busy user is spread over as many
     tasks as there are cells. Every row is also sent, without its payload, to the cell one span
     later, where it leaves the window; whole cells in between come from per-cell counts. The last
-    `history` rows before a cell travel as one short array per cell.
+    `history` rows before a cell travel as one short array per cell. `base` may give the same rows
+    before other columns were added: counts and leaving rows come from there.
     """
     span = span_seconds * SECOND
     size = MINUTE if span % MINUTE == 0 else span
     keys = [user, "_cell"]
-    own = events.withColumn("_us", micros(ts)).withColumn("_cell", cell("_us", size))
 
-    counts = own.groupBy(*keys).agg(F.count("*").alias("_n"))
+    def in_cells(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_us", micros(ts)).withColumn("_cell", cell("_us", size))
+
+    own = in_cells(events)
+    slim = own if base is None else in_cells(base.select(user, ts))
+    counts = slim.groupBy(*keys).agg(F.count("*").alias("_n"))
     whole = counts.select(*keys, _span_sum(
         "_n", W.partitionBy(user).orderBy("_cell"), -span, -size).alias("_whole"))
-    leaving = own.select(user, (F.col("_us") + span).alias("_us"),
+    leaving = slim.select(user, (F.col("_us") + span).alias("_us"),
                          (F.col("_cell") + span).alias("_cell"), F.lit(1).alias("_out"))
     order = W.partitionBy(*keys).orderBy("_us")
     rows = W.partitionBy(*keys).orderBy("_us", event_id)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import datetime, timedelta
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import Settings
-from ..functions.timefn import since
+from ..functions.timefn import ago, between, moment
 from ..operators import aggregates as A
 from ..operators.enrich import enrich_events, essential_columns, time_features
-from ..operators.sessions import session_metrics
-from ..operators.trailing import bursts, trailing_activity
+from ..operators.halo import burst_halo, touched_sessions
+from ..operators.sessions import session_metrics, session_table
+from ..operators.skew import attach
+from ..operators.trailing import HORIZONS, bursts, trailing_activity
 from ..operators.transforms import shared_input
 from ..sources.files import write_all, write_bucket, write_files
 from ..sources.warehouse import write_database
@@ -17,19 +21,40 @@ from ..sources.warehouse import write_database
 
 def processed_events(events: DataFrame) -> DataFrame:
     """Enrichment, session metrics, trailing activity and burst flags on every event."""
-    return bursts(trailing_activity(session_metrics(enrich_events(events))))
+    rows = trailing_activity(session_metrics(enrich_events(events), base=events), base=events)
+    return bursts(rows, base=events)
 
 
-def run_events(spark: SparkSession, source: str, target: str, as_of: str | None = None,
-               only_essential: bool = False) -> None:
-    """Events from Parquet, processed, written as Parquet.
+def processed_between(events: DataFrame, start: str, end: str, session_reach: str | None = None) -> DataFrame:
+    """The rows of `processed_events` with start <= timestamp < end, from these and their halo alone.
 
-    With `as_of` the last hour before it is kept. Trailing counts reach one hour further back, and
-    session metrics over whole sessions, so the filter is applied to the result.
+    Trailing activity reads its longest horizon further back, session metrics the other rows of the touched
+    sessions (all history, or `session_reach` around the range when no session lasts longer), bursts the last
+    rows of the touched users. What is shuffled depends on the range, not on the history.
     """
-    out = processed_events(spark.read.parquet(source))
+    longest = max(HORIZONS.values())
+    recent = events.where((F.col("timestamp") >= ago(events, "timestamp", start, f"{longest} seconds"))
+                          & (F.col("timestamp") < moment(events, "timestamp", end)))
+    inside = between(events, "timestamp", start, end)
+    rows = trailing_activity(enrich_events(recent), base=recent).where(
+        F.col("timestamp") >= moment(events, "timestamp", start))
+    sessions = session_table(touched_sessions(events, inside, start, end, session_reach))
+    rows = attach(rows, sessions, ["session_id"], "page_views", ["id"])
+    halo = burst_halo(events, inside, start).withColumn("_kept", F.lit(False))
+    marked = rows.withColumn("_kept", F.lit(True)).unionByName(halo, allowMissingColumns=True)
+    slim = inside.select("user_id", "timestamp", "id").unionByName(halo.drop("_kept"))
+    return bursts(marked, base=slim).where("_kept").drop("_kept")
+
+
+def run_events(spark: SparkSession, source: str, target: str, as_of: str | None = None,
+               only_essential: bool = False, session_reach: str | None = None) -> None:
+    """Events from Parquet, processed, written as Parquet; with `as_of` only the hour before it."""
+    events = spark.read.parquet(source)
     if as_of:
-        out = since(out, "timestamp", as_of, "1 hour")
+        start = str(datetime.fromisoformat(as_of) - timedelta(hours=1))
+        out = processed_between(events, start, as_of, session_reach)
+    else:
+        out = processed_events(events)
     write_files(essential_columns(out) if only_essential else out, target)
 
 

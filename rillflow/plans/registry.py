@@ -18,6 +18,7 @@ from ..session import shared_dir, use_utc
 from ..sources import files, model, topics, warehouse
 from ..sources.model import AS_OF, EVENT_TYPES, FUNNEL_STEPS
 from ..streaming import io, jobs
+from . import jobs as batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -246,6 +247,14 @@ _simple("event_sequence", lambda e: R.numbered(
 ).select("id", "user_id", "session_id", "event_sequence"))
 _simple("ranked_users", A.ranked_users)
 
+PROCESSED = ["id", "user_id", "session_id", "clean_page_url", "device_type", "browser", "session_start", "session_end",
+             "session_duration", "page_views", "unique_pages", "events_5min", "events_1hour", "unique_users_5min",
+             "unique_users_1hour", "current_events", "avg_events", "is_anomaly"]
+_simple("processed_events", lambda e: batch.processed_events(e).select(*PROCESSED), pages=True)
+# A session is a user's day here, so none reaches further than a day.
+_simple("processed_last_hour", lambda e: batch.processed_between(
+    e, "2024-01-30 23:00:00", AS_OF, "1 day").select(*PROCESSED), pages=True)
+
 
 # ---- metrics ----------------------------------------------------------------------------------
 
