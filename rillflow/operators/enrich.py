@@ -36,14 +36,17 @@ def browser(agent: Column) -> Column:
     return _first_marker(agent, BROWSERS, "Other")
 
 
+def enriched_columns(page_url: Column, user_agent: Column) -> dict[str, Column]:
+    return {
+        "clean_page_url": clean_url(page_url),
+        "device_type": device_type(user_agent),
+        "browser": browser(user_agent),
+    }
+
+
 def enrich_events(df: DataFrame) -> DataFrame:
     """Adds clean_page_url, device_type and browser."""
-    agent = F.col("user_agent")
-    return df.withColumns({
-        "clean_page_url": clean_url(F.col("page_url")),
-        "device_type": device_type(agent),
-        "browser": browser(agent),
-    })
+    return df.withColumns(enriched_columns(F.col("page_url"), F.col("user_agent")))
 
 
 def value_band(value: Column) -> Column:

@@ -180,3 +180,17 @@ def health_measures(health: DataFrame, window_start: str) -> DataFrame:
         F.col(window_start).alias("window_start"), F.lit("failed_checks").alias("metric"),
         (F.col("components") - F.col("healthy_components")).alias("num"),
         F.lit(1).cast("long").alias("den"))
+
+
+def run_measures(commits: DataFrame, capacity: int) -> DataFrame:
+    """Measures for `alerts` from the commit records of a stream (see streaming/commits.py), one batch
+    each: share of errors and broken rows, lag = processing time - newest event time, and
+    utilization = rows of a batch of the `capacity` rows that one batch may have. Nothing is scanned again.
+    """
+    lag = F.unix_seconds("processed_at") - F.unix_seconds("newest")
+    one = F.lit(1).cast("long")
+    values = [("error_rate", F.col("errors") + F.col("rows_dead_letters"), F.col("rows")),
+              ("processing_lag_seconds", lag, one), ("utilization", F.col("rows"), F.lit(capacity).cast("long"))]
+    return commits.select("batch", F.col("processed_at").alias("window_start"), F.explode(F.array(*[
+        F.struct(F.lit(name).alias("metric"), num.alias("num"), den.alias("den")) for name, num, den in values
+    ])).alias("m")).where("m.num IS NOT NULL").select("window_start", "m.*")

@@ -51,32 +51,32 @@ def to_envelope(df: DataFrame, key: str, attributes: list[str] | None = None) ->
     return df.select(*cols)
 
 
-def parse_json(df: DataFrame, schema: StructType) -> DataFrame:
-    """The fields of the JSON value."""
-    return df.select(
-        F.from_json(F.col("value").cast("string"), schema).alias("data")).select("data.*")
-
-
-def check_messages(df: DataFrame, schema: StructType, topics: list[str]) -> DataFrame:
+def check_messages(df: DataFrame, schema: StructType, topics: list[str] | None = None) -> DataFrame:
     """Adds `data` and `reason`: null for a good message, else why it cannot be handled.
 
-    A value that is not a JSON object parses to a null struct or, when it is cut off, to a struct
-    with the raw text in the corrupt-record field.
+    A message is good if its value is a JSON object whose fields fit the schema. Other values give a null
+    struct or one with the raw text in the corrupt-record field. `topics`: those that are handled, null for any.
     """
     probe = StructType(list(schema.fields)).add("_corrupt", "string")
     data = F.from_json(F.col("value").cast("string"), probe,
                        {"columnNameOfCorruptRecord": "_corrupt"})
     broken = F.col("data").isNull() | F.col("data._corrupt").isNotNull()
-    return df.withColumn("data", data).withColumn(
-        "reason",
-        F.when(~F.coalesce(F.col("topic").isin(topics), F.lit(False)), "unknown topic")
-        .when(broken, "bad message"))
+    reason = F.when(broken, "bad message")
+    if topics is not None:
+        known = F.coalesce(F.col("topic").isin(topics), F.lit(False))
+        reason = F.when(~known, "unknown topic").otherwise(reason)
+    return df.withColumn("data", data).withColumn("reason", reason)
 
 
 def good_messages(checked: DataFrame) -> DataFrame:
     return checked.where("reason is null").select("data.*").drop("_corrupt")
 
 
+def parse_json(df: DataFrame, schema: StructType) -> DataFrame:
+    """The fields of the good messages; broken ones go to `dead_letters`, not into the events."""
+    return good_messages(check_messages(df, schema))
+
+
 def dead_letters(checked: DataFrame) -> DataFrame:
     return checked.where("reason is not null").drop("data")
 

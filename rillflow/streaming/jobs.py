@@ -7,16 +7,79 @@ from datetime import timedelta
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators.enrich import enrich_events
+from ..operators.enrich import enrich_events, enriched_columns
 from ..operators.metrics import metric_change, newest
-from ..sources.topics import Handler, parse_json, route
+from ..config import Settings
+from ..schemas import ENVELOPE
+from ..sources.topics import Handler, check_messages, good_messages, route
+from . import io
+from .commits import Sinks
 
 
-def enriched(messages: DataFrame, schema: StructType) -> DataFrame:
-    """Topic records to enriched events."""
-    return enrich_events(parse_json(messages, schema))
+def enriched(messages: DataFrame, schema: StructType, topics: list[str]) -> DataFrame:
+    """The good topic records as enriched events. Broken ones are left to `quarantined`."""
+    return enrich_events(good_messages(check_messages(messages, schema, topics)))
+
+
+def quarantined(root: str, schema: StructType, topics: list[str], enrich: bool = True,
+                clock: str | None = None, ts: str = "timestamp") -> Sinks:
+    """Two outputs of topic records: `events`, the good ones (enriched), and `dead_letters`, the others with
+    the reason, in one write per batch. Each batch also records how many rows it had and how
+    far the newest event time lies behind the processing time (`clock`: a fixed one instead).
+    """
+    columns = [f.name for f in ENVELOPE.fields]
+    now = F.current_timestamp() if clock is None else F.lit(clock).cast("timestamp")
+
+    def checked(batch: DataFrame) -> DataFrame:
+        rows = check_messages(batch, schema, topics)
+        return rows.withColumn("data", F.when(F.col("reason").isNull(), F.col("data")))
+
+    def parts(rows: DataFrame) -> dict:
+        good = [F.col(f"data.{f.name}").alias(f.name) for f in schema.fields]
+        if enrich:
+            flat = {f.name: F.col(f"data.{f.name}") for f in schema.fields}
+            good += [c.alias(n) for n, c in enriched_columns(flat["page_url"], flat["user_agent"]).items()]
+        known = [c for c in columns if c in rows.columns]
+        return {"events": (F.col("reason").isNull(), good),
+                "dead_letters": (F.col("reason").isNotNull(), [*map(F.col, known), F.col("reason")])}
+
+    def measures(rows: DataFrame) -> list:
+        at = F.col(f"data.{ts}").cast("timestamp")
+        kind = "data.event_type" if "event_type" in schema.fieldNames() else None
+        errors = F.count_if(F.col(kind) == "error") if kind else F.lit(0).cast("long")
+        return [F.max(at).alias("newest"), F.min(now).alias("processed_at"), errors.alias("errors")]
+
+    sinks = Sinks(root, parts, measures)
+    write = sinks.write
+    sinks.write = lambda batch, batch_id: write(checked(batch), batch_id)
+    return sinks
+
+
+#: What `quarantined` records of each batch beyond the rows of the outputs.
+MEASURED = "rows_events long, rows_dead_letters long, newest timestamp, processed_at timestamp, errors long"
+
+
+def event_output(schema: StructType, enrich: bool = True) -> StructType:
+    added = ("clean_page_url", "device_type", "browser") if enrich else ()
+    return StructType([*schema.fields, *[StructField(n, StringType()) for n in added]])
+
+
+def dead_letter_output(columns: list[str]) -> StructType:
+    return StructType([*[f for f in ENVELOPE.fields if f.name in columns], StructField("reason", StringType())])
+
+
+def run_stream(messages: DataFrame, sinks: Sinks, settings: Settings, once: bool = False):
+    """Starts the processing stream: trigger interval from the settings, checkpoint next to the data."""
+    return io.for_each(messages, sinks.write, f"{sinks.root}/checkpoint",
+                       trigger_seconds=None if once else settings.checkpoint_interval)
+
+
+def configured_counts(events: DataFrame, settings: Settings) -> DataFrame:
+    """`sliding_counts` with window, slide and watermark of the settings."""
+    return sliding_counts(events, window_seconds=settings.window_duration,
+                          slide_seconds=settings.slide_duration, watermark=settings.watermark)
 
 
 def sliding_counts(events: DataFrame, ts: str = "timestamp", window_seconds: int = 300,

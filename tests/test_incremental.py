@@ -31,7 +31,7 @@ def long_history(seed=4):
     rows += [(hour + 100 + i, "new", None, 1.0, "n") for i in range(4)] + [(hour + 5, None, None, 1.0, None)] * 3
     rows += [(hour + i * 250, u, None, 1.0, f"s{i % 5}") for i in range(14) for u in ("a", "slow", "once")]
     rows += [(hour - 0.5, "slow", None, 1.0, "long"), (hour, "slow", None, 1.0, "long"), (hour + 3600, "slow", None, 1.0, "long")]
-    rows += [(hour + 2000 + i * 0.1, "slow", None, 1.0, "long") for i in range(12)]
+    rows += [(hour + 2100 + i * 0.1, "slow", None, 1.0, "long") for i in range(12)]
     return rows, str(T0 + timedelta(seconds=hour)), str(T0 + timedelta(seconds=hour + 3600))
 
 
