@@ -97,3 +97,35 @@ WITH p AS (SELECT *, lag(metric_value) OVER (PARTITION BY metric_name ORDER BY "
 SELECT id, metric_name, metric_value, pv AS previous_value,
        (metric_value - pv) / nullif(pv, 0) * 100 AS change_percent,
        coalesce(abs((metric_value - pv) / nullif(pv, 0) * 100) > 20, FALSE) AS is_significant FROM p
+
+-- name: stream_events
+SELECT id, user_id, event_type, cents, "timestamp", device_type, browser
+FROM user_events WHERE event_type <> 'signup' AND user_id <= 127 AND cents <= 32767
+
+-- name: stream_dead_letters
+SELECT id AS "offset", CAST(user_id AS VARCHAR) AS key, cents,
+       CASE WHEN event_type = 'signup' THEN 'signups' ELSE 'user_events' END AS topic,
+       CASE WHEN event_type = 'signup' THEN 'unknown topic' ELSE 'bad message' END AS reason
+FROM user_events WHERE event_type = 'signup' OR user_id > 127 OR cents > 32767
+
+-- name: run_alerts
+WITH m AS (
+  SELECT count(*) AS n, count(*) FILTER (event_type = 'signup' OR user_id > 127 OR cents > 32767 OR event_type = 'error') AS bad,
+         CAST(epoch(TIMESTAMP '2024-01-31 00:00:00') - floor(epoch(max("timestamp") FILTER (
+           event_type <> 'signup' AND user_id <= 127 AND cents <= 32767))) AS BIGINT) AS lag
+  FROM user_events)
+SELECT TIMESTAMP '2024-01-31 00:00:00' AS window_start, x.* FROM (
+  SELECT 'error_rate' AS metric, bad AS num, n AS den, 'error' AS severity FROM m WHERE 100 * bad > n
+  UNION ALL SELECT 'processing_lag_seconds', lag, 1, 'warning' FROM m WHERE lag > 300
+  UNION ALL SELECT 'utilization', n, 10000, 'warning' FROM m WHERE 10 * n > 8 * 10000) x
+
+-- name: stream_session_counts
+SELECT date_trunc('day', "timestamp")::TIMESTAMP AS window_start, user_id, count(DISTINCT session_id) AS sessions
+FROM user_events
+WHERE date_trunc('day', "timestamp") + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY
+GROUP BY 1, 2
+
+-- name: stream_session_totals
+SELECT count(DISTINCT day) AS days, count(*) AS sessions, TRUE AS within_error FROM (
+  SELECT DISTINCT date_trunc('day', "timestamp") AS day, user_id, session_id FROM user_events
+  WHERE date_trunc('day', "timestamp") + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY) s

@@ -36,21 +36,16 @@ SELECT id, user_id, session_id, event_type, "timestamp" FROM user_events
 ORDER BY "timestamp" DESC, id DESC LIMIT 100 OFFSET 50
 
 -- name: payload_purchase
-SELECT id, coalesce(CAST(json_extract_string(event_data, '$.total_amount') AS DOUBLE), 0.0) AS total_amount,
-       coalesce(CAST(json_extract_string(event_data, '$.items_count') AS INTEGER), 0) AS items_count
-FROM user_events WHERE event_type = 'purchase'
+SELECT id, value AS total_amount, CAST(CASE WHEN k % 5 = 0 THEN 0 ELSE 1 + k % 9 END AS INTEGER) AS items_count
+FROM (SELECT *, CAST(json_extract_string(event_data, '$.k') AS INTEGER) AS k FROM user_events WHERE event_type = 'purchase') p
 
 -- name: payload_typed
 SELECT id, event_type,
-       CASE WHEN event_type = 'view' THEN json_extract_string(event_data, '$.video_id') END AS video_id,
-       CASE WHEN event_type = 'view' THEN
-         coalesce(CAST(json_extract_string(event_data, '$.video_duration') AS INTEGER), 0) END AS video_duration,
-       CASE WHEN event_type = 'click' THEN
-         coalesce(json_extract_string(event_data, '$.search_query'), '') END AS search_query,
-       CASE WHEN event_type = 'click' THEN
-         coalesce(CAST(json_extract_string(event_data, '$.search_results_count') AS INTEGER), 0) END
-         AS search_results_count
-FROM user_events
+       CASE WHEN event_type = 'view' THEN 'v' || k END AS video_id,
+       CAST(CASE WHEN event_type = 'view' THEN CASE WHEN k % 5 = 0 THEN 0 ELSE cents END END AS INTEGER) AS video_duration,
+       CASE WHEN event_type = 'click' THEN CASE WHEN k % 5 = 0 THEN '' ELSE 'user ' || user_id END END AS search_query,
+       CASE WHEN event_type = 'click' THEN k END AS search_results_count
+FROM (SELECT *, CAST(json_extract_string(event_data, '$.k') AS INTEGER) AS k FROM user_events) p
 
 -- name: parse_json
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
@@ -64,15 +59,16 @@ SELECT user_id, count(*) AS n FROM user_events
 WHERE event_type = 'purchase' AND value >= 10.0 GROUP BY user_id
 
 -- name: dead_letter
-SELECT event_id AS "offset", CAST(user_id AS VARCHAR) AS key,
-       CASE WHEN event_type = 'error' THEN substring(props, 1, 5) ELSE props END AS value,
+SELECT id AS "offset", CAST(user_id AS VARCHAR) AS key,
+       '{"user_id":' || user_id || ',"event_type":"' || event_type || '","cents":' || cents || ',"k":'
+       || json_extract_string(event_data, '$.k') || '}' AS value,
        CASE WHEN event_type = 'signup' THEN 'signups' ELSE 'user_events' END AS topic,
        CASE WHEN event_type = 'signup' THEN 'unknown topic' ELSE 'bad message' END AS reason
-FROM events WHERE event_type IN ('signup', 'error')
+FROM user_events WHERE event_type = 'signup' OR user_id > 127 OR cents > 32767
 
 -- name: good_messages
-SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS n
-FROM events WHERE event_type NOT IN ('signup', 'error') GROUP BY 1
+SELECT CAST(json_extract_string(event_data, '$.k') AS BIGINT) AS k, count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents
+FROM user_events WHERE event_type <> 'signup' AND user_id <= 127 AND cents <= 32767 GROUP BY 1
 
 -- name: to_envelope
 SELECT CAST(user_id AS VARCHAR) AS key,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import MapType, StringType, StructType
+from pyspark.sql.types import MapType, StringType
 
 from ..schemas import EVENT_DATA
 
@@ -96,32 +96,39 @@ def recent_events(df: DataFrame, limit: int = 100, offset: int = 0) -> DataFrame
     )
 
 
-def with_payload(df: DataFrame, schema: StructType = EVENT_DATA) -> DataFrame:
-    """Parses event_data once, with the union of all payload fields."""
-    return df.withColumn("payload", F.from_json("event_data", schema))
+def with_payload(df: DataFrame) -> DataFrame:
+    """Parses event_data once, to a VARIANT that serves every event type; null where it is no JSON."""
+    return df.withColumn("payload", F.try_parse_json("event_data"))
+
+
+def _field(name: str, default=None) -> Column:
+    kind = EVENT_DATA[name].dataType.simpleString()
+    value = F.try_variant_get("payload", f"$.{name}", kind)
+    return value if default is None else F.coalesce(value, F.lit(default))
+
+
+def broken_payloads(df: DataFrame) -> DataFrame:
+    """Rows whose event_data is there but no JSON."""
+    return with_payload(df).where("event_data IS NOT NULL AND payload IS NULL").drop("payload")
 
 
 def purchase_payload(df: DataFrame) -> DataFrame:
     """Amount and item count of purchases, 0 where the payload does not name them."""
     p = with_payload(df.where(F.col("event_type") == "purchase"))
     return p.withColumns({
-        "total_amount": F.coalesce("payload.total_amount", F.lit(0.0)),
-        "items_count": F.coalesce("payload.items_count", F.lit(0)),
+        "total_amount": _field("total_amount", 0.0), "items_count": _field("items_count", 0),
     }).drop("payload")
 
 
 def typed_payload(df: DataFrame, video_type: str = "video_complete",
                   search_type: str = "search") -> DataFrame:
     """Video and search fields with their defaults; null for events of other types."""
-    p, kind = with_payload(df), F.col("event_type")
-    return p.withColumns({
-        "video_id": F.when(kind == video_type, F.col("payload.video_id")),
-        "video_duration": F.when(
-            kind == video_type, F.coalesce("payload.video_duration", F.lit(0))),
-        "search_query": F.when(
-            kind == search_type, F.coalesce("payload.search_query", F.lit(""))),
-        "search_results_count": F.when(
-            kind == search_type, F.coalesce("payload.search_results_count", F.lit(0))),
+    kind = F.col("event_type")
+    return with_payload(df).withColumns({
+        "video_id": F.when(kind == video_type, _field("video_id")),
+        "video_duration": F.when(kind == video_type, _field("video_duration", 0)),
+        "search_query": F.when(kind == search_type, _field("search_query", "")),
+        "search_results_count": F.when(kind == search_type, _field("search_results_count", 0)),
     }).drop("payload")
 
 

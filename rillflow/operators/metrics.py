@@ -14,9 +14,10 @@ ALERT_RULES = [
     ("processing_lag_seconds", 300, "warning"),   # more than 5 minutes
     ("utilization", 800_000, "warning"),      # more than 80 %
     ("failed_checks", 0, "error"),            # any failed check
+    ("late_rows", 10_000, "warning"),         # more than 1 % dropped by the watermark
 ]
 # Measures given as a share num / den; the others are plain numbers.
-SHARES = ["error_rate", "utilization"]
+SHARES = ["error_rate", "utilization", "late_rows"]
 
 
 def newest_value() -> Column:
@@ -187,10 +188,11 @@ def run_measures(commits: DataFrame, capacity: int) -> DataFrame:
     each: share of errors and broken rows, lag = processing time - newest event time, and
     utilization = rows of a batch of the `capacity` rows that one batch may have. Nothing is scanned again.
     """
-    lag = F.unix_seconds("processed_at") - F.unix_seconds("newest")
+    processed, newest = F.timestamp_micros("processed_at"), F.timestamp_micros("newest")
+    lag = F.unix_seconds(processed) - F.unix_seconds(newest)
     one = F.lit(1).cast("long")
     values = [("error_rate", F.col("errors") + F.col("rows_dead_letters"), F.col("rows")),
               ("processing_lag_seconds", lag, one), ("utilization", F.col("rows"), F.lit(capacity).cast("long"))]
-    return commits.select("batch", F.col("processed_at").alias("window_start"), F.explode(F.array(*[
+    return commits.select("batch", processed.alias("window_start"), F.explode(F.array(*[
         F.struct(F.lit(name).alias("metric"), num.alias("num"), den.alias("den")) for name, num, den in values
     ])).alias("m")).where("m.num IS NOT NULL").select("window_start", "m.*")

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructType
 
+from ..config import Settings
 from ..functions.timefn import between, zoneless
 from ..operators import aggregates as A, enrich as E, metrics as M, product as P, quality as Q
 from ..operators import running as R, sessions as S, trailing as TR
@@ -72,9 +73,9 @@ _simple("important_events", lambda e: E.important_events(e).select(
     "id", "user_id", "event_type", "timestamp"))
 _simple("recent_events", lambda e: E.recent_events(e, 100, 50).select(
     "id", "user_id", "session_id", "event_type", "timestamp"))
-_simple("payload_purchase", lambda e: E.purchase_payload(e).select(
+_simple("payload_purchase", lambda e: E.purchase_payload(model.with_payloads(e)).select(
     "id", "total_amount", "items_count"))
-_simple("payload_typed", lambda e: E.typed_payload(e, "view", "click").select(
+_simple("payload_typed", lambda e: E.typed_payload(model.with_payloads(e), "view", "click").select(
     "id", "event_type", "video_id", "video_duration", "search_query", "search_results_count"))
 
 
@@ -100,29 +101,34 @@ def _(spark, folder):
         {"kind": "purchase", "least": 10.0}, {"user_events": _events(spark, folder)})
 
 
+# The wire format of the records below. Its numbers are narrower than the stored ones, so rows with a user
+# above 127 or a value above 327.67 are broken messages.
+_WIRE = (StructType().add("user_id", "byte").add("event_type", "string").add("cents", "short").add("k", "long"))
+
+
 def _messages(spark, folder) -> DataFrame:
-    """Events as topic records: signups on a topic nobody handles, payloads of errors cut short."""
+    """Events as topic records; signups are on a topic that nobody handles."""
     e = model.table(spark, folder, "events")
-    kind = F.col("event_type")
+    value = F.to_json(F.struct(
+        "user_id", "event_type", F.round(F.col("value") * 100).cast("long").alias("cents"),
+        F.get_json_object("props", "$.k").cast("long").alias("k")))
     return e.select(
-        F.col("user_id").cast("string").alias("key"),
-        F.when(kind == "error", F.substring("props", 1, 5)).otherwise(F.col("props")).alias("value"),
-        F.when(kind == "signup", "signups").otherwise("user_events").alias("topic"),
+        F.col("user_id").cast("string").alias("key"), value.alias("value"),
+        F.when(F.col("event_type") == "signup", "signups").otherwise("user_events").alias("topic"),
         F.col("event_id").alias("offset"))
 
 
 @query("dead_letter")
 def _(spark, folder):
-    checked = topics.check_messages(
-        _messages(spark, folder), StructType().add("k", LongType()), ["user_events"])
+    checked = topics.check_messages(_messages(spark, folder), _WIRE, ["user_events"])
     return topics.dead_letters(checked).select("offset", "key", "value", "topic", "reason")
 
 
 @query("good_messages")
 def _(spark, folder):
-    checked = topics.check_messages(
-        _messages(spark, folder), StructType().add("k", LongType()), ["user_events"])
-    return topics.good_messages(checked).groupBy("k").agg(F.count("*").alias("n"))
+    checked = topics.check_messages(_messages(spark, folder), _WIRE, ["user_events"])
+    return topics.good_messages(checked).groupBy("k").agg(
+        F.count("*").alias("n"), F.sum("cents").alias("cents"))
 
 
 @query("to_envelope")
@@ -298,8 +304,7 @@ _simple("order_correlation", lambda e: Q.order_correlation(e, ["user_id", "value
 
 @query("quality_scores")
 def _(spark, folder):
-    good = model.table(spark, folder, "customer").where("c_acctbal > 0").select(
-        F.col("c_custkey").alias("user_id"))
+    good = model.table(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"))
     return Q.quality_scores(
         _events(spark, folder), good, AS_OF, "28 days",
         ["id", "user_id", "session_id", "event_type", "timestamp", "user_agent"],
@@ -375,6 +380,42 @@ def _(spark, folder):
     return spark.read.parquet(f"{out}/rows")
 
 
+_STREAMED = (StructType().add("id", "long").add("user_id", "byte").add("event_type", "string").add("cents", "short")
+             .add("timestamp", "timestamp").add("page_url", "string").add("user_agent", "string"))
+
+
+def _quarantine(spark, folder):
+    """The events as topic records, in a stream that sorts out the broken ones; processed at AS_OF."""
+    e = _stream(spark, folder).withColumn("cents", F.round(F.col("value") * 100).cast("long"))
+    records = topics.to_envelope(e.select("id", "user_id", "event_type", "cents", "timestamp", "user_agent"), "user_id")
+    kind = F.get_json_object("value", "$.event_type")
+    records = records.withColumns({
+        "topic": F.when(kind == "signup", "signups").otherwise("user_events"),
+        "offset": F.get_json_object("value", "$.id").cast("long")})
+    sinks = jobs.quarantined(_fresh(spark, "stream"), _STREAMED, ["user_events"], clock=AS_OF)
+    io.finish(jobs.run_stream(records, sinks, Settings(), once=True))
+    return sinks
+
+
+@query("stream_events")
+def _(spark, folder):
+    return _quarantine(spark, folder).read(spark, "events", jobs.event_output(_STREAMED)).select(
+        "id", F.col("user_id").cast("long"), "event_type", F.col("cents").cast("long"), "timestamp", "device_type", "browser")
+
+
+@query("stream_dead_letters")
+def _(spark, folder):
+    return _quarantine(spark, folder).read(spark, "dead_letters", jobs.DEAD_LETTERS).select(
+        "offset", "key", "topic", "reason", F.get_json_object("value", "$.cents").cast("long").alias("cents"))
+
+
+@query("run_alerts")
+def _(spark, folder):
+    """Alerts from what the stream's own writes measured, for batches of at most 10,000 rows."""
+    commits = _quarantine(spark, folder).commits(spark, jobs.MEASURED)
+    return M.alerts(M.run_measures(commits, 10_000))
+
+
 @query("stream_type_counts")
 def _(spark, folder):
     out = _fresh(spark, "stream")
@@ -400,6 +441,31 @@ def _(spark, folder):
     return jobs.sessions_per_user(spark.read.parquet(f"{out}/rows"))
 
 
+@query("stream_session_counts")
+def _(spark, folder):
+    """Sessions per user and day, for the days closed by the watermark, in one stream query."""
+    out = _fresh(spark, "stream")
+    rows = jobs.session_counts(_stream(spark, folder), 86_400, 2 * 86_400)
+    io.finish(io.to_parquet(rows, f"{out}/rows", f"{out}/cp", None))
+    return spark.read.parquet(f"{out}/rows")
+
+
+@query("stream_session_totals")
+def _(spark, folder):
+    """Sketches of sessions per day, merged: the estimate of all sessions against their exact number."""
+    out = _fresh(spark, "stream")
+    rows = jobs.session_sketches(_stream(spark, folder), "1 day", "1 day")
+    io.finish(io.to_parquet(rows, f"{out}/rows", f"{out}/cp", None))
+    closed = spark.read.parquet(f"{out}/rows")
+    exact = _events(spark, folder).groupBy(F.date_trunc("day", "timestamp").alias("window_start"), "user_id", "session_id").agg(
+        F.count("*")).groupBy("window_start").agg(F.count("*").alias("sessions"))
+    both = closed.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")).join(
+        exact.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")), "window_start")
+    return both.agg(F.count("*").alias("days"), F.sum("sessions").alias("sessions"),
+                    (F.abs(F.hll_sketch_estimate(F.hll_union_agg("sketch")) - F.sum("sessions"))
+                     <= F.sum("sessions") * jobs.SKETCH_ERROR).alias("within_error"))
+
+
 @query("stream_dedup")
 def _(spark, folder):
     """The events delivered twice, kept once."""

@@ -76,6 +76,22 @@ def user_events(spark: SparkSession, folder: str, pages: bool = False,
     return e
 
 
+def with_payloads(events: DataFrame) -> DataFrame:
+    """user_events whose event_data has the payload of the type, from the other columns: purchases their amount
+    and items, views as videos with a duration, clicks as searches. Every fifth k leaves fields out."""
+    k = F.get_json_object("event_data", "$.k").cast("int")
+    kind, whole, cents = F.col("event_type"), k % 5 != 0, F.round(F.col("value") * 100).cast("int")
+    fields = {
+        "purchase": {"order_id": F.concat(F.lit("o"), "id"), "total_amount": F.col("value"), "currency": F.lit("USD"),
+                     "items_count": F.when(whole, 1 + k % 9)},
+        "view": {"video_id": F.concat(F.lit("v"), k), "video_duration": F.when(whole, cents)},
+        "click": {"search_query": F.when(whole, F.concat(F.lit("user "), "user_id")), "search_results_count": k},
+    }
+    texts = [F.when(kind == name, F.to_json(F.struct(*[c.alias(n) for n, c in cols.items()])))
+             for name, cols in fields.items()]
+    return events.withColumn("event_data", F.coalesce(*texts, F.lit("{}")))
+
+
 def user_sessions(spark: SparkSession, folder: str) -> DataFrame:
     """user_sessions, derived from the events: one row per session."""
     e = user_events(spark, folder, pages=True)

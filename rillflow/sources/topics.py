@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..config import Settings
@@ -51,25 +53,41 @@ def to_envelope(df: DataFrame, key: str, attributes: list[str] | None = None) ->
     return df.select(*cols)
 
 
+def typed_fields(v: Column, schema: StructType) -> tuple[Column, Column]:
+    """The fields of a VARIANT object as a struct, and whether any is there that does not fit its type.
+
+    A number out of the range of its type, or a text that is no number, does not fit; a missing or null
+    field is null and fits.
+    """
+    fields, misfits = [], []
+    for f in schema.fields:
+        path = f"$['{f.name}']"
+        value = F.try_variant_get(v, path, f.dataType.simpleString())
+        fields.append(value.alias(f.name))
+        there = F.try_variant_get(v, path, "variant")
+        misfits.append(value.isNull() & there.isNotNull() & ~F.is_variant_null(there))
+    return F.struct(*fields), reduce(or_, misfits, F.lit(False))
+
+
 def check_messages(df: DataFrame, schema: StructType, topics: list[str] | None = None) -> DataFrame:
     """Adds `data` and `reason`: null for a good message, else why it cannot be handled.
 
-    A message is good if its value is a JSON object whose fields fit the schema. Other values give a null
-    struct or one with the raw text in the corrupt-record field. `topics`: those that are handled, null for any.
+    A message is good if its value is a JSON object whose fields fit the schema; the text is parsed once, to
+    a VARIANT, and what stands behind the object is not looked at. `topics`: those that are handled, null for any.
     """
-    probe = StructType(list(schema.fields)).add("_corrupt", "string")
-    data = F.from_json(F.col("value").cast("string"), probe,
-                       {"columnNameOfCorruptRecord": "_corrupt"})
-    broken = F.col("data").isNull() | F.col("data._corrupt").isNotNull()
-    reason = F.when(broken, "bad message")
+    rows = df.withColumn("_v", F.try_parse_json(F.col("value").cast("string")))
+    v = F.col("_v")
+    data, misfit = typed_fields(v, schema)
+    whole = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    reason = F.when(~whole | misfit, "bad message")
     if topics is not None:
         known = F.coalesce(F.col("topic").isin(topics), F.lit(False))
         reason = F.when(~known, "unknown topic").otherwise(reason)
-    return df.withColumn("data", data).withColumn("reason", reason)
+    return rows.withColumn("data", F.when(whole, data)).withColumn("reason", reason).drop("_v")
 
 
 def good_messages(checked: DataFrame) -> DataFrame:
-    return checked.where("reason is null").select("data.*").drop("_corrupt")
+    return checked.where("reason is null").select("data.*")
 
 
 def parse_json(df: DataFrame, schema: StructType) -> DataFrame:

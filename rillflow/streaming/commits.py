@@ -39,14 +39,14 @@ def put_once(spark: SparkSession, path: str, text: str) -> bool:
 class Sinks:
     """Named outputs of a stream below one root.
 
-    `parts` gives for each output its condition and its columns; a row goes to the first whose
-    condition holds, rows that fit none are not written. `measures` are aggregates over the batch's rows
-    that the same write takes along, for the commit record.
+    `parts` has for each output its condition and its columns, over what `prepare` makes of a batch; a row goes
+    to the first whose condition holds, rows that fit none are not written. `measures` are aggregates
+    over these rows that the same write takes along, for the commit record (numbers).
     """
 
-    def __init__(self, root: str, parts: Callable[[DataFrame], dict[str, tuple[Column, list]]],
-                 measures: Callable[[DataFrame], list[Column]] | None = None):
-        self.root, self.parts, self.measures = root.rstrip("/"), parts, measures
+    def __init__(self, root: str, parts: dict[str, tuple[Column, list]], measures: tuple[Column, ...] = (),
+                 prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch):
+        self.root, self.parts, self.measures, self.prepare = root.rstrip("/"), parts, measures, prepare
 
     def _record(self, batch_id: int) -> str:
         return f"{self.root}/commits/{batch_id:020d}.json"
@@ -58,17 +58,17 @@ class Sinks:
         if fs.exists(record):
             return
         attempt = f"{batch_id:020d}-{uuid.uuid4().hex[:12]}"
-        parts = self.parts(batch)
+        parts = self.parts
         sink = F.coalesce(*[F.when(cond, F.lit(name)) for name, (cond, _) in parts.items()])
-        rows = batch.withColumn("_sink", sink)
+        rows = self.prepare(batch).withColumn("_sink", sink)
         seen = Observation()
         counts = [F.count_if(F.col("_sink") == name).alias(f"rows_{name}") for name in parts]
-        rows = rows.observe(seen, F.count("*").alias("rows"), *counts, *(self.measures(batch) if self.measures else []))
+        rows = rows.observe(seen, F.count("*").alias("rows"), *counts, *self.measures)
         rows.select(F.col("_sink").alias("sink"), *[
             F.when(F.col("_sink") == name, F.struct(*cols)).alias(name) for name, (_, cols) in parts.items()
         ]).where("sink IS NOT NULL").write.partitionBy("sink").parquet(f"{self.root}/data/attempt={attempt}")
         put_once(spark, self._record(batch_id), json.dumps(
-            {"batch": batch_id, "attempt": attempt, **seen.get}, default=str))
+            {"batch": batch_id, "attempt": attempt, **seen.get}))
 
     def commits(self, spark: SparkSession, schema: str = "") -> DataFrame:
         """The records: batch, attempt, rows and what else `schema` names of them."""
@@ -78,7 +78,7 @@ class Sinks:
     def read(self, spark: SparkSession, name: str, schema: StructType) -> DataFrame:
         """The committed rows of one output. Only its folders are read; attempts without a record
         drop out by a join on the partition column."""
-        kind = StructType([StructField(name, schema), StructField("attempt", "string"), StructField("sink", "string")])
+        kind = StructType([StructField(name, schema)]).add("attempt", "string").add("sink", "string")
         rows = spark.read.schema(kind).parquet(f"{self.root}/data").where(F.col("sink") == name)
         return rows.join(self.commits(spark).select("attempt"), "attempt", "left_semi").select(f"{name}.*")
 

@@ -9,6 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..functions.timefn import SECOND, cell, micros
 from ..operators.enrich import enrich_events, enriched_columns
 from ..operators.metrics import metric_change, newest
 from ..config import Settings
@@ -18,7 +19,7 @@ from . import io
 from .commits import Sinks
 
 
-def enriched(messages: DataFrame, schema: StructType, topics: list[str]) -> DataFrame:
+def enriched(messages: DataFrame, schema: StructType, topics: list[str] | None = None) -> DataFrame:
     """The good topic records as enriched events. Broken ones are left to `quarantined`."""
     return enrich_events(good_messages(check_messages(messages, schema, topics)))
 
@@ -26,39 +27,30 @@ def enriched(messages: DataFrame, schema: StructType, topics: list[str]) -> Data
 def quarantined(root: str, schema: StructType, topics: list[str], enrich: bool = True,
                 clock: str | None = None, ts: str = "timestamp") -> Sinks:
     """Two outputs of topic records: `events`, the good ones (enriched), and `dead_letters`, the others with
-    the reason, in one write per batch. Each batch also records how many rows it had and how
-    far the newest event time lies behind the processing time (`clock`: a fixed one instead).
+    the reason, in one write per batch. Each batch also records the rows of both, the good ones that are
+    errors, its newest event time and its processing time (`clock`: a fixed one), in microseconds.
     """
-    columns = [f.name for f in ENVELOPE.fields]
     now = F.current_timestamp() if clock is None else F.lit(clock).cast("timestamp")
+    field = {f.name: F.col(f"data.{f.name}") for f in schema.fields}
+    good = [c.alias(n) for n, c in field.items()]
+    if enrich:
+        good += [c.alias(n) for n, c in enriched_columns(field["page_url"], field["user_agent"]).items()]
+    bad = [F.col(f.name) for f in ENVELOPE.fields] + [F.col("reason")]
 
     def checked(batch: DataFrame) -> DataFrame:
-        rows = check_messages(batch, schema, topics)
+        missing = {f.name: F.lit(None).cast(f.dataType) for f in ENVELOPE.fields if f.name not in batch.columns}
+        rows = check_messages(batch.withColumns(missing), schema, topics)
         return rows.withColumn("data", F.when(F.col("reason").isNull(), F.col("data")))
 
-    def parts(rows: DataFrame) -> dict:
-        good = [F.col(f"data.{f.name}").alias(f.name) for f in schema.fields]
-        if enrich:
-            flat = {f.name: F.col(f"data.{f.name}") for f in schema.fields}
-            good += [c.alias(n) for n, c in enriched_columns(flat["page_url"], flat["user_agent"]).items()]
-        known = [c for c in columns if c in rows.columns]
-        return {"events": (F.col("reason").isNull(), good),
-                "dead_letters": (F.col("reason").isNotNull(), [*map(F.col, known), F.col("reason")])}
-
-    def measures(rows: DataFrame) -> list:
-        at = F.col(f"data.{ts}").cast("timestamp")
-        kind = "data.event_type" if "event_type" in schema.fieldNames() else None
-        errors = F.count_if(F.col(kind) == "error") if kind else F.lit(0).cast("long")
-        return [F.max(at).alias("newest"), F.min(now).alias("processed_at"), errors.alias("errors")]
-
-    sinks = Sinks(root, parts, measures)
-    write = sinks.write
-    sinks.write = lambda batch, batch_id: write(checked(batch), batch_id)
-    return sinks
+    errors = F.count_if(field["event_type"] == "error") if "event_type" in field else F.count_if(F.lit(False))
+    measures = (errors.alias("errors"), F.max(F.unix_micros(field[ts].cast("timestamp"))).alias("newest"),
+                F.min(F.unix_micros(now)).alias("processed_at"))
+    return Sinks(root, {"events": (F.col("reason").isNull(), good), "dead_letters": (F.col("reason").isNotNull(), bad)},
+                 measures, checked)
 
 
 #: What `quarantined` records of each batch beyond the rows of the outputs.
-MEASURED = "rows_events long, rows_dead_letters long, newest timestamp, processed_at timestamp, errors long"
+MEASURED = "rows_events long, rows_dead_letters long, errors long, newest long, processed_at long"
 
 
 def event_output(schema: StructType, enrich: bool = True) -> StructType:
@@ -66,8 +58,7 @@ def event_output(schema: StructType, enrich: bool = True) -> StructType:
     return StructType([*schema.fields, *[StructField(n, StringType()) for n in added]])
 
 
-def dead_letter_output(columns: list[str]) -> StructType:
-    return StructType([*[f for f in ENVELOPE.fields if f.name in columns], StructField("reason", StringType())])
+DEAD_LETTERS = StructType([*ENVELOPE.fields, StructField("reason", StringType())])
 
 
 def run_stream(messages: DataFrame, sinks: Sinks, settings: Settings, once: bool = False):
@@ -114,6 +105,34 @@ def sessions_per_user(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("user_id").agg(F.countDistinct("session_id").alias("sessions"))
 
 
+def session_counts(events: DataFrame, window_seconds: int, delay_seconds: int, ts: str = "timestamp") -> DataFrame:
+    """Exact sessions per user and window, each emitted when the watermark closes the window.
+
+    Two stateful operators in one query: (window, user, session) once each, then a count. The state holds
+    open windows only. The watermark's delay must be as long as the window at least: then a pair is
+    remembered until other rows of its window would be late anyway.
+    """
+    if delay_seconds < window_seconds:
+        raise ValueError("the delay must be as long as the window")
+    rows = events.withWatermark(ts, f"{delay_seconds} seconds").select(
+        ts, "user_id", "session_id", cell(micros(ts), window_seconds * SECOND).alias("cell"))
+    first = rows.dropDuplicatesWithinWatermark(["cell", "user_id", "session_id"])
+    return first.groupBy(F.window(ts, f"{window_seconds} seconds").alias("w"), "user_id").agg(
+        F.count("*").alias("sessions")).select(F.col("w.start").alias("window_start"), "user_id", "sessions")
+
+
+#: Three standard errors of a sketch of 2**12 registers (the default of hll_sketch_agg): 3 * 1.04 / sqrt(4096).
+SKETCH_ERROR = 0.05
+
+
+def session_sketches(events: DataFrame, window: str, delay: str, ts: str = "timestamp") -> DataFrame:
+    """A sketch of the distinct (user, session) pairs per closed window. Sketches of any windows can be merged
+    later with hll_union_agg, which counts of windows cannot."""
+    pair = F.concat_ws("/", F.col("user_id").cast("string"), F.col("session_id").cast("string"))
+    return events.withWatermark(ts, delay).groupBy(F.window(ts, window).alias("w")).agg(
+        F.hll_sketch_agg(pair).alias("sketch")).select(F.col("w.start").alias("window_start"), "sketch")
+
+
 def approx_sessions(events: DataFrame, watermark: str, window: str = "1 day",
                     ts: str = "timestamp") -> DataFrame:
     """Sessions per user and window with a fixed-size sketch instead of a growing set."""
