@@ -113,3 +113,25 @@ WHERE ts >= TIMESTAMP '2024-01-24' GROUP BY 1, 2
 -- name: retention_expired
 SELECT CAST(ts AS DATE) AS day, ts < TIMESTAMP '2024-01-17' AS expired, count(*) AS rows
 FROM events GROUP BY 1, 2
+
+-- name: replaced_day
+SELECT CAST(ts AS DATE) AS event_date, event_type, count(*) AS n FROM events
+WHERE CAST(ts AS DATE) <> DATE '2024-01-15' OR event_type <> 'error' GROUP BY 1, 2
+
+-- name: retention_partitions
+SELECT event_date, event_date + 1 <= TIMESTAMP '2024-01-17' AS expired FROM (SELECT DISTINCT CAST(ts AS DATE) AS event_date FROM events) d
+
+-- name: daily_view
+SELECT event_type, count(*) AS n, min(value) AS least, max(value) AS most, arg_max(id, ("timestamp", id)) AS newest_id
+FROM user_events GROUP BY 1
+
+-- name: topic_attributes
+SELECT event_type, user_agent, CASE WHEN user_agent IS NULL THEN 1 ELSE 2 END::BIGINT AS attributes, count(*) AS n
+FROM user_events GROUP BY ALL
+
+-- name: partition_skew
+WITH d AS (
+  SELECT CAST(ts AS DATE) AS day, count(*) AS rows,
+         CAST(sum(8 + 8 + 8 + strlen(event_type) + 8 + strlen(props)) AS BIGINT) AS bytes FROM events GROUP BY 1)
+SELECT CAST(sum(rows) AS BIGINT) AS total_rows, CAST(sum(bytes) AS BIGINT) AS total_bytes, round(avg(bytes), 6) AS avg_bytes,
+       max(bytes) AS max_bytes, min(bytes) AS min_bytes, round(stddev_samp(bytes), 6) AS std_bytes, count(*) AS partition_count FROM d

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.numeric import div, pct2
-from ..functions.timefn import since
+from ..functions.timefn import MINUTE, cell, micros, since
 
 # Step label and event type.
 FUNNEL = [("Page View", "page_view"), ("Click", "click"), ("Add to Cart", "add_to_cart"),
@@ -118,9 +118,42 @@ def funnel(events: DataFrame, as_of: str, steps: list[tuple[str, str]] = FUNNEL,
     ).groupBy("user_id", "session_id").agg(
         *[F.max(F.when(kind == t, 1)).alias(n) for n, (_, t) in zip(names, steps)])
     totals = reached.agg(F.count("*").alias("step_0"), *[F.count(n).alias(n) for n in names])
+    return _funnel_rows(totals, steps)
+
+
+def _funnel_rows(totals: DataFrame, steps: list[tuple[str, str]]) -> DataFrame:
     rows = F.array(*[
         F.struct(F.lit(label).alias("step_name"), F.col(f"step_{i}").alias("completions"),
                  pct2(F.col(f"step_{i}"), F.col(f"step_{i - 1}")).alias("conversion_rate"))
         for i, (label, _) in enumerate(steps, 1)])
     return totals.select(F.explode(rows).alias("r")).select("r.*").orderBy(
         F.col("completions").desc(), "step_name")
+
+
+def ordered_steps(events: DataFrame, types: list[str], keys: list[str], ts: str = "timestamp",
+                  event_id: str = "id", size: int = MINUTE) -> DataFrame:
+    """(keys, reached): how many steps each group takes in order, each one the earliest after the step before.
+
+    The steps are an automaton: in state s the next event of type s + 1 leads to s + 1. The events of one
+    cell of time turn each state into another, and these tables compose, so only the rows of one (key, cell) are
+    ordered together and a group of any size is a list of one small table per cell.
+    """
+    n = len(types)
+    step = F.array(*map(F.lit, types))
+    cut = events.where(F.col("event_type").isin(types)).withColumn("_cell", cell(micros(ts), size))
+    states = F.array(*[F.lit(i) for i in range(n + 1)])
+    moves = cut.groupBy(*keys, "_cell").agg(F.aggregate(
+        F.sort_array(F.collect_list(F.struct(micros(ts).alias("t"), F.col(event_id).alias("i"), F.col("event_type").alias("k")))),
+        states, lambda at, e: F.transform(at, lambda s: F.when(F.get(step, s) == e.k, s + 1).otherwise(s))).alias("_to"))
+    return moves.groupBy(*keys).agg(F.aggregate(
+        F.sort_array(F.collect_list(F.struct("_cell", "_to"))), F.lit(0),
+        lambda s, c: F.get(c.getField("_to"), s)).alias("reached"))
+
+
+def ordered_funnel(events: DataFrame, as_of: str, steps: list[tuple[str, str]] = FUNNEL, span: str = "30 days",
+                   keys: tuple[str, ...] = ("user_id", "session_id")) -> DataFrame:
+    """The funnel in which every step must come after the one before it (ties by id)."""
+    reached = ordered_steps(since(events, "timestamp", as_of, span), [t for _, t in steps], list(keys))
+    totals = reached.agg(F.count("*").alias("step_0"), *[
+        F.count_if(F.col("reached") >= i).alias(f"step_{i}") for i in range(1, len(steps) + 1)])
+    return _funnel_rows(totals, steps)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from operator import add
 
 import pandas as pd
 from pyspark import TaskContext
@@ -128,10 +129,25 @@ def quality_scores(events: DataFrame, known_users: DataFrame, as_of: str, max_ag
     return scored.select("metric", "score", grade(F.col("score")).alias("status"))
 
 
-def partition_sizes(df: DataFrame) -> DataFrame:
-    """Rows and JSON text size of every partition of the frame."""
-    return df.groupBy(F.spark_partition_id().alias("partition")).agg(
-        F.count("*").alias("rows"), F.sum(F.length(F.to_json(F.struct("*")))).alias("bytes"))
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row's values: the width of fixed types, the bytes of texts; nulls have none."""
+    width = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4}
+    sizes = [F.octet_length(n) if kind in ("string", "binary") else F.when(F.col(n).isNotNull(), F.lit(width.get(kind, 8)))
+             for n, kind in df.dtypes]
+    return reduce(add, [F.coalesce(c, F.lit(0)).cast("long") for c in sizes])
+
+
+def partition_sizes(df: DataFrame, by: Column) -> DataFrame:
+    """Rows and bytes of the values per partition of the table, for example per day. No row is
+    turned into text, and the sizes do not depend on how the scan is split."""
+    return df.groupBy(by.alias("partition")).agg(F.count("*").alias("rows"), F.sum(row_bytes(df)).alias("bytes"))
+
+
+def scan_splits(df: DataFrame) -> DataFrame:
+    """Rows per file split that a scan of files reads, from the metadata of the source."""
+    m = F.col("_metadata")
+    return df.groupBy(m.file_path.alias("file"), m.file_block_start.alias("start"), m.file_block_length.alias("bytes")).agg(
+        F.count("*").alias("rows"))
 
 
 def partition_memory(df: DataFrame) -> DataFrame:

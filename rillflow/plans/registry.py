@@ -205,6 +205,8 @@ _simple("user_weeks", P.user_weeks)
 _simple("cohort_retention", P.cohort_retention)
 query("cohort_orders")(lambda s, f: P.cohort_retention(model.order_events(s, f)))
 _simple("funnel", lambda e: P.funnel(e, AS_OF, FUNNEL_STEPS))
+_simple("funnel_ordered", lambda e: P.ordered_funnel(e, AS_OF, FUNNEL_STEPS))
+_simple("funnel_ordered_users", lambda e: P.ordered_funnel(e, AS_OF, FUNNEL_STEPS, keys=("user_id",)))
 _simple("event_statistics", A.event_statistics)
 _simple("event_type_counts", jobs.type_counts)
 _simple("kpis", lambda e: A.kpis(e, AS_OF, CENTS))
@@ -311,8 +313,11 @@ def _(spark, folder):
         [t for t in EVENT_TYPES if t != "error"], {"event_data": 1000, "user_agent": 60})
 
 
-query("partition_skew")(lambda s, f: Q.partition_skew(Q.partition_sizes(
-    model.table(s, f, "events"))))
+@query("partition_skew")
+def _(spark, folder):
+    events = model.table(spark, folder, "events")
+    sizes = Q.partition_sizes(events, F.to_date("ts"))
+    return Q.partition_skew(sizes).withColumns({c: F.round(c, 6) for c in ("avg_bytes", "std_bytes")})
 
 
 # ---- tables and files -------------------------------------------------------------------------
@@ -337,6 +342,58 @@ def _(spark, folder):
         "event_date", "event_type").agg(F.count("*").alias("n"))
 
 
+@query("replaced_day")
+def _(spark, folder):
+    """A partitioned copy after one day was delivered again, without its errors."""
+    path = _fresh(spark, "events_by_date")
+    rows = _events(spark, folder).select("id", "event_type", "timestamp", "value")
+    warehouse.write_partitioned(rows, path, "timestamp")
+    day = between(rows, "timestamp", "2024-01-15 00:00:00", "2024-01-16 00:00:00").where("event_type != 'error'")
+    warehouse.write_partitioned(day, path, "timestamp", replace="days")
+    return files.read_files(spark, path).groupBy("event_date", "event_type").agg(F.count("*").alias("n"))
+
+
+@query("retention_partitions")
+def _(spark, folder):
+    """Days of a partitioned copy that can go, told by their folders."""
+    path = _fresh(spark, "events_by_date")
+    warehouse.write_partitioned(_events(spark, folder).select("id", "timestamp"), path, "timestamp")
+    return warehouse.partition_expiry(spark, path, AS_OF, 14)
+
+
+def _daily_parts(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("day", "event_type").agg(
+        F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("most"),
+        F.max(F.struct("timestamp", "id")).alias("newest"))
+
+
+def _daily_merge(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("event_type").agg(
+        F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"),
+        F.max("newest").getField("id").alias("newest_id"))
+
+
+@query("daily_view")
+def _(spark, folder):
+    """Totals per type kept from daily parts, refreshed when only some of the days were there, and again."""
+    rows = _events(spark, folder).select("id", "event_type", "timestamp", "value")
+    view = warehouse.DailyView(spark, _fresh(spark, "daily"), _daily_parts, _daily_merge)
+    view.refresh(between(rows, "timestamp", "2024-01-01 00:00:00", "2024-01-20 12:00:00"))
+    return view.refresh(rows).read()
+
+
+@query("topic_attributes")
+def _(spark, folder):
+    """Messages with attributes, through topic files and back."""
+    path = _fresh(spark, "topic")
+    rows = _events(spark, folder).select("id", "user_id", "event_type", "user_agent")
+    files.write_files(topics.to_envelope(rows, "user_id", ["event_type", "user_agent"]), path, "json")
+    back = spark.read.schema(f"key string, value string, headers {topics.HEADERS}").json(path)
+    return back.withColumn("a", topics.attributes()).groupBy(
+        F.col("a")["event_type"].alias("event_type"), F.col("a")["user_agent"].alias("user_agent"),
+        F.size("a").cast("long").alias("attributes")).agg(F.count("*").alias("n"))
+
+
 _simple("retention_expired", lambda e: files.retention_counts(e, "timestamp", AS_OF, 14))
 
 

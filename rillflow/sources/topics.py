@@ -15,7 +15,8 @@ from ..config import Settings
 WIRE_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def kafka_options(settings: Settings, topics: list[str], starting: str = "latest") -> dict[str, str]:
+def kafka_options(settings: Settings, topics: list[str], starting: str = "latest",
+                  headers: bool = False) -> dict[str, str]:
     options = {
         "kafka.bootstrap.servers": settings.kafka_bootstrap_servers,
         "subscribe": ",".join(topics),
@@ -23,36 +24,49 @@ def kafka_options(settings: Settings, topics: list[str], starting: str = "latest
     }
     if settings.poll_records:
         options["maxOffsetsPerTrigger"] = str(settings.poll_records)
+    if headers:
+        options["includeHeaders"] = "true"
     return options
 
 
 def read_topics(spark: SparkSession, settings: Settings, topics: list[str],
-                starting: str = "latest") -> DataFrame:
+                starting: str = "latest", headers: bool = False) -> DataFrame:
     """A stream over one or more topics (needs the Kafka connector on the class path)."""
     return spark.readStream.format("kafka").options(
-        **kafka_options(settings, topics, starting)).load()
+        **kafka_options(settings, topics, starting, headers)).load()
 
 
 def write_topic(df: DataFrame, settings: Settings, topic: str) -> None:
-    """Publishes an envelope (key, value) to a topic."""
-    df.select("key", "value").write.format("kafka").option(
+    """Publishes an envelope (key, value and, where there are any, headers) to a topic."""
+    df.select(*[c for c in ("key", "value", "headers") if c in df.columns]).write.format("kafka").option(
         "kafka.bootstrap.servers", settings.kafka_bootstrap_servers).option("topic", topic).save()
 
 
+#: Record headers as the topic source and sink have them.
+HEADERS = "array<struct<key: string, value: binary>>"
+
+
 def to_envelope(df: DataFrame, key: str, attributes: list[str] | None = None) -> DataFrame:
-    """Rows as keyed JSON messages; `attributes` become string headers."""
+    """Rows as keyed JSON messages; `attributes` become headers, without those that are null."""
     cols = [
         F.col(key).cast("string").alias("key"),
         F.to_json(F.struct("*"), {"timestampFormat": WIRE_TIME,
                                   "timestampNTZFormat": WIRE_TIME}).alias("value"),
     ]
     if attributes:
-        cols.append(F.create_map(*[
-            x for a in attributes for x in (F.lit(a), F.col(a).cast("string"))
-        ]).alias("headers"))
+        pairs = F.array(*[F.struct(F.lit(a).alias("key"), F.col(a).cast("string").cast("binary").alias("value"))
+                          for a in attributes])
+        cols.append(F.filter(pairs, lambda p: p.value.isNotNull()).cast(HEADERS).alias("headers"))
     return df.select(*cols)
 
 
+def attributes(headers: str = "headers") -> Column:
+    """The headers as a map of texts; the last one counts where a name comes twice."""
+    entries = F.transform(F.coalesce(headers, F.array().cast(HEADERS)), lambda h: F.struct(h.key, h.value.cast("string")))
+    return F.aggregate(entries, F.create_map().cast("map<string, string>"), lambda m, e: F.map_concat(
+        F.map_filter(m, lambda k, _: k != e.key), F.map_from_entries(F.array(e))))
+
+
 def typed_fields(v: Column, schema: StructType) -> tuple[Column, Column]:
     """The fields of a VARIANT object as a struct, and whether any is there that does not fit its type.
 
