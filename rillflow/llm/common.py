@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import string
 import uuid
 
@@ -32,13 +33,31 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written to a table in the shared folder and read back: cuts the lineage and
-    survives lost executors. The folder belongs to the cluster, which clears it."""
+    survives lost executors. `discard` removes it again; what a result still reads, the cluster clears."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.partitionBy(*(partition_by or [])).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    release_shuffles(spark)
+    return out
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove the shuffle files of jobs that nothing refers to any more. It waits for
+    the driver's garbage collection, which may not come before a long job has filled the executors' disks."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def discard(*frames: DataFrame) -> None:
+    """Removes the tables of `stored` frames that nothing will read again."""
+    for df in frames:
+        spark = df.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def small_batches(spark: SparkSession, rows: int = 500) -> None:

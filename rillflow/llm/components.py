@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import stored
+from rillflow.llm.common import discard, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -26,7 +26,8 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(low.select("u", F.col("m").alias("v"))).where("u != v")
-        e = stored(small.distinct(), "edges")
+        e, last = stored(small.distinct(), "edges"), e
+        discard(last)
         mark = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first()
         if mark == before:
             roots = e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import sliced, small_batches, stored
+from rillflow.llm.common import discard, release_shuffles, sliced, small_batches, stored
 from rillflow.llm.components import components
 from rillflow.llm.packed import expand, squeeze
 from rillflow.llm.shingles import mix, shingle_set
@@ -215,6 +215,7 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     name, spread = f"sets_{uuid.uuid4().hex}", int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts.mapInArrow(_sets(size, percent), "doc_id long, n long, sig binary, n_keys long, text string").write.option(
         "compression", "zstd").bucketBy(spread, "doc_id").saveAsTable(name)
+    release_shuffles(docs.sparkSession)
     seen = docs.sparkSession.table(name)
     filled = seen.where("n > 0 and doc_id is not null")
     classes = filled.groupBy("sig").agg(F.min("doc_id").alias("rep"))
@@ -239,26 +240,23 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     lead_text = leads.hint("merge").join(whole, leads.lead == whole.doc_id).select(
         "g", "lead", F.col("text").alias("lead_text"))
     state = stored(members.join(lead_text, "g").mapInArrow(_differences(size, percent), FORMS), "differences")
-    linked = [state.where("near").select(F.col("x").alias("a"), F.col("lead").alias("b")), _derived(state, percent)]
-    found = components(_union([same, *linked]))
+    discard(member, groups)
+    near = state.where("near").select(F.col("x").alias("a"), F.col("lead").alias("b"))
+    derived, used = _derived(state, percent)
+    found = components(same.unionByName(near).unionByName(derived))
+    discard(state, *used)
     out = seen.join(found, seen.doc_id == found.id, "left")
     return out.select(seen.doc_id, F.col("n").alias("n_shingles"),
                       F.coalesce("component", seen.doc_id).alias("component_id"))
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
 def _repeats(seen: DataFrame) -> bool:
     return bool(seen.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count())
 
 
-def _derived(state: DataFrame, percent: int) -> DataFrame:
-    """Links between members, at least one of which does not link with their leader."""
+def _derived(state: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Links between members, at least one of which does not link with their leader, and the tables that
+    they are read from."""
     open_groups = state.where("not near and d_prefix > 0").select("g").distinct()
 
     def form(name, rows, column, prefix, asks):
@@ -287,6 +285,7 @@ def _derived(state: DataFrame, percent: int) -> DataFrame:
     leader = F.col("form") == "leader"
     d1, d2 = F.when(leader, F.col("d1")).otherwise(F.col("o1")), F.when(leader, F.col("d2")).otherwise(F.col("o2"))
     differing = F.size(d1) + F.size(d2) - 2 * F.size(F.array_intersect(d1, d2))
-    return (pairs.join(one, "x").join(two, "y")
-            .where((100 + percent) * differing <= (100 - percent) * (F.col("n1") + F.col("n2")))
-            .select(F.col("x").alias("a"), F.col("y").alias("b")))
+    links = (pairs.join(one, "x").join(two, "y")
+             .where((100 + percent) * differing <= (100 - percent) * (F.col("n1") + F.col("n2")))
+             .select(F.col("x").alias("a"), F.col("y").alias("b")))
+    return links, [pairs, used]

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import sliced, small_batches, stored
+from rillflow.llm.common import discard, sliced, small_batches, stored
 
 LOWEST = -(2**63)
 
@@ -97,7 +97,9 @@ def repeated_windows(docs: DataFrame, min_words: int = 50, to_ends: bool = True)
     hit = w.join(marks, "mark").select("doc", "h", "low", "high", "content")
     at = F.struct("doc", "h", "low")
     firsts = hit.groupBy("content").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first < last")
-    return hit.join(firsts, "content").where(at > F.col("first")).select("doc", "h", "low", "high")
+    found = stored(hit.join(firsts, "content").where(at > F.col("first")).select("doc", "h", "low", "high"), "repeats")
+    discard(w)
+    return found
 
 
 def dedup_lines(docs: DataFrame, min_words: int = 50, to_ends: bool = True) -> DataFrame:
