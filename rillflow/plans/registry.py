@@ -67,7 +67,14 @@ query("enrich_events")(lambda s, f: _enriched(s, f).select(
 query("essential_cols")(lambda s, f: E.essential_columns(_enriched(s, f)))
 _simple("time_features", lambda e: E.time_features(e).select(
     "id", "hour", "day_of_week", "is_weekend", "value_category"))
-_simple("value_band_udf", lambda e: e.select("id", E.value_band_udf("value").alias("value_category")))
+
+
+@query("value_band_udf")
+def _(spark, folder):
+    return _events(spark, folder).select("id", F.call_function(
+        E.register_value_band(spark), F.col("value")).alias("value_category"))
+
+
 _simple("high_value", lambda e: E.high_value(e).select("id", "user_id", "value"))
 _simple("important_events", lambda e: E.important_events(e).select(
     "id", "user_id", "event_type", "timestamp"))
@@ -418,6 +425,19 @@ def _(spark, folder):
     return files.read_files(spark, path).select("event_id", "user_id", "event_type", "value")
 
 
+@query("snapshot_changes")
+def _(spark, folder):
+    """A second copy after one row changed and a day went: only these days are new, and the copy is whole."""
+    rows = model.table(spark, folder, "events")
+    copies = files.Snapshots(spark, _fresh(spark, "copies"), F.to_date("ts"), rows.columns)
+    copies.copy(rows, 0)
+    later = rows.where("to_date(ts) != date'2024-01-20'").withColumn(
+        "value", F.when(F.col("event_id") == 0, -1.0).otherwise(F.col("value")))
+    changes = copies.copy(later, 1)
+    broken = copies.verify(1).select("part", F.lit("broken").alias("change"))
+    return changes.unionByName(broken)
+
+
 # ---- streams ----------------------------------------------------------------------------------
 
 _simple("sliding_counts", lambda e: jobs.sliding_counts(e))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..config import Settings
 from ..functions.timefn import ago
@@ -67,6 +69,68 @@ def snapshot(df: DataFrame, root: str, name: str, day: date) -> str:
     return target
 
 
+def row_digest(columns: list[str]) -> list[Column]:
+    """Count and order-independent digest of rows: equal for equal bags of rows, whatever their order or files.
+    The sums of two hashes tell repeated rows apart, which a plain XOR would cancel out."""
+    one, two = F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)
+    return [F.count("*").alias("rows"), F.bit_xor(one).alias("xor"),
+            F.sum(F.pmod(one, F.lit(2**31))).alias("sum_one"), F.sum(F.pmod(two, F.lit(2**31))).alias("sum_two")]
+
+
+MANIFEST = "part string, rows long, xor long, sum_one long, sum_two long"
+_DIGEST = ("rows", "xor", "sum_one", "sum_two")
+
+
+class Snapshots:
+    """Verified copies of a dataset, cut into parts (such as days), of which only the changed ones are copied.
+
+    `root`/data has the newest copy of each part in a folder of its own, `root`/manifests/<n> the digests of copy n.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, part: Column, columns: list[str]):
+        self.spark, self.root, self.part, self.columns = spark, root.rstrip("/"), part, columns
+
+    def digests(self, df: DataFrame) -> DataFrame:
+        return df.groupBy(self.part.cast("string").alias("part")).agg(*row_digest(self.columns))
+
+    def manifest(self, number: int) -> DataFrame:
+        return self.spark.read.schema(MANIFEST).json(f"{self.root}/manifests/{number:06d}")
+
+    def changes(self, df: DataFrame, number: int) -> DataFrame:
+        """(part, change): parts of `df` that are new, changed or gone against manifest `number`."""
+        new, old = self.digests(df), self.manifest(number)
+        equal = reduce(and_, [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in _DIGEST])
+        both = new.alias("n").join(old.alias("o"), F.col("n.part").eqNullSafe(F.col("o.part")), "full")
+        change = F.when(F.col("o.rows").isNull(), "new").when(F.col("n.rows").isNull(), "gone").when(~equal, "changed")
+        return both.select(F.coalesce("n.part", "o.part").alias("part"), change.alias("change")).where("change IS NOT NULL")
+
+    def copy(self, df: DataFrame, number: int) -> DataFrame:
+        """Copy `number`: writes the parts that differ from copy number - 1, and the manifest. Returns the changes."""
+        rows = df.withColumn("part", F.coalesce(self.part.cast("string"), F.lit("null")))
+        if number == 0:
+            rows.write.mode("overwrite").partitionBy("part").parquet(f"{self.root}/data")
+            changes = self.digests(df).select("part", F.lit("new").alias("change"))
+        else:
+            changes = self.changes(df, number - 1)
+            write_files(changes, f"{self.root}/changes/{number:06d}", "json")
+            changes = self.spark.read.schema("part string, change string").json(f"{self.root}/changes/{number:06d}")
+            wanted = changes.where("change != 'gone'").select(F.coalesce("part", F.lit("null")).alias("part"))
+            rows.join(wanted, "part", "left_semi").write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic").partitionBy("part").parquet(f"{self.root}/data")
+        write_files(self.digests(df), f"{self.root}/manifests/{number:06d}", "json")
+        return changes
+
+    def read(self, number: int) -> DataFrame:
+        """The rows of the newest copy; parts that are gone are left out."""
+        known = self.manifest(number).select(F.coalesce("part", F.lit("null")).alias("part"))
+        return self.spark.read.option("recursiveFileLookup", False).parquet(f"{self.root}/data").withColumn(
+            "part", F.col("part").cast("string")).join(known, "part", "left_semi")
+
+    def verify(self, number: int) -> DataFrame:
+        """Parts of the stored copy that do not fit the manifest; no rows when the copy is whole."""
+        return self.changes(self.read(number).drop("part"), number)
+
+
 def expired(df: DataFrame, ts: str, as_of: str, days: int = 30) -> DataFrame:
     """Adds `expired`: older than `days` before `as_of`. Nothing is deleted here."""
     return df.withColumn("expired", F.col(ts) < ago(df, ts, as_of, f"{int(days)} days"))

@@ -188,7 +188,7 @@ def test_no_pairwise_joins_and_no_python_in_built_in_queries(spark):
     for name, fn in quick.items():
         p = plan(fn(spark, SF))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
-        assert "Python" not in p and "Pandas" not in p or name == "value_band_udf", name
+        assert "Python" not in p and "Pandas" not in p, name
 
 
 def test_model_joins_only_what_is_asked_for(spark):

@@ -13,7 +13,7 @@ from rillflow.config import Settings
 from rillflow.operators import quality as Q
 from rillflow.operators.product import ordered_steps
 from rillflow.plans.registry import _daily_merge, _daily_parts
-from rillflow.sources import model, topics, warehouse
+from rillflow.sources import files, model, topics, warehouse
 
 
 def plain_steps(kinds, types):
@@ -100,6 +100,27 @@ def test_days_are_replaced_and_expire_by_their_folders(spark, tmp_path):
     assert warehouse.partition_expiry(spark, str(tmp_path / "none"), "2024-01-01 00:00:00").count() == 0
 
 
+def test_snapshots_find_changed_rows(spark, tmp_path):
+    def rows(values):
+        return spark.createDataFrame(values, "id long, day string, v double").repartition(3)
+
+    first = [(i, f"d{i % 4}", 1.0) for i in range(40)] + [(99, None, 2.0), (7, "d3", 1.0)]
+    copies = files.Snapshots(spark, str(tmp_path), F.col("day"), ["id", "day", "v"])
+    assert copies.copy(rows(first), 0).count() == 5 and copies.verify(0).count() == 0
+    assert copies.changes(rows(first[::-1]), 0).count() == 0  # the order of rows does not matter
+    assert rows_of(copies.changes(rows(first + [(7, "d3", 1.0)] * 2), 0), "part", "change") == [("d3", "changed")]
+    second = [r for r in first if r[1] != "d1" and r[0] != 2] + [(2, "d2", 1.5), (50, "d9", 1.0)]
+    times = {f: os.path.getmtime(tmp_path / "data" / f) for f in os.listdir(tmp_path / "data") if "=" in f}
+    got = rows_of(copies.copy(rows(second), 1), "part", "change")
+    assert got == [("d1", "gone"), ("d2", "changed"), ("d9", "new")]
+    assert all(os.path.getmtime(tmp_path / "data" / f"part={p}") == times[f"part={p}"] for p in ("d0", "d3", "null"))
+    assert sorted(map(str, copies.read(1).select("id", "day", "v").collect())) == sorted(map(str, rows(second).collect()))
+    assert copies.verify(1).count() == 0
+    # a file of the copy that is not what was written
+    rows([(1000, "d0", 0.0)]).drop("part").write.mode("append").parquet(str(tmp_path / "data" / "part=d0"))
+    assert rows_of(copies.verify(1), "part", "change") == [("d0", "changed")]
+
+
 def test_headers_through_topic_files(spark, tmp_path):
     df = spark.createDataFrame([(1, "a", "é"), (2, None, None)], "id long, kind string, agent string")
     topics.to_envelope(df, "id", ["kind", "agent"]).write.json(str(tmp_path / "t"))
