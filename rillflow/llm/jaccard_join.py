@@ -245,9 +245,11 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     derived, used = _derived(state, percent)
     found = components(same.unionByName(near).unionByName(derived))
     discard(state, *used)
-    out = seen.join(found, seen.doc_id == found.id, "left")
-    return out.select(seen.doc_id, F.col("n").alias("n_shingles"),
-                      F.coalesce("component", seen.doc_id).alias("component_id"))
+    out = seen.select("doc_id", "n").join(found, F.col("doc_id") == F.col("id"), "left")
+    out = stored(out.select("doc_id", F.col("n").alias("n_shingles"),
+                            F.coalesce("component", "doc_id").alias("component_id")), "components")
+    docs.sparkSession.sql(f"DROP TABLE {name}")
+    return out
 
 
 def _repeats(seen: DataFrame) -> bool:
@@ -268,24 +270,29 @@ def _derived(state: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]
         form("empty", state, "own", "o_prefix", "delta is null"))
     # members between ask near ones and each other, remote ones ask all that are not near
     a, b = rows.where("asks").alias("a"), rows.alias("b")
-
-    def most(m, k):
-        return F.floor((100 - percent) * (F.col(m) + F.col(k)) / (100 + percent))
-
-    shared = F.least(F.col("a.far") - F.col("a.i"), F.col("b.far") - F.col("b.i"))  # at most
-    pairs = stored(a.join(
-        b, (F.col("a.g") == F.col("b.g")) & (F.col("a.form") == F.col("b.form")) & (F.col("a.e") == F.col("b.e"))
-        & (~F.col("b.asks") | (F.col("a.x") < F.col("b.x")))
-        & (F.col("a.far") + F.col("b.far") - 2 * shared <= most("a.n", "b.n"))
-        ).select(F.col("a.form").alias("form"), F.col("a.x").alias("x"), F.col("b.x").alias("y")).distinct(), "pairs")
+    met = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.form") == F.col("b.form")) & (F.col("a.e") == F.col("b.e"))
+                 & (~F.col("b.asks") | (F.col("a.x") < F.col("b.x"))))
+    # Differences stand in one order in all members of a group. What two have in common beside the
+    # elements that their prefixes share comes after the last of these in both.
+    many = [F.count("*").alias("both"), F.max("a.i").alias("i"), F.max("b.i").alias("j")]
+    total = F.col("n1") + F.col("n2")
+    shared = F.col("both") + F.least(F.col("far1") - F.col("i"), F.col("far2") - F.col("j")) - 1  # at most
+    pairs = stored(
+        met.groupBy(F.col("a.form").alias("form"), F.col("a.x").alias("x"), F.col("b.x").alias("y"), F.col("a.n").alias("n1"),
+                    F.col("b.n").alias("n2"), F.col("a.far").alias("far1"), F.col("b.far").alias("far2")).agg(*many)
+        .where((100 + percent) * (F.col("far1") + F.col("far2") - 2 * shared) <= (100 - percent) * total)
+        .select("form", "x", "y", "n1", "n2"), "pairs")
     ids = pairs.select("x").unionByName(pairs.select(F.col("y").alias("x"))).distinct()
-    used = stored(state.join(ids, "x", "left_semi").select("x", "n", "delta", "own"), "open")
-    one = used.select("x", F.col("n").alias("n1"), F.col("delta").alias("d1"), F.col("own").alias("o1"))
-    two = used.select(F.col("x").alias("y"), F.col("n").alias("n2"), F.col("delta").alias("d2"), F.col("own").alias("o2"))
-    leader = F.col("form") == "leader"
-    d1, d2 = F.when(leader, F.col("d1")).otherwise(F.col("o1")), F.when(leader, F.col("d2")).otherwise(F.col("o2"))
-    differing = F.size(d1) + F.size(d2) - 2 * F.size(F.array_intersect(d1, d2))
-    links = (pairs.join(one, "x").join(two, "y")
-             .where((100 + percent) * differing <= (100 - percent) * (F.col("n1") + F.col("n2")))
-             .select(F.col("x").alias("a"), F.col("y").alias("b")))
+    used = stored(state.join(ids, "x", "left_semi").select("x", "delta", "own"), "open")
+
+    def linked(form, column):
+        d1, d2 = F.col("d1"), F.col("d2")
+        one = used.select("x", F.col(column).alias("d1"))
+        two = used.select(F.col("x").alias("y"), F.col(column).alias("d2"))
+        differing = F.size(d1) + F.size(d2) - 2 * F.size(F.array_intersect(d1, d2))
+        return (pairs.where(F.col("form") == form).join(one, "x").join(two, "y")
+                .where((100 + percent) * differing <= (100 - percent) * total)
+                .select(F.col("x").alias("a"), F.col("y").alias("b")))
+
+    links = linked("leader", "delta").unionByName(linked("empty", "own"))
     return links, [pairs, used]
