@@ -71,7 +71,7 @@ def test_value_band_null_and_edges(spark):
     df = spark.createDataFrame([(4.99,), (5.0,), (14.99,), (15.0,), (None,)], "value double")
     want = ["low", "medium", "medium", "high", None]
     assert [r.b for r in df.select(E.value_band(F.col("value")).alias("b")).collect()] == want
-    assert [r.b for r in df.select(E.value_band_udf("value").alias("b")).collect()] == want
+    assert [r.b for r in df.select(F.call_function(E.register_value_band(spark), F.col("value")).alias("b")).collect()] == want
 
 
 def test_weekday(make_events):
