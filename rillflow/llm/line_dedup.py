@@ -12,9 +12,9 @@ from rillflow.llm.common import discard, sliced, small_batches, stored
 LOWEST = -(2**63)
 
 
-def _windows(min_words: int, to_ends: bool):
-    """Rows for the windows of a document: the fewest lines from a line on, and with `to_ends` the
-    fewest lines up to a line, with `min_words` words.
+def _windows(min_words: int):
+    """Rows for the windows of a document: the fewest lines from a line on, and the fewest lines up to a
+    line, with `min_words` words.
 
     Blank lines are skipped, white space inside a line counts as one space. `mark` is the smallest
     line hash of the window (the last one of equals), selected once per position (`fresh`), and
@@ -30,7 +30,7 @@ def _windows(min_words: int, to_ends: bool):
                 digest = [hashlib.blake2b(b" ".join(w), digest_size=16).digest() for _, w in lines]
                 size = [len(w) for _, w in lines]
                 last = -1
-                for start, end in _places(size, min_words, to_ends):
+                for start, end in _places(size, min_words):
                     at = _lowest(digest, start, end)
                     last, fresh = at, at != last
                     whole = digest[start] if end == start + 1 else hashlib.blake2b(
@@ -43,9 +43,9 @@ def _windows(min_words: int, to_ends: bool):
     return run
 
 
-def _places(size: list[int], min_words: int, to_ends: bool):
+def _places(size: list[int], min_words: int):
     """(start, end) of the windows over lines of `size` words, both never falling. After the fewest
-    lines from `start` on come, with `to_ends`, those up to each next line for which the lines after
+    lines from `start` on come those up to each next line for which the lines after
     `start` are too few."""
     end, total = 0, 0
     for start in range(len(size)):
@@ -56,7 +56,7 @@ def _places(size: list[int], min_words: int, to_ends: bool):
             break
         yield start, end
         total -= size[start]
-        while to_ends and end < len(size) and total + size[end] < min_words:
+        while end < len(size) and total + size[end] < min_words:
             total += size[end]
             end += 1
             yield start, end
@@ -86,12 +86,12 @@ def _strip(text: pd.Series, low: pd.Series, high: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"text": kept, "removed": removed})
 
 
-def repeated_windows(docs: DataFrame, min_words: int = 50, to_ends: bool = True) -> DataFrame:
+def repeated_windows(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """(doc, h, low, high): windows of lines that occur before, in an earlier document or place."""
     place = F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST))
     rows = docs.select(place.alias("__place"), F.xxhash64("text").alias("__h"), "text")
     w = stored(rows.mapInArrow(
-        _windows(min_words, to_ends),
+        _windows(min_words),
         "doc long, h long, low int, high int, mark binary, fresh int, content binary").distinct(), "windows")
     marks = w.groupBy("mark").agg(F.sum("fresh").alias("times")).where("times > 1").select("mark")
     hit = w.join(marks, "mark").select("doc", "h", "low", "high", "content")
@@ -102,7 +102,7 @@ def repeated_windows(docs: DataFrame, min_words: int = 50, to_ends: bool = True)
     return found
 
 
-def dedup_lines(docs: DataFrame, min_words: int = 50, to_ends: bool = True) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """`docs` with repeated runs of lines of `min_words` words or more cut from `text`; adds
     n_lines, n_removed and removed (line numbers), replacing columns of those names.
 
@@ -113,13 +113,13 @@ def dedup_lines(docs: DataFrame, min_words: int = 50, to_ends: bool = True) -> D
     join, and the first copy stays. A line of a repeated run with `min_words` words from it to the
     run's end begins a window inside the run, and any other line is in the window that ends with the
     run. So the windows that go are, line by line, all runs shared with any earlier copy, extended
-    both ways. Without `to_ends` the last lines of a run with fewer words stay.
+    both ways.
     All steps are sums and minima by hash, joined back by hash, so a run that a third of all
     documents share makes one row per copy. Rows with equal id and text are one document and keep
     or lose the same lines; null and short texts stay as they are; a line of 50 words is a run.
     """
     small_batches(docs.sparkSession)
-    runs = (repeated_windows(docs, min_words, to_ends).groupBy("doc", "h")
+    runs = (repeated_windows(docs, min_words).groupBy("doc", "h")
             .agg(F.collect_list(F.struct("low", "high")).alias("__runs")))
     place = F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST))
     keyed = docs.withColumns({"__doc": place, "__h": F.xxhash64("text")})

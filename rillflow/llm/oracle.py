@@ -111,25 +111,22 @@ SELECT page_id, host, path, rule,
   n host_labelled, bad host_bad
 FROM parts JOIN post USING (host) LEFT JOIN fitting USING (rid)"""
 
+#: Lines in a run of equal consecutive lines (blank ones aside) with an earlier copy and 50 words or more.
 LINES_CUT = rf"""
 lines0 AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) x,
     generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 i FROM documents),
 lines1 AS (SELECT *, list_filter(regexp_split_to_array(x, '{_SPACE}'), lambda w: w <> '') ws FROM lines0),
 filled AS (
-  SELECT doc_id, i, array_to_string(ws, ' ') norm, len(ws) n, row_number() OVER d k, sum(len(ws)) OVER d c
+  SELECT doc_id, i, array_to_string(ws, ' ') norm, len(ws) n, row_number() OVER d k
   FROM lines1 WHERE len(ws) > 0 WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
-win AS (
-  SELECT a.doc_id, a.k s, min(b.k) e FROM filled a JOIN filled b
-  ON a.doc_id = b.doc_id AND b.k >= a.k AND b.c - a.c + a.n >= 50 GROUP BY a.doc_id, a.k),
-content AS (
-  SELECT w.doc_id, s, min(i) low, max(i) high, string_agg(norm, chr(10) ORDER BY k) whole
-  FROM win w JOIN filled f ON w.doc_id = f.doc_id AND k BETWEEN s AND e GROUP BY w.doc_id, s),
-later AS (
-  SELECT doc_id, low, high FROM (
-    SELECT *, row_number() OVER (PARTITION BY whole ORDER BY doc_id, s) nth FROM content) WHERE nth > 1),
-gone AS (
-  SELECT DISTINCT l.doc_id, i FROM lines0 l JOIN later r ON l.doc_id = r.doc_id AND i BETWEEN low AND high),
+same AS (
+  SELECT a.doc_id, a.i, a.n, a.k, b.doc_id other, a.k - b.k shift
+  FROM filled a JOIN filled b ON a.norm = b.norm AND (b.doc_id, b.k) < (a.doc_id, a.k)),
+runs AS (
+  SELECT doc_id, i, sum(n) OVER (PARTITION BY doc_id, other, shift, isle) total
+  FROM (SELECT *, k - row_number() OVER (PARTITION BY doc_id, other, shift ORDER BY k) isle FROM same)),
+gone AS (SELECT DISTINCT doc_id, i FROM runs WHERE total >= 50),
 cut AS (
   SELECT l.doc_id, count(*) n_lines, count(g.i) n_removed,
     coalesce(string_agg(g.i::VARCHAR, ',' ORDER BY l.i), '') removed,
