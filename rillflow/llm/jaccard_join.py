@@ -40,7 +40,7 @@ from rillflow.llm.shingles import mix, shingle_set
 
 
 BUCKET = 500_000  # index entries of a bucket, about
-SLICE = 2_000_000  # entries dealt to buckets at a time
+SLICE = 500_000  # entries dealt to buckets at a time
 #: Bits of a key kept inside its bucket. A bucket has as many entries at every size of the input, so
 #: unlike contents meet in a list as rarely; they would only make a group larger, not link.
 KEPT = np.uint64(2**40 - 1)
@@ -263,7 +263,7 @@ def _derived(state: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]
 
     def form(name, rows, column, prefix, asks):
         return rows.where(f"{prefix} > 0").select(
-            "g", F.lit(name).alias("form"), "x", "n", F.expr(asks).alias("asks"), F.size(column).alias("far"),
+            "g", F.lit(name == "leader").alias("form"), "x", "n", F.expr(asks).alias("asks"), F.size(column).alias("far"),
             F.posexplode(F.slice(column, 1, F.col(prefix))).alias("i", "e"))
 
     rows = form("leader", state.join(open_groups, "g", "left_semi"), "delta", "d_prefix", "not near").unionByName(
@@ -290,7 +290,7 @@ def _derived(state: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]
         one = used.select("x", F.col(column).alias("d1"))
         two = used.select(F.col("x").alias("y"), F.col(column).alias("d2"))
         differing = F.size(d1) + F.size(d2) - 2 * F.size(F.array_intersect(d1, d2))
-        return (pairs.where(F.col("form") == form).join(one, "x").join(two, "y")
+        return (pairs.where(F.col("form") == F.lit(form == "leader")).join(one, "x").join(two, "y")
                 .where((100 + percent) * differing <= (100 - percent) * total)
                 .select(F.col("x").alias("a"), F.col("y").alias("b")))
 
