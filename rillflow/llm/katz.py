@@ -6,7 +6,8 @@ counts and the probability of the shorter n-gram to the bucket of their context,
 columns. A bucket adds the counts up and answers every block with the total of each n-gram, its
 number (the context number of the next order) and the counts of its context, from which the block gets
 discounts, backoff weight and probability. So n-grams travel once per order, after they are
-counted inside a block, and texts never. The answers are tables partitioned by order.
+counted inside a block, and texts never. What a block knows after an order is its state, a column of a
+table in buckets of blocks: only the newest answers are shuffled, and the tables before them go.
 """
 
 import uuid
@@ -20,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import stored
+from rillflow.llm.common import discard, release_shuffles, stored
 from rillflow.llm.packed import expand, squeeze
 from rillflow.llm.shingles import mix, word_hashes
 
@@ -29,6 +30,23 @@ END = np.uint64(0x5BD1E995_9D1B58D3)  # the hash of the end token
 STATS = K + 2  # of a context: n-grams seen 1 .. K times, the sum of the larger counts, backed-off mass
 
 
+def ordered(keys: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers below `bound` in order, and their places; in one sort of numbers that hold both
+    where 63 bits have room for them."""
+    n = max(len(keys), 1)
+    if bound * n >= 2**63:
+        order = np.argsort(keys, kind="stable")
+        return keys[order], order
+    both = np.sort(keys * n + np.arange(len(keys)))
+    values = both // n
+    return values, both - values * n
+
+
+def changes(x: np.ndarray) -> np.ndarray:
+    """Where an ordered array has a value that the place before has not."""
+    return np.concatenate([[True], x[1:] != x[:-1]]) if len(x) else np.zeros(0, bool)
+
+
 def codes(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Repeating numbers as a list of values and places in it."""
     values, at = np.unique(p, return_inverse=True)
@@ -94,26 +112,55 @@ class Block:
         self.place = (np.arange(len(self.tokens)) - first[self.doc]).astype(np.int32)
         self.gram = self.tokens.astype(np.int64)  # place of each token's n-gram in the list of its order
         self.p = None
-
-    def keys(self, order: int, ids: list[np.ndarray]):
-        """Contexts and words of the distinct n-grams, each token's n-gram, and where it has one."""
+        if row.get("state") is not None:
+            word_ids, self.seen, gram_ids, gram, self.p_gram, short = expand(row["state"])
+            self.word_ids, self.gram_ids = word_ids.astype(np.uint64), gram_ids.astype(np.uint64)
+            self.gram = gram.astype(np.int64) - 1
+            self.p = self.p_gram[self.gram]
+            self.p[self.gram < 0] = short
+
+    def state(self) -> bytes:
+        """Numbers and training counts of the words; numbers and probabilities of the n-grams of the last
+        order and each token's n-gram; the probabilities of tokens with fewer words before them."""
+        return squeeze(self.word_ids, self.seen, self.gram_ids, self.gram + 1, self.p_gram, self.p[self.gram < 0])
+
+    @property
+    def known(self) -> np.ndarray:
+        """Training count of each token's word."""
+        return self.seen[self.tokens].astype(np.int64)
+
+    def keys(self, order: int):
+        """Contexts, their ranks, and words of the distinct n-grams, each token's n-gram, and where it
+        has one."""
         if order == 1:
-            return np.zeros(len(self.words), np.uint64), self.words, self.gram, np.ones(len(self.tokens), bool)
+            none = np.zeros(len(self.words), np.int64)
+            return none.astype(np.uint64), none, self.words, self.gram, np.ones(len(self.tokens), bool)
         has = self.place >= order - 2
         t = np.flatnonzero(has)
-        n = len(ids[-1])  # n-grams of the order before; place n stands for the start of a text
+        n = len(self.gram_ids)  # n-grams of the order before; place n stands for the start of a text
         before = np.where(self.place[t] == 0, n, self.gram[t - 1])
         size = len(self.words)
-        distinct, at = np.unique(before * size + self.tokens[t], return_inverse=True)
+        found, at = ordered(before * size + self.tokens[t], (n + 1) * size)
+        new = changes(found)
         gram = np.full(len(self.tokens), -1, np.int64)
-        gram[t] = at
-        ctx_ids = np.append(ids[-1], np.uint64(0))
-        return ctx_ids[distinct // size], ids[0][distinct % size], gram, has
+        gram[t[at]] = np.cumsum(new) - 1
+        ctx_ids, rank = np.append(self.gram_ids, np.uint64(0)), np.empty(n + 1, np.int64)
+        rank[np.argsort(ctx_ids)] = np.arange(n + 1)
+        before, word = np.divmod(found[new], size)
+        return ctx_ids[before], rank[before], self.word_ids[word], gram, has
 
     def counts(self, gram: np.ndarray, n: int) -> np.ndarray:
         return np.bincount(gram[self.train & (gram >= 0)], minlength=n)
 
 
+def by_bucket(to: np.ndarray, rank: np.ndarray, buckets: int):
+    """The filled buckets, each with the places of its n-grams by context."""
+    many = int(rank.max(initial=0)) + 1
+    key, order = ordered(to * many + rank, buckets * many)
+    start = np.flatnonzero(changes(key // many))
+    return zip((key[start] // many).tolist(), np.split(order, start[1:])) if len(key) else ()
+
+
 def bucket_of(order: int, ctx: np.ndarray, word: np.ndarray, buckets: int, split: dict) -> np.ndarray:
     """By context; by context and word for the empty context and those in `split`."""
     if order == 1:
@@ -156,40 +203,30 @@ def blocks_of(docs: DataFrame, held_out: int, folds: int, block_tokens: int) ->
         run, "block long, size long, docs binary, tokens binary")
 
 
-def _sends(block: Block, order: int, levels: list[Level], ids: list[np.ndarray]):
-    ctx, word, gram, has = block.keys(order, ids)
-    level = levels[order - 1]
-    n = block.counts(gram, len(word))
-    lower = np.zeros(len(word), np.int64 if order == 2 else float)
-    if order > 1:
-        t = np.flatnonzero(has)
-        lower[gram[t]] = (block.known if order == 2 else block.p)[t]
-    to = bucket_of(order, ctx, word, level.buckets, level.split)
-    order_ = np.lexsort((word, ctx, to))
-    cuts = np.searchsorted(to[order_], np.arange(level.buckets + 1))
-    for b in range(level.buckets):
-        at = order_[cuts[b]:cuts[b + 1]]
-        if len(at):
-            c, many = np.unique(ctx[at], return_counts=True)
-            sent = (lower[at],) if order == 2 else codes(lower[at])
-            yield b, block.id, squeeze(c, many, word[at], n[at], *sent)
+SENT = "bucket int, block long, blob binary"
 
 
-SENT = "bucket int, block long, blob binary"
+def _sends(order: int, levels: list[Level]):
+    """What the blocks send to the buckets of an order."""
+    level = levels[order - 1]
 
+    def sent(block: Block):
+        ctx, rank, word, gram, has = block.keys(order)
+        n = block.counts(gram, len(word))
+        lower = np.zeros(len(word), np.int64 if order == 2 else float)
+        if order > 1:
+            t = np.flatnonzero(has)
+            lower[gram[t]] = (block.known if order == 2 else block.p)[t]
+        for b, at in by_bucket(bucket_of(order, ctx, word, level.buckets, level.split), rank, level.buckets):
+            start = np.flatnonzero(changes(rank[at]))
+            many = np.diff(np.append(start, len(at)))
+            p = (lower[at],) if order == 2 else codes(lower[at])
+            yield b, block.id, squeeze(ctx[at][start], many, word[at], n[at], *p)
 
-def _first_sends(levels: list[Level]):
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                yield _batch(list(zip(*_sends(Block(row), 1, levels, []))))
-    return run
-
-
-def _later_sends(order: int, levels: list[Level]):
-    def run(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        block, ids = _replayed(rows.iloc[0], answers, levels, order - 1)
-        return pd.DataFrame(list(_sends(block, order, levels, ids)), columns=["bucket", "block", "blob"])
+            for i in range(batch.num_rows):
+                yield _batch(list(zip(*sent(Block(batch.slice(i, 1).to_pylist()[0])))))
     return run
 
 
@@ -211,7 +248,13 @@ def _add_up(order: int, level: Level, words: Level):
             parts.append((np.repeat(c.astype(np.uint64), many), w.astype(np.uint64), n.astype(np.int64), lower_of(sent)))
         size = [len(p[1]) for p in parts]
         ctx, word, n, lower = (np.concatenate(x) for x in zip(*parts))
-        by = np.lexsort((word, ctx))
+        words_end = int(word.max(initial=0)) + 1
+        if order == 1:
+            by = np.argsort(word)
+        elif int(ctx.max(initial=0)) * words_end < 2**62:
+            by = np.argsort(ctx * np.uint64(words_end) + word)
+        else:
+            by = np.lexsort((word, ctx))
         c, w = ctx[by], word[by]
         new = np.concatenate([[True], (c[1:] != c[:-1]) | (w[1:] != w[:-1])])
         first = np.flatnonzero(new)
@@ -249,52 +292,49 @@ def _add_up(order: int, level: Level, words: Level):
 ANSWER = "block long, bucket int, ctx long, nums array<double>, blob binary"
 
 
-def _answered(block: Block, order: int, levels: list[Level], ids: list[np.ndarray], answers: dict) -> None:
-    """Sets the probabilities of the tokens after this order and appends the n-gram numbers."""
-    ctx, word, gram, has = block.keys(order, ids)
+def _answered(block: Block, order: int, levels: list[Level], answers: dict) -> None:
+    """Gives the block the probabilities of its tokens after this order, and the n-gram numbers."""
+    ctx, rank, word, gram, has = block.keys(order)
     level = levels[order - 1]
-    to = bucket_of(order, ctx, word, level.buckets, level.split)
-    by = np.lexsort((word, ctx, to))
-    cuts = np.searchsorted(to[by], np.arange(level.buckets + 1))
     r, number = np.zeros(len(word), np.int64), np.zeros(len(word), np.uint64)
     stats, row = [], np.zeros(len(word), np.int64)
     rows = 0
-    for b in np.flatnonzero(cuts[1:] > cuts[:-1]):
-        at = by[cuts[b]:cuts[b + 1]]
+    for b, at in by_bucket(bucket_of(order, ctx, word, level.buckets, level.split), rank, level.buckets):
         total, num, *s, values, place = expand(answers[b])
         r[at], number[at] = total, num
-        _, which = np.unique(ctx[at], return_inverse=True)
-        row[at] = rows + which
+        row[at] = rows + np.cumsum(changes(rank[at])) - 1
         stats.append(np.column_stack([*s, values[place]]).astype(float))
         rows += len(stats[-1])
     stats = np.concatenate(stats)
     for c, s in level.split.items():
         stats[np.unique(row[ctx == np.uint64(c)])] = s
     t = np.flatnonzero(has)
-    lower = np.zeros(len(word))
+    lower = np.ones(len(word))
     if order > 1:
         lower[gram[t]] = block.p[t]
-    p = probability(r, stats, row, lower if order > 1 else np.ones(len(word)), level.discount)
+    block.p_gram = probability(r, stats, row, lower, level.discount)
+    block.p = np.empty(len(block.tokens)) if order == 1 else block.p.copy()
+    block.p[t] = block.p_gram[gram[t]]
     if order == 1:
-        block.known = r[gram]
-        block.p = p[gram]
-    else:
-        block.p = block.p.copy()
-        block.p[t] = p[gram[t]]
-    block.gram = gram
-    ids.append(number)
+        block.seen, block.word_ids = r, number
+    block.gram, block.gram_ids = gram, number
 
 
-def _replayed(row, answers: pd.DataFrame, levels: list[Level], upto: int) -> tuple[Block, list[np.ndarray]]:
-    block, ids = Block(row), []
-    for order in range(1, upto + 1):
-        own = answers[answers["level"] == order]
-        _answered(block, order, levels, ids, dict(zip(own["bucket"], own["blob"])))
-    return block, ids
+STATE = "block long, size long, docs binary, tokens binary, state binary"
+
+
+def _states(order: int, levels: list[Level]):
+    def run(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        row = rows.iloc[0]
+        block = Block(row)
+        _answered(block, order, levels, dict(zip(answers["bucket"], answers["blob"])))
+        return pd.DataFrame([(block.id, row["size"], row["docs"], row["tokens"], block.state())],
+                            columns=["block", "size", "docs", "tokens", "state"])
+    return run
 
 
 def score(docs: DataFrame, order: int = 2, held_out: int = 1, folds: int = 5,
-          block_tokens: int = 1_500_000, bucket_tokens: int = 2_000_000) -> DataFrame:
+          block_tokens: int = 1_500_000, bucket_tokens: int = 1_000_000) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document.
 
     The model learns from documents whose crc32(doc_id as text) mod `folds` is not `held_out`
@@ -310,22 +350,27 @@ def score(docs: DataFrame, order: int = 2, held_out: int = 1, folds: int = 5,
     word, and their statistics, a row each, pass through the driver.
     """
     spark = docs.sparkSession
-    name = f"katz_{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (blocks_of(docs, held_out, folds, block_tokens).write.bucketBy(parts, "block").saveAsTable(name))
-    blocks = spark.table(name)
+
+    def in_buckets(rows: DataFrame) -> tuple[str, DataFrame]:
+        name = f"katz_{uuid.uuid4().hex}"
+        rows.write.bucketBy(parts, "block").saveAsTable(name)
+        release_shuffles(spark)
+        return name, spark.table(name)
+
+    def met(blocks: DataFrame, answers: DataFrame):
+        own = answers.where("block >= 0").select("block", "bucket", "blob")
+        return blocks.groupBy("block").cogroup(own.groupBy("block"))
+
+    name, blocks = in_buckets(blocks_of(docs, held_out, folds, block_tokens).withColumn("state", F.lit(None).cast("binary")))
     tokens = blocks.agg(F.sum("size")).first()[0] or 0
     buckets = max(1, tokens // bucket_tokens)
-    levels, tables = [], []
+    levels: list[Level] = []
     split: dict = {}
     for k in range(1, order + 1):
         level = Level(buckets, split=split)
         levels.append(level)
-        if k == 1:
-            sends = blocks.mapInArrow(_first_sends(list(levels)), SENT)
-        else:
-            sends = blocks.groupBy("block").cogroup(_all(tables).groupBy("block")).applyInPandas(
-                _later_sends(k, list(levels)), SENT)
+        sends = blocks.mapInArrow(_sends(k, list(levels)), SENT)
         answers = stored(sends.groupBy("bucket").applyInPandas(_add_up(k, level, levels[0]), ANSWER), f"ngrams_{k}")
         nums = [F.sum(F.col("nums")[i]).alias(str(i)) for i in range(K + 4)]
         totals = [x or 0 for x in answers.where("block = -1").agg(*nums).first()]
@@ -334,13 +379,17 @@ def score(docs: DataFrame, order: int = 2, held_out: int = 1, folds: int = 5,
         sums = [F.sum(F.col("nums")[i]).alias(f"s{i}") for i in range(STATS)]
         rows = answers.where("block = -2").groupBy("ctx").agg(*sums).collect()
         level.split = {r.ctx % 2**64: np.array(r[1:]) for r in rows}
-        tables.append(answers.where("block >= 0").select("block", "bucket", "blob", F.lit(k).alias("level")))
         if k < order:
-            split = _frequent(_all(tables), k, tokens)
+            split = _frequent(answers.where("block >= 0"), tokens)
+            old = name
+            name, blocks = in_buckets(met(blocks, answers).applyInPandas(_states(k, list(levels)), STATE))
+            spark.sql(f"DROP TABLE {old}")
+            discard(answers)
     n_train, n_types = levels[0].tokens, levels[0].types
 
     def final(rows, answers):
-        block, _ = _replayed(rows.iloc[0], answers, levels, order)
+        block = Block(rows.iloc[0])
+        _answered(block, order, levels, dict(zip(answers["bucket"], answers["blob"])))
         n = len(block.n_tokens)
         c = block.known
         base = np.log10((c + 0.5) / (n_train + 0.5 * (n_types + 1)))
@@ -353,7 +402,7 @@ def score(docs: DataFrame, order: int = 2, held_out: int = 1, folds: int = 5,
             "n_known": np.bincount(block.doc, c > 0, n).astype(np.int64), "train_tokens": n_train,
             "base_score": np.bincount(block.doc, base, n), "score": np.bincount(block.doc, np.log10(block.p), n)})
 
-    return blocks.groupBy("block").cogroup(_all(tables).groupBy("block")).applyInPandas(
+    return met(blocks, answers).applyInPandas(
         final, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                "base_score double, score double")
 
@@ -364,15 +413,8 @@ def _batch(out) -> pa.RecordBatch:
                                       ["bucket", "block", "blob"])
 
 
-def _all(tables: list[DataFrame]) -> DataFrame:
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    return out
-
-
-def _frequent(answers: DataFrame, k: int, tokens: int) -> dict:
-    """Numbers of the n-grams of order k with over a thousandth of all tokens, and the start."""
+def _frequent(answers: DataFrame, tokens: int) -> dict:
+    """Numbers of the n-grams with over a thousandth of all tokens, and the start."""
     most = max(tokens // 1000, 1)
 
     def run(batches):
@@ -383,5 +425,5 @@ def _frequent(answers: DataFrame, k: int, tokens: int) -> dict:
                 found.update(number[r > most].tolist())
             yield pa.RecordBatch.from_pydict({"id": pa.array(sorted(found), pa.int64())})
 
-    ids = answers.where(F.col("level") == k).select("blob").mapInArrow(run, "id long").distinct().collect()
+    ids = answers.select("blob").mapInArrow(run, "id long").distinct().collect()
     return {0: None, **{r.id: None for r in ids}}
