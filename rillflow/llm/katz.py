@@ -113,16 +113,19 @@ class Block:
         self.gram = self.tokens.astype(np.int64)  # place of each token's n-gram in the list of its order
         self.p = None
         if row.get("state") is not None:
-            word_ids, self.seen, gram_ids, gram, self.p_gram, short = expand(row["state"])
-            self.word_ids, self.gram_ids = word_ids.astype(np.uint64), gram_ids.astype(np.uint64)
-            self.gram = gram.astype(np.int64) - 1
-            self.p = self.p_gram[self.gram]
+            word_ids, self.seen, gram_ids, gram, values, place, short = expand(row["state"])
+            self.word_ids = self.gram_ids = word_ids.astype(np.uint64)
+            if len(gram):
+                self.gram_ids, self.gram = gram_ids.astype(np.uint64), gram.astype(np.int64) - 1
+            self.p = values[place][self.gram]
             self.p[self.gram < 0] = short
 
-    def state(self) -> bytes:
-        """Numbers and training counts of the words; numbers and probabilities of the n-grams of the last
-        order and each token's n-gram; the probabilities of tokens with fewer words before them."""
-        return squeeze(self.word_ids, self.seen, self.gram_ids, self.gram + 1, self.p_gram, self.p[self.gram < 0])
+    def state(self, order: int) -> bytes:
+        """Numbers and training counts of the words; numbers of the n-grams of the last order and each
+        token's n-gram, unless they are the words; their probabilities; those of tokens with fewer
+        words before them."""
+        grams = (self.gram_ids, self.gram + 1) if order > 1 else (self.gram_ids[:0], self.gram[:0])
+        return squeeze(self.word_ids, self.seen, *grams, *codes(self.p_gram), self.p[self.gram < 0])
 
     @property
     def known(self) -> np.ndarray:
@@ -220,8 +223,8 @@ def _sends(order: int, levels: list[Level]):
         for b, at in by_bucket(bucket_of(order, ctx, word, level.buckets, level.split), rank, level.buckets):
             start = np.flatnonzero(changes(rank[at]))
             many = np.diff(np.append(start, len(at)))
-            p = (lower[at],) if order == 2 else codes(lower[at])
-            yield b, block.id, squeeze(ctx[at][start], many, word[at], n[at], *p)
+            c, p = ctx[at][start], lower[at][n[at] > 0]  # n-grams that are not learnt from here take no mass
+            yield b, block.id, squeeze(c[:1], np.diff(c), many, word[at], n[at], *((p,) if order == 2 else codes(p)))
 
     def run(batches):
         for batch in batches:
@@ -230,9 +233,16 @@ def _sends(order: int, levels: list[Level]):
     return run
 
 
-def _add_up(order: int, level: Level, words: Level):
+def _alone(stats: np.ndarray) -> np.ndarray:
+    """Contexts with one n-gram, seen K times or less: the mass backed off is that of this n-gram, which a
+    block that has it knows."""
+    return (stats[:, :K].sum(1) == 1) & (stats[:, K] == 0)
+
+
+def _add_up(order: int, level: Level, words: Level, last: bool):
     """A bucket: totals, numbers and context statistics for the blocks that sent n-grams. For the
-    words of bigrams their counts were sent, which say the same as probabilities, but shorter."""
+    words of bigrams their counts were sent, which say the same as probabilities, but shorter.
+    Numbers go as ranks in the bucket, and not at all after the last order."""
 
     def lower_of(sent: list[np.ndarray]) -> np.ndarray:
         if order != 2:
@@ -244,8 +254,11 @@ def _add_up(order: int, level: Level, words: Level):
         bucket, parts = int(pdf["bucket"].iloc[0]), []
         blocks = pdf["block"].to_numpy()
         for blob in pdf["blob"]:
-            c, many, w, n, *sent = expand(blob)
-            parts.append((np.repeat(c.astype(np.uint64), many), w.astype(np.uint64), n.astype(np.int64), lower_of(sent)))
+            c, gaps, many, w, n, *sent = expand(blob)
+            c = np.cumsum(np.concatenate([c.astype(np.uint64), gaps.astype(np.uint64)]))
+            p = np.zeros(len(w))
+            p[n > 0] = lower_of(sent)
+            parts.append((np.repeat(c, many), w.astype(np.uint64), n.astype(np.int64), p))
         size = [len(p[1]) for p in parts]
         ctx, word, n, lower = (np.concatenate(x) for x in zip(*parts))
         words_end = int(word.max(initial=0)) + 1
@@ -258,10 +271,9 @@ def _add_up(order: int, level: Level, words: Level):
         c, w = ctx[by], word[by]
         new = np.concatenate([[True], (c[1:] != c[:-1]) | (w[1:] != w[:-1])])
         first = np.flatnonzero(new)
-        r, gc, gp = np.add.reduceat(n[by], first), c[first], lower[by][first]
+        r, gc, gp = np.add.reduceat(n[by], first), c[first], np.maximum.reduceat(lower[by], first)
         rank = np.empty(len(r), np.int64)
         rank[np.argsort(-r, kind="stable")] = np.arange(len(r))
-        number = (rank * level.buckets + bucket + 1).astype(np.uint64)
         gram = np.empty(len(by), np.int64)
         gram[by] = np.cumsum(new) - 1
         start = np.flatnonzero(np.concatenate([[True], gc[1:] != gc[:-1]]))
@@ -275,10 +287,13 @@ def _add_up(order: int, level: Level, words: Level):
         for block, k in zip(blocks, size):
             g = gram[at:at + k]
             at += k
-            own = np.unique(row_of[g])
+            new = changes(row_of[g])
+            own, has = stats[row_of[g][new]], np.zeros(int(new.sum()), bool)
+            has[(np.cumsum(new) - 1)[r[g] > 0]] = True
+            mass = np.where(has & _alone(own), 0.0, own[:, K + 1])
             rows.append((int(block), bucket, None, None,
-                         squeeze(r[g], number[g], *(stats[own, i].astype(np.uint64) for i in range(K + 1)),
-                                 *codes(stats[own, K + 1]))))
+                         squeeze(r[g], rank[g][:0 if last else None], *(own[:, i].astype(np.uint64) for i in range(K + 1)),
+                                 *codes(mass))))
         seen = [float((r == i).sum()) for i in range(K + 2)]
         rows.append((-1, bucket, None, [*seen, float(r.sum()), float((r > 0).sum())], None))
         hot = np.isin(gc[start], np.fromiter(level.split, np.uint64, len(level.split))) if order > 1 else [True] * len(start)
@@ -301,17 +316,21 @@ def _answered(block: Block, order: int, levels: list[Level], answers: dict) -> N
     rows = 0
     for b, at in by_bucket(bucket_of(order, ctx, word, level.buckets, level.split), rank, level.buckets):
         total, num, *s, values, place = expand(answers[b])
-        r[at], number[at] = total, num
+        r[at] = total
+        if len(num):
+            number[at] = num.astype(np.uint64) * np.uint64(level.buckets) + np.uint64(b + 1)
         row[at] = rows + np.cumsum(changes(rank[at])) - 1
         stats.append(np.column_stack([*s, values[place]]).astype(float))
         rows += len(stats[-1])
     stats = np.concatenate(stats)
-    for c, s in level.split.items():
-        stats[np.unique(row[ctx == np.uint64(c)])] = s
     t = np.flatnonzero(has)
     lower = np.ones(len(word))
     if order > 1:
         lower[gram[t]] = block.p[t]
+    alone = (r > 0) & _alone(stats)[row]
+    stats[row[alone], K + 1] = lower[alone]
+    for c, s in level.split.items():
+        stats[np.unique(row[ctx == np.uint64(c)])] = s
     block.p_gram = probability(r, stats, row, lower, level.discount)
     block.p = np.empty(len(block.tokens)) if order == 1 else block.p.copy()
     block.p[t] = block.p_gram[gram[t]]
@@ -328,7 +347,7 @@ def _states(order: int, levels: list[Level]):
         row = rows.iloc[0]
         block = Block(row)
         _answered(block, order, levels, dict(zip(answers["bucket"], answers["blob"])))
-        return pd.DataFrame([(block.id, row["size"], row["docs"], row["tokens"], block.state())],
+        return pd.DataFrame([(block.id, row["size"], row["docs"], row["tokens"], block.state(order))],
                             columns=["block", "size", "docs", "tokens", "state"])
     return run
 
@@ -371,7 +390,7 @@ def score(docs: DataFrame, order: int = 2, held_out: int = 1, folds: int = 5,
         level = Level(buckets, split=split)
         levels.append(level)
         sends = blocks.mapInArrow(_sends(k, list(levels)), SENT)
-        answers = stored(sends.groupBy("bucket").applyInPandas(_add_up(k, level, levels[0]), ANSWER), f"ngrams_{k}")
+        answers = stored(sends.groupBy("bucket").applyInPandas(_add_up(k, level, levels[0], k == order), ANSWER), f"ngrams_{k}")
         nums = [F.sum(F.col("nums")[i]).alias(str(i)) for i in range(K + 4)]
         totals = [x or 0 for x in answers.where("block = -1").agg(*nums).first()]
         level.discount = discounts([int(x) for x in totals[:K + 2]])
