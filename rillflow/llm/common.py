@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import gc
 import string
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from rillflow.session import shared_dir
 
 SPACE = r"[\x20\x09-\x0D]+"
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -38,18 +39,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     survives lost executors. `discard` removes it again; what a result still reads, the cluster clears."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_released(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
-    release_shuffles(spark)
     return out
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Lets Spark's cleaner remove the shuffle files of jobs that nothing refers to any more. It waits for
-    the driver's garbage collection, which may not come before a long job has filled the executors' disks."""
-    gc.collect()
-    spark._jvm.System.gc()
+@contextmanager
+def shuffles_released(spark: SparkSession):
+    """Spark removes the shuffle files of what runs inside as soon as it is done. Without, they stay until
+    the driver's garbage collector finds that nothing refers to them, which may not come before a long job
+    has filled the executors' disks. For writes, whose plans nothing runs again."""
+    before = spark.conf.get(RELEASE)
+    spark.conf.set(RELEASE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(RELEASE, before)
 
 
 def discard(*frames: DataFrame) -> None:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import discard, release_shuffles, sliced, small_batches, stored
+from rillflow.llm.common import discard, shuffles_released, sliced, small_batches, stored
 from rillflow.llm.components import components
 from rillflow.llm.packed import expand, squeeze
 from rillflow.llm.shingles import mix, shingle_set
@@ -213,9 +213,9 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     parts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # a table in buckets of ids, so that finding class representatives and members does not move texts
     name, spread = f"sets_{uuid.uuid4().hex}", int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts.mapInArrow(_sets(size, percent), "doc_id long, n long, sig binary, n_keys long, text string").write.option(
-        "compression", "zstd").bucketBy(spread, "doc_id").saveAsTable(name)
-    release_shuffles(docs.sparkSession)
+    sets = parts.mapInArrow(_sets(size, percent), "doc_id long, n long, sig binary, n_keys long, text string")
+    with shuffles_released(docs.sparkSession):
+        sets.write.option("compression", "zstd").bucketBy(spread, "doc_id").saveAsTable(name)
     seen = docs.sparkSession.table(name)
     filled = seen.where("n > 0 and doc_id is not null")
     classes = filled.groupBy("sig").agg(F.min("doc_id").alias("rep"))

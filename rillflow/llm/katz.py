@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import discard, release_shuffles, stored
+from rillflow.llm.common import discard, shuffles_released, stored
 from rillflow.llm.packed import expand, squeeze
 from rillflow.llm.shingles import mix, word_hashes
 
@@ -112,20 +112,36 @@ class Block:
         self.place = (np.arange(len(self.tokens)) - first[self.doc]).astype(np.int32)
         self.gram = self.tokens.astype(np.int64)  # place of each token's n-gram in the list of its order
         self.p = None
+        self.size = len(self.words)
         if row.get("state") is not None:
-            word_ids, self.seen, gram_ids, gram, values, place, short = expand(row["state"])
-            self.word_ids = self.gram_ids = word_ids.astype(np.uint64)
-            if len(gram):
-                self.gram_ids, self.gram = gram_ids.astype(np.uint64), gram.astype(np.int64) - 1
+            (order,), word_ids, self.seen, gram_ids, values, place, short = expand(row["state"])
+            self.word_ids, self.gram_ids = word_ids.astype(np.uint64), gram_ids.astype(np.uint64)
+            n = self.size = len(word_ids)
+            for k in range(2, order + 1):
+                distinct, self.gram, _ = self.longer(k, n)
+                n = len(distinct)
+            if order == 1:
+                self.gram_ids = self.word_ids
             self.p = values[place][self.gram]
             self.p[self.gram < 0] = short
 
     def state(self, order: int) -> bytes:
-        """Numbers and training counts of the words; numbers of the n-grams of the last order and each
-        token's n-gram, unless they are the words; their probabilities; those of tokens with fewer
-        words before them."""
-        grams = (self.gram_ids, self.gram + 1) if order > 1 else (self.gram_ids[:0], self.gram[:0])
-        return squeeze(self.word_ids, self.seen, *grams, *codes(self.p_gram), self.p[self.gram < 0])
+        """Numbers and training counts of the words; numbers of the n-grams of the last order, unless
+        they are the words, and their probabilities; those of tokens with fewer words before them."""
+        return squeeze(np.array([order]), self.word_ids, self.seen, self.gram_ids[:0 if order == 1 else None],
+                       *codes(self.p_gram), self.p[self.gram < 0])
+
+    def longer(self, order: int, n: int):
+        """The distinct n-grams of an order as (place among the `n` of the order before, word), each
+        token's n-gram, and where it has one. Place n stands for the start of a text."""
+        has = self.place >= order - 2
+        t = np.flatnonzero(has)
+        before = np.where(self.place[t] == 0, n, self.gram[t - 1])
+        found, at = ordered(before * self.size + self.tokens[t], (n + 1) * self.size)
+        new = changes(found)
+        gram = np.full(len(self.tokens), -1, np.int64)
+        gram[t[at]] = np.cumsum(new) - 1
+        return found[new], gram, has
 
     @property
     def known(self) -> np.ndarray:
@@ -138,18 +154,11 @@ class Block:
         if order == 1:
             none = np.zeros(len(self.words), np.int64)
             return none.astype(np.uint64), none, self.words, self.gram, np.ones(len(self.tokens), bool)
-        has = self.place >= order - 2
-        t = np.flatnonzero(has)
-        n = len(self.gram_ids)  # n-grams of the order before; place n stands for the start of a text
-        before = np.where(self.place[t] == 0, n, self.gram[t - 1])
-        size = len(self.words)
-        found, at = ordered(before * size + self.tokens[t], (n + 1) * size)
-        new = changes(found)
-        gram = np.full(len(self.tokens), -1, np.int64)
-        gram[t[at]] = np.cumsum(new) - 1
+        n = len(self.gram_ids)
+        distinct, gram, has = self.longer(order, n)
         ctx_ids, rank = np.append(self.gram_ids, np.uint64(0)), np.empty(n + 1, np.int64)
         rank[np.argsort(ctx_ids)] = np.arange(n + 1)
-        before, word = np.divmod(found[new], size)
+        before, word = np.divmod(distinct, self.size)
         return ctx_ids[before], rank[before], self.word_ids[word], gram, has
 
     def counts(self, gram: np.ndarray, n: int) -> np.ndarray:
@@ -182,7 +191,9 @@ def blocks_of(docs: DataFrame, held_out: int, folds: int, block_tokens: int) ->
 
         def row():
             n = np.array([len(h) for h in hashes], np.int64)
-            words, tokens = np.unique(np.concatenate(hashes), return_inverse=True)
+            words, tokens, many = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+            by = np.argsort(-many, kind="stable")  # frequent words have small numbers
+            words, tokens = words[by], np.argsort(by)[tokens]
             train = np.array([zlib.crc32(str(i).encode()) % folds != held_out for i in ids], np.uint8)
             known = np.array([i is not None for i in ids])
             docs_ = squeeze(np.array([i or 0 for i in ids], np.int64).view(np.uint64), n, train, known.astype(np.uint8))
@@ -347,13 +358,13 @@ def _states(order: int, levels: list[Level]):
         row = rows.iloc[0]
         block = Block(row)
         _answered(block, order, levels, dict(zip(answers["bucket"], answers["blob"])))
-        return pd.DataFrame([(block.id, row["size"], row["docs"], row["tokens"], block.state(order))],
+        return pd.DataFrame([(block.id, row["size"], row["docs"], squeeze(block.words[:0], block.tokens), block.state(order))],
                             columns=["block", "size", "docs", "tokens", "state"])
     return run
 
 
 def score(docs: DataFrame, order: int = 2, held_out: int = 1, folds: int = 5,
-          block_tokens: int = 1_500_000, bucket_tokens: int = 1_000_000) -> DataFrame:
+          block_tokens: int = 500_000, bucket_tokens: int = 1_000_000) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document.
 
     The model learns from documents whose crc32(doc_id as text) mod `folds` is not `held_out`
@@ -373,8 +384,8 @@ def score(docs: DataFrame, order: int = 2, held_out: int = 1, folds: int = 5,
 
     def in_buckets(rows: DataFrame) -> tuple[str, DataFrame]:
         name = f"katz_{uuid.uuid4().hex}"
-        rows.write.bucketBy(parts, "block").saveAsTable(name)
-        release_shuffles(spark)
+        with shuffles_released(spark):
+            rows.write.bucketBy(parts, "block").saveAsTable(name)
         return name, spark.table(name)
 
     def met(blocks: DataFrame, answers: DataFrame):
