@@ -7,7 +7,7 @@ columns. A bucket adds the counts up and answers every block with the total of e
 number (the context number of the next order) and the counts of its context, from which the block gets
 discounts, backoff weight and probability. So n-grams travel once per order, after they are
 counted inside a block, and texts never. What a block knows after an order is its state, a column of a
-table in buckets of blocks: only the newest answers are shuffled, and the tables before them go.
+table in buckets of blocks, as the answers are: each is shuffled once, and the tables before them go.
 """
 
 import uuid
@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import discard, shuffles_released, stored
+from rillflow.llm.common import shuffles_released
 from rillflow.llm.packed import expand, squeeze
 from rillflow.llm.shingles import mix, word_hashes
 
@@ -306,10 +306,10 @@ def _add_up(order: int, level: Level, words: Level, last: bool):
                          squeeze(r[g], rank[g][:0 if last else None], *(own[:, i].astype(np.uint64) for i in range(K + 1)),
                                  *codes(mass))))
         seen = [float((r == i).sum()) for i in range(K + 2)]
-        rows.append((-1, bucket, None, [*seen, float(r.sum()), float((r > 0).sum())], None))
+        rows.append((-1 - bucket, bucket, None, [*seen, float(r.sum()), float((r > 0).sum())], None))
         hot = np.isin(gc[start], np.fromiter(level.split, np.uint64, len(level.split))) if order > 1 else [True] * len(start)
         for i in np.flatnonzero(hot):
-            rows.append((-2, bucket, int(gc[start][i].view(np.int64)), stats[i].tolist(), None))
+            rows.append((-1 - bucket, bucket, int(gc[start][i].view(np.int64)), stats[i].tolist(), None))
         return pd.DataFrame(rows, columns=["block", "bucket", "ctx", "nums", "blob"])
 
     return run
@@ -401,20 +401,21 @@ def score(docs: DataFrame, order: int = 2, held_out: int = 1, folds: int = 5,
         level = Level(buckets, split=split)
         levels.append(level)
         sends = blocks.mapInArrow(_sends(k, list(levels)), SENT)
-        answers = stored(sends.groupBy("bucket").applyInPandas(_add_up(k, level, levels[0], k == order), ANSWER), f"ngrams_{k}")
+        added = sends.groupBy("bucket").applyInPandas(_add_up(k, level, levels[0], k == order), ANSWER)
+        told, answers = in_buckets(added.repartition(parts, "block"))  # where the states of their blocks are
         nums = [F.sum(F.col("nums")[i]).alias(str(i)) for i in range(K + 4)]
-        totals = [x or 0 for x in answers.where("block = -1").agg(*nums).first()]
+        totals = [x or 0 for x in answers.where("block < 0 and ctx is null").agg(*nums).first()]
         level.discount = discounts([int(x) for x in totals[:K + 2]])
         level.tokens, level.types = int(totals[K + 2]), int(totals[K + 3])
         sums = [F.sum(F.col("nums")[i]).alias(f"s{i}") for i in range(STATS)]
-        rows = answers.where("block = -2").groupBy("ctx").agg(*sums).collect()
+        rows = answers.where("block < 0 and ctx is not null").groupBy("ctx").agg(*sums).collect()
         level.split = {r.ctx % 2**64: np.array(r[1:]) for r in rows}
         if k < order:
             split = _frequent(answers.where("block >= 0"), tokens)
             old = name
             name, blocks = in_buckets(met(blocks, answers).applyInPandas(_states(k, list(levels)), STATE))
             spark.sql(f"DROP TABLE {old}")
-            discard(answers)
+            spark.sql(f"DROP TABLE {told}")
     n_train, n_types = levels[0].tokens, levels[0].types
 
     def final(rows, answers):
