@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import shuffles_released
+from rillflow.llm.common import shuffles_released, stored
 from rillflow.llm.packed import expand, squeeze
 from rillflow.llm.shingles import mix, word_hashes
 
@@ -81,6 +81,11 @@ def discounts(n: list[int]) -> np.ndarray:
     return d
 
 
+def discounted(r: np.ndarray, total: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """P of n-grams seen r > 0 times after a context seen `total` times."""
+    return r * np.where(r > K, 1.0, d[np.minimum(r, K)]) / total
+
+
 def total_of(stats: np.ndarray) -> np.ndarray:
     """Training count of contexts; one more where no count is discounted, so that every context
     keeps mass for unseen words."""
@@ -94,14 +99,14 @@ def probability(r: np.ndarray, stats: np.ndarray, ctx: np.ndarray, lower: np.nda
     held = stats[:, :K] @ (np.arange(1, K + 1) * d[1:]) + stats[:, K]
     with np.errstate(divide="ignore", invalid="ignore"):
         alpha = np.where(total > 0, (1 - held / total) / np.maximum(1 - stats[:, K + 1], 1e-15), 1.0)
-        seen = r * np.where(r > K, 1.0, d[np.minimum(r, K)]) / total[ctx]
+        seen = discounted(r, total[ctx], d)
     return np.where(r > 0, seen, alpha[ctx] * lower)
 
 
 class Block:
     """The n-grams of a block, order by order, from its words and the answers so far."""
 
-    def __init__(self, row):
+    def __init__(self, row, levels: list[Level] = ()):
         self.id = row["block"]
         self.doc_ids, self.n_tokens, train, self.has_id = expand(row["docs"])
         self.words, self.tokens = expand(row["tokens"])
@@ -114,22 +119,30 @@ class Block:
         self.p = None
         self.size = len(self.words)
         if row.get("state") is not None:
-            (order,), word_ids, self.seen, gram_ids, values, place, short = expand(row["state"])
+            (order,), word_ids, self.seen, gram_ids, r, total, unseen, short = expand(row["state"])
             self.word_ids, self.gram_ids = word_ids.astype(np.uint64), gram_ids.astype(np.uint64)
             n = self.size = len(word_ids)
+            self.before = np.zeros(n, np.int64)
             for k in range(2, order + 1):
                 distinct, self.gram, _ = self.longer(k, n)
-                n = len(distinct)
+                n, self.before = len(distinct), distinct // self.size
             if order == 1:
-                self.gram_ids = self.word_ids
-            self.p = values[place][self.gram]
+                self.gram_ids, r = self.word_ids, self.seen
+            self.r = r.astype(np.int64)
+            self.total = total.astype(np.int64)[np.cumsum(changes(self.before)) - 1]
+            p = np.empty(n)
+            p[r > 0] = discounted(self.r[r > 0], self.total[r > 0], levels[order - 1].discount)
+            p[r == 0] = unseen
+            self.p = p[self.gram]
             self.p[self.gram < 0] = short
 
     def state(self, order: int) -> bytes:
-        """Numbers and training counts of the words; numbers of the n-grams of the last order, unless
-        they are the words, and their probabilities; those of tokens with fewer words before them."""
-        return squeeze(np.array([order]), self.word_ids, self.seen, self.gram_ids[:0 if order == 1 else None],
-                       *codes(self.p_gram), self.p[self.gram < 0])
+        """Numbers and training counts of the words; numbers and counts of the n-grams of the last order,
+        unless they are the words; totals of their contexts, from which the probabilities of seen ones
+        follow; those of the others, and of tokens with fewer words before them."""
+        own = slice(0) if order == 1 else slice(None)
+        return squeeze(np.array([order]), self.word_ids, self.seen, self.gram_ids[own], self.r[own],
+                       self.total[changes(self.before)], self.p_gram[self.r == 0], self.p[self.gram < 0])
 
     def longer(self, order: int, n: int):
         """The distinct n-grams of an order as (place among the `n` of the order before, word), each
@@ -152,13 +165,14 @@ class Block:
         """Contexts, their ranks, and words of the distinct n-grams, each token's n-gram, and where it
         has one."""
         if order == 1:
-            none = np.zeros(len(self.words), np.int64)
+            none = self.before = np.zeros(len(self.words), np.int64)
             return none.astype(np.uint64), none, self.words, self.gram, np.ones(len(self.tokens), bool)
         n = len(self.gram_ids)
         distinct, gram, has = self.longer(order, n)
         ctx_ids, rank = np.append(self.gram_ids, np.uint64(0)), np.empty(n + 1, np.int64)
         rank[np.argsort(ctx_ids)] = np.arange(n + 1)
         before, word = np.divmod(distinct, self.size)
+        self.before = before
         return ctx_ids[before], rank[before], self.word_ids[word], gram, has
 
     def counts(self, gram: np.ndarray, n: int) -> np.ndarray:
@@ -227,20 +241,20 @@ def _sends(order: int, levels: list[Level]):
     def sent(block: Block):
         ctx, rank, word, gram, has = block.keys(order)
         n = block.counts(gram, len(word))
-        lower = np.zeros(len(word), np.int64 if order == 2 else float)
+        r, total = np.zeros((2, len(word)), np.int64)  # of the shorter n-gram
         if order > 1:
             t = np.flatnonzero(has)
-            lower[gram[t]] = (block.known if order == 2 else block.p)[t]
+            r[gram[t]], total[gram[t]] = block.r[block.gram[t]], block.total[block.gram[t]]
         for b, at in by_bucket(bucket_of(order, ctx, word, level.buckets, level.split), rank, level.buckets):
             start = np.flatnonzero(changes(rank[at]))
             many = np.diff(np.append(start, len(at)))
-            c, p = ctx[at][start], lower[at][n[at] > 0]  # n-grams that are not learnt from here take no mass
-            yield b, block.id, squeeze(c[:1], np.diff(c), many, word[at], n[at], *((p,) if order == 2 else codes(p)))
+            c, learnt = ctx[at][start], n[at] > 0  # n-grams that are not learnt from here take no mass
+            yield b, block.id, squeeze(c[:1], np.diff(c), many, word[at], n[at], r[at][learnt], total[at][start])
 
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                yield _batch(list(zip(*sent(Block(batch.slice(i, 1).to_pylist()[0])))))
+                yield _batch(list(zip(*sent(Block(batch.slice(i, 1).to_pylist()[0], levels)))))
     return run
 
 
@@ -250,25 +264,22 @@ def _alone(stats: np.ndarray) -> np.ndarray:
     return (stats[:, :K].sum(1) == 1) & (stats[:, K] == 0)
 
 
-def _add_up(order: int, level: Level, words: Level, last: bool):
-    """A bucket: totals, numbers and context statistics for the blocks that sent n-grams. For the
-    words of bigrams their counts were sent, which say the same as probabilities, but shorter.
-    Numbers go as ranks in the bucket, and not at all after the last order."""
-
-    def lower_of(sent: list[np.ndarray]) -> np.ndarray:
-        if order != 2:
-            return sent[0][sent[1]]
-        zero = np.zeros(len(sent[0]), np.int64)
-        return probability(sent[0].astype(np.int64), words.split[0][None, :], zero, np.ones(len(zero)), words.discount)
+def _add_up(order: int, levels: list[Level], last: bool):
+    """A bucket: totals, numbers and context statistics for the blocks that sent n-grams. What is seen has
+    shorter n-grams that are seen, so their counts and the totals of their contexts were sent, which say
+    the same as probabilities, but shorter. Numbers go as ranks in the bucket, and not at all after the
+    last order."""
+    level = levels[order - 1]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         bucket, parts = int(pdf["bucket"].iloc[0]), []
         blocks = pdf["block"].to_numpy()
         for blob in pdf["blob"]:
-            c, gaps, many, w, n, *sent = expand(blob)
+            c, gaps, many, w, n, short, total = expand(blob)
             c = np.cumsum(np.concatenate([c.astype(np.uint64), gaps.astype(np.uint64)]))
             p = np.zeros(len(w))
-            p[n > 0] = lower_of(sent)
+            if order > 1:
+                p[n > 0] = discounted(short.astype(np.int64), np.repeat(total, many)[n > 0], levels[order - 2].discount)
             parts.append((np.repeat(c, many), w.astype(np.uint64), n.astype(np.int64), p))
         size = [len(p[1]) for p in parts]
         ctx, word, n, lower = (np.concatenate(x) for x in zip(*parts))
@@ -347,6 +358,7 @@ def _answered(block: Block, order: int, levels: list[Level], answers: dict) -> N
     block.p[t] = block.p_gram[gram[t]]
     if order == 1:
         block.seen, block.word_ids = r, number
+    block.r, block.total = r, total_of(stats)[row].astype(np.int64)
     block.gram, block.gram_ids = gram, number
 
 
@@ -356,7 +368,7 @@ STATE = "block long, size long, docs binary, tokens binary, state binary"
 def _states(order: int, levels: list[Level]):
     def run(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         row = rows.iloc[0]
-        block = Block(row)
+        block = Block(row, levels)
         _answered(block, order, levels, dict(zip(answers["bucket"], answers["blob"])))
         return pd.DataFrame([(block.id, row["size"], row["docs"], squeeze(block.words[:0], block.tokens), block.state(order))],
                             columns=["block", "size", "docs", "tokens", "state"])
@@ -401,8 +413,9 @@ def score(docs: DataFrame, order: int = 2, held_out: int = 1, folds: int = 5,
         level = Level(buckets, split=split)
         levels.append(level)
         sends = blocks.mapInArrow(_sends(k, list(levels)), SENT)
-        added = sends.groupBy("bucket").applyInPandas(_add_up(k, level, levels[0], k == order), ANSWER)
-        told, answers = in_buckets(added.repartition(parts, "block"))  # where the states of their blocks are
+        added = sends.groupBy("bucket").applyInPandas(_add_up(k, list(levels), k == order), ANSWER)
+        # where the states of their blocks are; the last ones, which are read once, move when they are
+        told, answers = in_buckets(added.repartition(parts, "block")) if k < order else ("", stored(added, "answers"))
         nums = [F.sum(F.col("nums")[i]).alias(str(i)) for i in range(K + 4)]
         totals = [x or 0 for x in answers.where("block < 0 and ctx is null").agg(*nums).first()]
         level.discount = discounts([int(x) for x in totals[:K + 2]])
@@ -419,7 +432,7 @@ def score(docs: DataFrame, order: int = 2, held_out: int = 1, folds: int = 5,
     n_train, n_types = levels[0].tokens, levels[0].types
 
     def final(rows, answers):
-        block = Block(rows.iloc[0])
+        block = Block(rows.iloc[0], levels)
         _answered(block, order, levels, dict(zip(answers["bucket"], answers["blob"])))
         n = len(block.n_tokens)
         c = block.known
