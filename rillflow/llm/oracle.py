@@ -80,6 +80,14 @@ _FITS = " UNION ALL ".join(
     for v, r in url_filter.RULES)
 _TWO = ", ".join(f"'{x}'" for x in url_filter.SECOND_LEVEL)
 
+
+
+def _worth(rows: str) -> str:
+    """Pages that the priors m of `rows` (n, bad, m) are worth, by moments."""
+    return f"""SELECT 1 / least(greatest(coalesce(sum(n * (bad / n - m) ** 2 - m * (1 - m)) / nullif(sum((n - 1) * m * (1 - m)), 0), 0),
+    0.000001), 0.5) - 1 s FROM {rows} WHERE n > 0"""
+
+
 OP10 = rf"""
 WITH rules AS ({_FITS}),
 cut AS (
@@ -101,14 +109,27 @@ lv AS (
   SELECT host, n, bad,
     CASE WHEN num THEN '' WHEN tw THEN array_to_string(a[-2:], '.') ELSE a[-1] END suffix,
     CASE WHEN num THEN nm WHEN tw THEN array_to_string(a[-3:], '.') ELSE array_to_string(a[-2:], '.') END dom FROM two),
-m0 AS (SELECT coalesce(sum(bad) / greatest(sum(n), 1), 0) m FROM lv),
-m1 AS (SELECT suffix, (sum(bad) + (SELECT m FROM m0) * 20) / (sum(n) + 20) m FROM lv GROUP BY suffix),
-m2 AS (
-  SELECT suffix, dom, (sum(bad) + any_value(m1.m) * 20) / (sum(n) + 20) m FROM lv JOIN m1 USING (suffix) GROUP BY suffix, dom),
-post AS (SELECT host, n, bad, (bad + m2.m * 20) / (n + 20) m FROM lv JOIN m2 USING (suffix, dom))
-SELECT page_id, host, path, rule,
-  coalesce(what, CASE WHEN m - 1.64 * sqrt(m * (1 - m) / (n + 20 + 1)) > 0.5 THEN 'block' ELSE 'allow' END) verdict,
-  n host_labelled, bad host_bad
+level0 AS (SELECT coalesce(sum(n), 0) n0, coalesce(sum(bad), 0) b0 FROM lv),
+level1 AS (SELECT suffix, sum(n) n1, sum(bad) b1 FROM lv GROUP BY ALL),
+level2 AS (SELECT suffix, dom, sum(n) n2, sum(bad) b2 FROM lv GROUP BY ALL),
+prior1 AS (SELECT *, n1 n, b1 bad, (b0 - b1 + 0.5) / (n0 - n1 + 1) m FROM level1, level0),
+s1 AS ({_worth("prior1")}),
+prior2 AS (
+  SELECT *, n2 n, b2 bad, (b1 - b2 + s1.s * (b0 - b2 + 0.5) / (n0 - n2 + 1)) / (n1 - n2 + s1.s) m
+  FROM level2 JOIN level1 USING (suffix), level0, s1),
+s2 AS ({_worth("prior2")}),
+prior3 AS (
+  SELECT host, n, bad, (b2 - bad + s2.s * (b1 - bad + s1.s * (b0 - bad + 0.5) / (n0 - n + 1)) / (n1 - n + s1.s)) / (n2 - n + s2.s) m
+  FROM lv JOIN level2 USING (suffix, dom) JOIN level1 USING (suffix), level0, s1, s2),
+s3 AS ({_worth("prior3")}),
+beta AS (SELECT host, n, bad, bad + s * m a, n - bad + s * (1 - m) b, (b0 + 0.5) / (n0 + 1) t FROM prior3, s3, level0),
+sides AS (SELECT *, t < a / (a + b) low, CASE WHEN low THEN a ELSE b END p, CASE WHEN low THEN b ELSE a END q, CASE WHEN low THEN t ELSE 1 - t END x FROM beta),
+tails AS (
+  SELECT *, list_sum(list_transform(range(0, 20000), lambda i:
+    exp(lgamma(p + q + i) - lgamma(p + 1 + i) - lgamma(q) + (p + i) * ln(x) + q * ln(1 - x)))) tail FROM sides),
+post AS (SELECT host, n, bad, a / (a + b) mean, CASE WHEN low THEN 1 - tail ELSE tail END worse FROM tails)
+SELECT page_id, host, path, rule, coalesce(what, CASE WHEN worse >= 0.95 THEN 'block' ELSE 'allow' END) verdict,
+  n::BIGINT host_labelled, bad::BIGINT host_bad, floor(mean * 1000000)::BIGINT host_rate_ppm, floor(worse * 1000)::BIGINT host_worse_milli
 FROM parts JOIN post USING (host) LEFT JOIN fitting USING (rid)"""
 
 #: Lines in a run of equal consecutive lines (blank ones aside) with an earlier copy and 50 words or more.

@@ -92,7 +92,9 @@ def op10_host_reputation(spark: SparkSession, folder: str) -> DataFrame:
     bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("long")
     outcomes = labels.select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
     return judge_urls(table(spark, folder, "pages"), outcomes).select(
-        "page_id", "host", "path", "rule", "verdict", "host_labelled", "host_bad")
+        "page_id", "host", "path", "rule", "verdict", "host_labelled", "host_bad",
+        F.floor(F.col("host_rate") * 1_000_000).alias("host_rate_ppm"),
+        F.floor(F.col("host_worse") * 1000).alias("host_worse_milli"))
 
 
 def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
