@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1  # the last one: none
+MOST_DIGITS = {"card": 19, "phone": 15}
 SPACES = " \t\n\x0b\x0c\r"
 _SPACE = re.compile(r"[\x20\x09-\x0D]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -206,8 +207,14 @@ def _normal(s: np.ndarray) -> np.ndarray:
     return p / p.sum(1, keepdims=True)
 
 
+def _one(kind: int, text: str) -> bool:
+    """Whether neighbouring tokens may be one datum: parts of a card or phone number, within its digits."""
+    return sum(c in "0123456789" for c in text) <= MOST_DIGITS.get(KINDS[kind], 0)
+
+
 def added_spans(text: str, spans: list, model: Field, sure: float) -> list[tuple[int, int, int]]:
-    """Spans of tokens outside all pattern spans whose label is sure; neighbours of one kind join."""
+    """Spans of tokens outside all pattern spans whose label is sure; neighbours of one kind join
+    as far as that kind has digits."""
     nodes, on, label, chain, skip = graph(text, spans)
     if not nodes or (label < LABELS - 1).all():
         return []
@@ -219,7 +226,7 @@ def added_spans(text: str, spans: list, model: Field, sure: float) -> list[tuple
         a, b = nodes[i]
         if a >= b:
             continue
-        if out and i in joined and take[i - 1] and out[-1][0] == best[i]:
+        if out and i in joined and take[i - 1] and out[-1][0] == best[i] and _one(best[i], text[out[-1][1]:b]):
             out[-1] = (out[-1][0], out[-1][1], b)
         else:
             out.append((int(best[i]), a, b))

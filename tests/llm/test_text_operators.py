@@ -262,6 +262,19 @@ def test_pii_evidence_reaches_all_repeats():
         assert [t[a:b] for _, a, b in added_spans(t, base_spans(t), model, 0.9)] == ["555-3824"] * 50
 
 
+def test_pii_neighbours_are_one_datum_within_its_digits():
+    model = Field(np.zeros((20, 5)), np.zeros((5, 5)), np.array([8.0] * 4 + [0.0]))
+    a, b = "4111111111111111", "5500005555555559"
+    t = f"{a} or {b}. Later {a} {b}, and mail x@y.org x@z.org: x@y.org x@z.org"
+    # side by side they are too long for the pattern, which has them where they stand alone
+    assert [t[s:e] for _, s, e in added_spans(t, base_spans(t), model, 0.9)] == [a, b]
+    t = f"{a} and {b}; x{a} {b}x"
+    first = [(2, 0, 16), (2, 21, 37)]
+    assert [t[s:e] for _, s, e in added_spans(t, first, model, 0.9)] == [f"x{a}", f"{b}x"]
+    t = "+1 743 555 3824 so 743 555 3824"
+    assert [t[s:e] for _, s, e in added_spans(t, [(3, 0, 15)], model, 0.9)] == ["743 555 3824"]
+
+
 def test_pii_marginals_are_exact_on_trees_and_near_on_loops():
     rnd = np.random.default_rng(6)
     for loop in (False, True):
