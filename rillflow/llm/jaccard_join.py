@@ -18,7 +18,7 @@ leader. If x does not link with the leader, x and a near y need common differenc
 d = |D(x)| + |D(y)|, and as y has at most |D(y)| elements more than the leader, x would link with the
 leader too. Two sets between are compared in the same way; remote sets, with each other and
 with those between, too, but by their differences from the empty set. How many common differences are needed at least follows from the sizes, so a prefix of
-D(x), rare elements (those the leader lacks) first, is enough to find y, and the positions inside the
+D(x), rare elements (few members have them, or the leader lacks them) first, is enough to find y, and the positions inside the
 prefix skip most of the rest. Copies of one text with edits of their own share hardly any
 differences, so a group of any size makes few pairs.
 """
@@ -41,6 +41,8 @@ from rillflow.llm.shingles import mix, shingle_set
 
 BUCKET = 500_000  # index entries of a bucket, about
 SLICE = 500_000  # entries dealt to buckets at a time
+COMMON = 16  # an element of more members of a group comes last in their prefixes
+MARKS = 2**17  # bits of a group's table of such elements
 #: Bits of a key kept inside its bucket. A bucket has as many entries at every size of the input, so
 #: unlike contents meet in a list as rarely; they would only make a group larger, not link.
 KEPT = np.uint64(2**40 - 1)
@@ -256,18 +258,53 @@ def _repeats(seen: DataFrame) -> bool:
     return bool(seen.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count())
 
 
-def _derived(state: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]]:
-    """Links between members, at least one of which does not link with their leader, and the tables that
-    they are read from."""
+def _rare_first(own: pd.Series, prefix: pd.Series, words: pd.Series, bits: pd.Series) -> pd.Series:
+    """The prefixes of sets once their marked elements have gone to the end."""
+    out = []
+    for s, n, at, marks in zip(own, prefix, words, bits):
+        if at is not None and len(at):
+            place = s.view(np.uint64) % np.uint64(MARKS)
+            table = np.zeros(MARKS // 64, dtype=np.uint64)
+            table[np.asarray(at)] = np.asarray(marks).view(np.uint64)
+            marked = (table[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+            s = np.concatenate([s[~marked], s[marked]])
+        out.append(s[:n])
+    return pd.Series(out)
+
+
+def _fronts(state: DataFrame) -> DataFrame:
+    """The prefixes in which members meet, by form: a row per member and form, a table.
+
+    Passages that many members of a group share, unlike their leader, would be in most of their
+    prefixes. So elements that more than `COMMON` members have within twice their prefixes come last. They
+    are marked in a bit table per group, of one size for any number of them: an element
+    that shares its bit with a marked one comes last as well. All members of a group have one
+    order, and any order gives the same links, so marks only decide how many rows meet.
+    """
     open_groups = state.where("not near and d_prefix > 0").select("g").distinct()
+    by_leader = state.join(open_groups, "g", "left_semi").where("d_prefix > 0").select(
+        "g", F.lit(True).alias("form"), "x", "n", F.expr("not near").alias("asks"), F.size("delta").alias("far"),
+        F.expr("slice(delta, 1, d_prefix)").alias("front"))
+    own = state.where("o_prefix > 0")
+    bucket = F.pmod("e", F.lit(MARKS))  # as of the unsigned number, as MARKS is a power of two
+    common = (own.select("g", F.explode(F.expr("slice(own, 1, 2 * o_prefix)")).alias("e"))
+              .groupBy("g", "e").count().where(F.col("count") > COMMON)
+              .select("g", F.shiftright(bucket, 6).cast("int").alias("word"),
+                      F.expr(f"shiftleft(1L, cast(pmod(e, {MARKS}) % 64 as int))").alias("bit")))
+    marks = (common.groupBy("g", "word").agg(F.bit_or("bit").alias("bits"))
+             .groupBy("g").agg(F.collect_list(F.struct("word", "bits")).alias("marks")))
+    front = F.pandas_udf(_rare_first, "array<long>")
+    by_empty = own.join(marks, "g", "left").select(
+        "g", F.lit(False).alias("form"), "x", "n", F.expr("delta is null").alias("asks"), F.size("own").alias("far"),
+        front("own", "o_prefix", F.col("marks.word"), F.col("marks.bits")).alias("front"))
+    return stored(by_leader.unionByName(by_empty), "fronts")
 
-    def form(name, rows, column, prefix, asks):
-        return rows.where(f"{prefix} > 0").select(
-            "g", F.lit(name == "leader").alias("form"), "x", "n", F.expr(asks).alias("asks"), F.size(column).alias("far"),
-            F.posexplode(F.slice(column, 1, F.col(prefix))).alias("i", "e"))
 
-    rows = form("leader", state.join(open_groups, "g", "left_semi"), "delta", "d_prefix", "not near").unionByName(
-        form("empty", state, "own", "o_prefix", "delta is null"))
+def _derived(state: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Links between members, at least one of which does not link with their leader, and the tables that
+    they are read from."""
+    fronts = _fronts(state)
+    rows = fronts.select("g", "form", "x", "n", "asks", "far", F.posexplode("front").alias("i", "e"))
     # members between ask near ones and each other, remote ones ask all that are not near
     a, b = rows.where("asks").alias("a"), rows.alias("b")
     met = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.form") == F.col("b.form")) & (F.col("a.e") == F.col("b.e"))
@@ -295,4 +332,4 @@ def _derived(state: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]
                 .select(F.col("x").alias("a"), F.col("y").alias("b")))
 
     links = linked("leader", "delta").unionByName(linked("empty", "own"))
-    return links, [pairs, used]
+    return links, [fronts, pairs, used]
