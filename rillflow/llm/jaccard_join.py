@@ -18,9 +18,13 @@ leader. If x does not link with the leader, x and a near y need common differenc
 d = |D(x)| + |D(y)|, and as y has at most |D(y)| elements more than the leader, x would link with the
 leader too. Two sets between are compared in the same way; remote sets, with each other and
 with those between, too, but by their differences from the empty set. How many common differences are needed at least follows from the sizes, so a prefix of
-D(x), rare elements (few members have them, or the leader lacks them) first, is enough to find y, and the positions inside the
+D(x), rare elements first, is enough to find y, and the positions inside the
 prefix skip most of the rest. Copies of one text with edits of their own share hardly any
 differences, so a group of any size makes few pairs.
+
+A group may hold many such families besides its leader's. So members that are not near are clustered by the
+lists they share, and those of one cluster meet by their differences from its core, what most of
+them have, instead; by the other differences only members of different clusters do.
 """
 
 import math
@@ -30,7 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillflow.llm.common import discard, shuffles_released, sliced, small_batches, stored
@@ -41,8 +45,8 @@ from rillflow.llm.shingles import mix, shingle_set
 
 BUCKET = 500_000  # index entries of a bucket, about
 SLICE = 500_000  # entries dealt to buckets at a time
-COMMON = 16  # an element of more members of a group comes last in their prefixes
-MARKS = 2**17  # bits of a group's table of such elements
+FEW = 8  # members of a cluster that need no core, as they make few pairs
+TRIED = 32  # members of a cluster whose elements are counted for its core
 #: Bits of a key kept inside its bucket. A bucket has as many entries at every size of the input, so
 #: unlike contents meet in a list as rarely; they would only make a group larger, not link.
 KEPT = np.uint64(2**40 - 1)
@@ -242,11 +246,11 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     lead_text = leads.hint("merge").join(whole, leads.lead == whole.doc_id).select(
         "g", "lead", F.col("text").alias("lead_text"))
     state = stored(members.join(lead_text, "g").mapInArrow(_differences(size, percent), FORMS), "differences")
-    discard(member, groups)
+    discard(groups)
     near = state.where("near").select(F.col("x").alias("a"), F.col("lead").alias("b"))
-    derived, used = _derived(state, percent)
+    derived, used = _derived(state, member, percent)
     found = components(same.unionByName(near).unionByName(derived))
-    discard(state, *used)
+    discard(state, member, *used)
     out = seen.select("doc_id", "n").join(found, F.col("doc_id") == F.col("id"), "left")
     out = stored(out.select("doc_id", F.col("n").alias("n_shingles"),
                             F.coalesce("component", "doc_id").alias("component_id")), "components")
@@ -258,57 +262,140 @@ def _repeats(seen: DataFrame) -> bool:
     return bool(seen.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count())
 
 
-def _rare_first(own: pd.Series, prefix: pd.Series, words: pd.Series, bits: pd.Series) -> pd.Series:
-    """The prefixes of sets once their marked elements have gone to the end."""
+def _rare_first(sets: pd.Series, prefix: pd.Series, shared: pd.Series, kinds: pd.Series) -> pd.Series:
+    """The prefixes of sets once their shared elements have gone to the end, those of the fewest first."""
     out = []
-    for s, n, at, marks in zip(own, prefix, words, bits):
-        if at is not None and len(at):
-            place = s.view(np.uint64) % np.uint64(MARKS)
-            table = np.zeros(MARKS // 64, dtype=np.uint64)
-            table[np.asarray(at)] = np.asarray(marks).view(np.uint64)
-            marked = (table[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
-            s = np.concatenate([s[~marked], s[marked]])
+    for s, n, e, k in zip(sets, prefix, shared, kinds):
+        if e is not None and len(e):
+            s = np.concatenate([s[~np.isin(s, e)], e[np.lexsort((e, k))]])
         out.append(s[:n])
     return pd.Series(out)
 
 
-def _fronts(state: DataFrame) -> DataFrame:
-    """The prefixes in which members meet, by form: a row per member and form, a table.
+def _clusters(state: DataFrame, member: DataFrame) -> DataFrame:
+    """(x, cl): members that are not near in clusters of more than `FEW`, by the set that each shares most
+    lists with. Members of a group may have many passages, those of a cluster mostly have the same."""
+    far = state.where("not near").select("x")
+    top = (member.where("x != first and many > 1").join(far, "x").join(far.select(F.col("x").alias("first")), "first")
+           .groupBy("x").agg(F.max(F.struct("many", (-F.col("first")).alias("neg"))).alias("top"))
+           .select(F.col("x").alias("a"), (-F.col("top.neg")).alias("b")))
+    found = stored(components(top).select(F.col("id").alias("x"), F.col("component").alias("cl")), "clusters")
+    large = found.groupBy("cl").count().where(F.col("count") > FEW).select("cl")
+    out = found.join(large, "cl")
+    out.read_from = found
+    return out
+
+
+def _from_cores(state: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+    """Each member of a cluster by its differences from the cluster's core, a table.
+
+    The core is what more than half of up to `TRIED` members have; it only decides how long the differences are. Let
+    f(x) = (100 + p) |D(x)| - (100 - p) n(x). Two sets without a common difference link if and only if
+    f(x) + f(y) <= 0, so then both link with the set of the least f, the head. Members are near if that
+    holds for them and the head; all pairs of which one is not near need common differences, (100 + p)
+    times twice their number is f(x) + f(y) at least.
+    """
+    own = state.where("not near").select("x", "n", "own").join(clusters, "x")
+    ranked = Window.partitionBy("cl").orderBy(F.xxhash64("x"), "x")
+    tried = clusters.withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= TRIED).select("cl", "x")
+    most = tried.groupBy("cl").agg((F.count("*") / 2).alias("half"))
+    cores = (tried.join(state.select("x", "own"), "x").select("cl", F.explode("own").alias("e"))
+             .groupBy("cl", "e").count().join(most, "cl").where(F.col("count") > F.col("half"))
+             .groupBy("cl").agg(F.sort_array(F.collect_list("e")).alias("core")))
+
+    def delta(own: pd.Series, core: pd.Series) -> pd.Series:
+        out = []
+        for s, r in zip(own, core):
+            r = np.zeros(0, np.int64) if r is None else r
+            out.append(np.concatenate([np.setdiff1d(s, r, assume_unique=True), np.setdiff1d(r, s, assume_unique=True)]))
+        return pd.Series(out)
+
+    differences = F.pandas_udf(delta, "array<long>")
+    rows = own.join(cores, "cl", "left").select("cl", "x", "n", differences("own", "core").alias("d"))
+    rows = stored(rows.withColumn("f", (100 + percent) * F.size("d") - (100 - percent) * F.col("n")), "from-cores")
+    heads = rows.groupBy("cl").agg(F.min(F.struct("f", "x")).alias("head")).select(
+        "cl", F.col("head.x").alias("head"), F.col("head.f").alias("least"))
+    twice = 2.0 * (100 + percent)
+    near = F.col("f") + F.col("least") <= 0
+    need = F.greatest(F.lit(1), F.ceil(F.when(near, F.col("f") - F.col("least")).otherwise(F.col("f") + F.col("least")) / twice - 1e-6))
+    out = rows.join(heads, "cl").select(
+        "cl", "x", "n", "d", "head", near.alias("near"),
+        F.greatest(F.lit(0), F.size("d") - need + 1).cast("int").alias("prefix"))
+    out.read_from = rows
+    return out
 
-    Passages that many members of a group share, unlike their leader, would be in most of their
-    prefixes. So elements that more than `COMMON` members have within twice their prefixes come last. They
-    are marked in a bit table per group, of one size for any number of them: an element
-    that shares its bit with a marked one comes last as well. All members of a group have one
-    order, and any order gives the same links, so marks only decide how many rows meet.
+
+def _rarest(rows: DataFrame) -> DataFrame:
+    """(g, x, c, n, asks, far, front) of rows (g, x, c, n, asks, s, prefix): the prefixes of the sets s, their
+    elements ordered by how many members of the group have them, those of one member first, those of one c
+    next. Passages that members share, unlike their leader, would be in most of their prefixes otherwise. All members of a group have one
+    order, and any order gives the same links, so the counts only decide how many rows meet.
     """
+    each = rows.select("g", "c", "x", F.explode("s").alias("e"))
+    same = Window.partitionBy("g", "e")  # one shuffle of the elements, of which most have one member
+    counted = each.select("g", "x", "e", F.count("*").over(same).alias("many"),
+                          (F.min("c").over(same) < F.max("c").over(same)).alias("mixed"))
+    shared = (counted.where("many > 1").select("g", "x", "e", F.expr("if(mixed, many, 1)").alias("kinds"))
+              .groupBy("g", "x").agg(F.collect_list(F.struct("e", "kinds")).alias("shared")))
+    front = F.pandas_udf(_rare_first, "array<long>")
+    return rows.join(shared, ["g", "x"], "left").select(
+        "g", "x", "c", "n", "asks", F.size("s").alias("far"),
+        front("s", "prefix", F.col("shared.e"), F.col("shared.kinds")).alias("front"))
+
+
+def _fronts(state: DataFrame) -> DataFrame:
+    """The prefixes in which members meet, by form: a row per member and form, a table. The forms are the
+    differences from the leader (true) and from the empty set (false). Members meet if they differ
+    in c: those near a leader have one c, as have those of one cluster, who meet by its core."""
     open_groups = state.where("not near and d_prefix > 0").select("g").distinct()
     by_leader = state.join(open_groups, "g", "left_semi").where("d_prefix > 0").select(
-        "g", F.lit(True).alias("form"), "x", "n", F.expr("not near").alias("asks"), F.size("delta").alias("far"),
-        F.expr("slice(delta, 1, d_prefix)").alias("front"))
-    own = state.where("o_prefix > 0")
-    bucket = F.pmod("e", F.lit(MARKS))  # as of the unsigned number, as MARKS is a power of two
-    common = (own.select("g", F.explode(F.expr("slice(own, 1, 2 * o_prefix)")).alias("e"))
-              .groupBy("g", "e").count().where(F.col("count") > COMMON)
-              .select("g", F.shiftright(bucket, 6).cast("int").alias("word"),
-                      F.expr(f"shiftleft(1L, cast(pmod(e, {MARKS}) % 64 as int))").alias("bit")))
-    marks = (common.groupBy("g", "word").agg(F.bit_or("bit").alias("bits"))
-             .groupBy("g").agg(F.collect_list(F.struct("word", "bits")).alias("marks")))
-    front = F.pandas_udf(_rare_first, "array<long>")
-    by_empty = own.join(marks, "g", "left").select(
-        "g", F.lit(False).alias("form"), "x", "n", F.expr("delta is null").alias("asks"), F.size("own").alias("far"),
-        front("own", "o_prefix", F.col("marks.word"), F.col("marks.bits")).alias("front"))
-    return stored(by_leader.unionByName(by_empty), "fronts")
+        "g", "x", F.expr("if(near, lead, cl)").alias("c"), "n", F.expr("not near").alias("asks"),
+        F.col("delta").alias("s"), F.col("d_prefix").alias("prefix"))
+    by_empty = state.where("o_prefix > 0").select(
+        "g", "x", F.col("cl").alias("c"), "n", F.expr("delta is null").alias("asks"),
+        F.col("own").alias("s"), F.col("o_prefix").alias("prefix"))
+    return stored(_rarest(by_leader).withColumn("form", F.lit(True)).unionByName(
+        _rarest(by_empty).withColumn("form", F.lit(False))), "fronts")
+
+
+def _core_fronts(cores: DataFrame) -> DataFrame:
+    """The same by the differences from the core of a cluster, form null, for all its members."""
+    rows = cores.where("prefix > 0").select(
+        F.col("cl").alias("g"), "x", F.expr("if(near, head, x)").alias("c"), "n", F.expr("not near").alias("asks"),
+        F.col("d").alias("s"), "prefix")
+    return stored(_rarest(rows).withColumn("form", F.lit(None).cast("boolean")), "core-fronts")
+
+
+def _meeting(fronts: DataFrame) -> DataFrame:
+    """Rows of two members that have an element of their prefixes in common, differ in c, and of which one
+    asks: members between ask near ones and each other, remote ones all that are not near. Most members
+    that have an element may have the same c; they are met, but do not meet each other."""
+    rows = fronts.select("g", F.expr("case when form then 1 when not form then 2 else 3 end").alias("form"),
+                         "x", "c", "n", "asks", "far", F.posexplode("front").alias("i", "e"))
+    key = ["g", "form", "e"]
+    largest = (rows.groupBy(*key, "c").agg(F.count("*").alias("many"), F.max("asks").alias("asked"))
+               .groupBy(*key).agg(F.max(F.struct("many", "c")).alias("top"), F.count("*").alias("kinds"),
+                                  F.max("asked").alias("asked"))
+               .where("kinds > 1 and asked").select(*key, F.col("top.c").alias("top")))
+    shared = stored(rows.join(largest, key), "shared")
+    a, b = shared.where("c != top").alias("a"), shared.alias("b")
+    met = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.form") == F.col("b.form")) & (F.col("a.e") == F.col("b.e"))
+                 & (F.col("a.c") != F.col("b.c")) & (F.col("a.asks") | F.col("b.asks"))
+                 & ((F.col("b.c") == F.col("b.top")) | (F.col("a.x") < F.col("b.x"))))
+    met.read_from = shared
+    return met
 
 
-def _derived(state: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+def _derived(state: DataFrame, member: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]]:
     """Links between members, at least one of which does not link with their leader, and the tables that
-    they are read from."""
-    fronts = _fronts(state)
-    rows = fronts.select("g", "form", "x", "n", "asks", "far", F.posexplode("front").alias("i", "e"))
-    # members between ask near ones and each other, remote ones ask all that are not near
-    a, b = rows.where("asks").alias("a"), rows.alias("b")
-    met = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.form") == F.col("b.form")) & (F.col("a.e") == F.col("b.e"))
-                 & (~F.col("b.asks") | (F.col("a.x") < F.col("b.x"))))
+    they are read from. They connect what is connected; members near one core are not compared."""
+    clusters = _clusters(state, member)
+    cores = _from_cores(state, clusters, percent)
+    near = stored(cores.where("near and x != head").select(F.col("x").alias("a"), F.col("head").alias("b")), "near")
+    fronts = _fronts(state.join(clusters, "x", "left").withColumn("cl", F.coalesce("cl", "x")))
+    by_core = _core_fronts(cores)
+    discard(clusters.read_from, cores.read_from)
+    met = _meeting(fronts.unionByName(by_core))
     # Differences stand in one order in all members of a group. What two have in common beside the
     # elements that their prefixes share comes after the last of these in both.
     many = [F.count("*").alias("both"), F.max("a.i").alias("i"), F.max("b.i").alias("j")]
@@ -319,17 +406,18 @@ def _derived(state: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]
                     F.col("b.n").alias("n2"), F.col("a.far").alias("far1"), F.col("b.far").alias("far2")).agg(*many)
         .where((100 + percent) * (F.col("far1") + F.col("far2") - 2 * shared) <= (100 - percent) * total)
         .select("form", "x", "y", "n1", "n2"), "pairs")
+    discard(fronts, by_core, met.read_from)
     ids = pairs.select("x").unionByName(pairs.select(F.col("y").alias("x"))).distinct()
     used = stored(state.join(ids, "x", "left_semi").select("x", "delta", "own"), "open")
 
-    def linked(form, column):
+    def linked(where, column):
         d1, d2 = F.col("d1"), F.col("d2")
         one = used.select("x", F.col(column).alias("d1"))
         two = used.select(F.col("x").alias("y"), F.col(column).alias("d2"))
         differing = F.size(d1) + F.size(d2) - 2 * F.size(F.array_intersect(d1, d2))
-        return (pairs.where(F.col("form") == F.lit(form == "leader")).join(one, "x").join(two, "y")
+        return (pairs.where(where).join(one, "x").join(two, "y")
                 .where((100 + percent) * differing <= (100 - percent) * total)
                 .select(F.col("x").alias("a"), F.col("y").alias("b")))
 
-    links = linked("leader", "delta").unionByName(linked("empty", "own"))
-    return links, [fronts, pairs, used]
+    links = linked("form = 1", "delta").unionByName(linked("form > 1", "own"))
+    return near.unionByName(links), [near, pairs, used]
