@@ -46,6 +46,7 @@ from rillflow.llm.shingles import mix, shingle_set
 BUCKET = 500_000  # index entries of a bucket, about
 SLICE = 500_000  # entries dealt to buckets at a time
 FEW = 8  # members of a cluster that need no core, as they make few pairs
+PARITIES = 512  # bits of a set that rule out pairs with too many differences
 TRIED = 32  # members of a cluster whose elements are counted for its core
 #: Bits of a key kept inside its bucket. A bucket has as many entries at every size of the input, so
 #: unlike contents meet in a list as rarely; they would only make a group larger, not link.
@@ -163,7 +164,15 @@ def _lists(pdf: pd.DataFrame) -> pd.DataFrame:
     return out.groupby(["x", "first"]).size().reset_index(name="many").astype("int64")
 
 
-FORMS = "g long, x long, lead long, n long, near boolean, delta array<long>, d_prefix int, own array<long>, o_prefix int"
+FORMS = ("g long, x long, lead long, n long, bits array<long>, near boolean, delta array<long>, d_prefix int, "
+         "own array<long>, o_prefix int")
+
+
+def _parities(s: np.ndarray) -> np.ndarray:
+    """A bit for each of `PARITIES` cells that elements fall into: whether their number is odd. An element
+    that one of two sets has flips one bit, so their bits differ at most as often as the sets do."""
+    cell = (mix(s ^ np.uint64(7)) % np.uint64(PARITIES)).astype(np.int64)
+    return np.packbits(np.bincount(cell, minlength=PARITIES) & 1).view(np.int64)
 
 
 def _differences(size: int, percent: int):
@@ -175,23 +184,23 @@ def _differences(size: int, percent: int):
         return max(0, many - max(math.ceil(need - 1e-6), 1) + 1)
 
     def forms(s, lead):
-        n, k = len(s), len(lead)
+        n, k, bits = len(s), len(lead), _parities(s)
         new, gone = np.setdiff1d(s, lead, assume_unique=True), np.setdiff1d(lead, s, assume_unique=True)
         d = len(new) + len(gone)
         near = (100 + percent) * d <= (100 - percent) * (n + k)
         middle = min(n, k) * 100 // percent  # the largest set that links with both
         delta = np.concatenate([new, gone]).view(np.int64)
         if near:
-            return n, True, delta, prefix(d, (d - c * (n - k)) / 2), None, 0
+            return n, bits, True, delta, prefix(d, (d - c * (n - k)) / 2), None, 0
         common = np.intersect1d(s, lead, assume_unique=True)  # as passages of many members are, so they come last
         own = np.concatenate([new, common]).view(np.int64), prefix(n, n * percent / 100)
         if (100 + percent) * d <= (100 - percent) * (n + k + 2 * middle):
-            return n, False, delta, prefix(d, (d - c * (n + k)) / (1 + c)), *own
-        return n, False, None, 0, *own
+            return n, bits, False, delta, prefix(d, (d - c * (n + k)) / (1 + c)), *own
+        return n, bits, False, None, 0, *own
 
     def run(batches):
         held, lead = None, None
-        kinds = (pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int64()), pa.int32())
+        kinds = (pa.int64(), pa.list_(pa.int64()), pa.bool_(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int64()), pa.int32())
         for batch in sliced(batches):
             out = []
             for text, other in zip(batch.column("text").to_pylist(), batch.column("lead_text").to_pylist()):
@@ -262,16 +271,6 @@ def _repeats(seen: DataFrame) -> bool:
     return bool(seen.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count())
 
 
-def _rare_first(sets: pd.Series, prefix: pd.Series, shared: pd.Series, kinds: pd.Series) -> pd.Series:
-    """The prefixes of sets once their shared elements have gone to the end, those of the fewest first."""
-    out = []
-    for s, n, e, k in zip(sets, prefix, shared, kinds):
-        if e is not None and len(e):
-            s = np.concatenate([s[~np.isin(s, e)], e[np.lexsort((e, k))]])
-        out.append(s[:n])
-    return pd.Series(out)
-
-
 def _clusters(state: DataFrame, member: DataFrame) -> DataFrame:
     """(x, cl): members that are not near in clusters of more than `FEW`, by the set that each shares most
     lists with. Members of a group may have many passages, those of a cluster mostly have the same."""
@@ -325,28 +324,76 @@ def _from_cores(state: DataFrame, clusters: DataFrame, percent: int) -> DataFram
     return out
 
 
+def _deal_elements(buckets: int):
+    """The elements of sets with their owners, dealt to buckets of elements and packed."""
+    def dealt(rows):
+        x, c, sets = zip(*((x, c, mix(s.view(np.uint64) ^ mix(np.array([g]).view(np.uint64)))) for g, x, c, s in rows))
+        keys, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        to = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+        order = np.argsort(to, kind="stable")
+        keys, owner, cuts = keys[order] & KEPT, owner[order], np.searchsorted(to[order], np.arange(buckets + 1))
+        full, out = np.flatnonzero(cuts[1:] > cuts[:-1]), []
+        x, c = np.array(x, np.int64).view(np.uint64), np.array(c, np.int64).view(np.uint64)
+        for i, j in zip(cuts[full], cuts[full + 1]):
+            own, many = np.unique(owner[i:j], return_counts=True)
+            out.append(squeeze(x[own], c[own], many, keys[i:j]))
+        return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(out, pa.binary())], ["bucket", "entries"])
+
+    def run(batches):
+        rows, held = [], 0
+        for batch in sliced(batches):
+            sets = batch.column("s")
+            for i, (g, x, c) in enumerate(zip(*(batch.column(k).to_pylist() for k in ("g", "x", "c")))):
+                rows.append((g, x, c, np.array(sets[i].values.to_numpy(zero_copy_only=False))))
+                held += len(rows[-1][3])
+                if held >= SLICE:
+                    yield dealt(rows)
+                    rows, held = [], 0
+        if held:
+            yield dealt(rows)
+    return run
+
+
+def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The elements of a bucket that several sets have, for each of these: `mixed` if their c differ,
+    and `kinds`, by which elements are ordered: the number of the sets, 1 if they have one c."""
+    parts = [[a.astype(np.uint64) for a in expand(e)] for e in pdf["entries"]]
+    keys = np.concatenate([p[3] for p in parts])
+    x, c = (np.concatenate([np.repeat(p[k], p[2].astype(np.int64)) for p in parts]).view(np.int64) for k in (0, 1))
+    order = np.argsort(keys, kind="stable")
+    keys, x, c = keys[order], x[order], c[order]
+    start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    many = np.diff(np.append(start, len(keys)))
+    mixed = np.minimum.reduceat(c, start) < np.maximum.reduceat(c, start)
+    more = np.repeat(many > 1, many)
+    e = keys.view(np.int64) | np.int64(int(pdf["bucket"].iloc[0]) << 40)
+    return pd.DataFrame({"x": x, "e": e, "kinds": np.repeat(np.where(mixed, many, 1), many),
+                         "mixed": np.repeat(mixed, many)})[more]
+
+
 def _rarest(rows: DataFrame) -> DataFrame:
-    """(g, x, c, n, asks, far, front) of rows (g, x, c, n, asks, s, prefix): the prefixes of the sets s, their
-    elements ordered by how many members of the group have them, those of one member first, those of one c
-    next. Passages that members share, unlike their leader, would be in most of their prefixes otherwise. All members of a group have one
-    order, and any order gives the same links, so the counts only decide how many rows meet.
+    """(g, x, c, n, asks, far, i, e) of rows (g, x, c, n, asks, s, prefix): the places i in the prefixes of the
+    sets s that hold elements of members with another c. Elements are ordered by how many members of the
+    group have them, those of one member first, those of one c next. Passages that members share, unlike their
+    leader, would be in most of their prefixes otherwise. All members of a group have one order, and any
+    order gives the same links, so the counts only decide how many rows meet. What no other member has
+    only takes places in front, so neither it nor the set travels again.
     """
-    each = rows.select("g", "c", "x", F.explode("s").alias("e"))
-    same = Window.partitionBy("g", "e")  # one shuffle of the elements, of which most have one member
-    counted = each.select("g", "x", "e", F.count("*").over(same).alias("many"),
-                          (F.min("c").over(same) < F.max("c").over(same)).alias("mixed"))
-    shared = (counted.where("many > 1").select("g", "x", "e", F.expr("if(mixed, many, 1)").alias("kinds"))
-              .groupBy("g", "x").agg(F.collect_list(F.struct("e", "kinds")).alias("shared")))
-    front = F.pandas_udf(_rare_first, "array<long>")
-    return rows.join(shared, ["g", "x"], "left").select(
-        "g", "x", "c", "n", "asks", F.size("s").alias("far"),
-        front("s", "prefix", F.col("shared.e"), F.col("shared.kinds")).alias("front"))
+    buckets = max(1, (rows.agg(F.sum(F.size("s"))).first()[0] or 0) // BUCKET)
+    sent = rows.select("g", "x", "c", "s").mapInArrow(_deal_elements(buckets), "bucket int, entries binary")
+    shared = (sent.groupBy("bucket").applyInPandas(_shared, "x long, e long, kinds long, mixed boolean")
+              .groupBy("x").agg(F.array_sort(F.collect_list(F.struct("kinds", "e", "mixed"))).alias("shared")))
+    placed = rows.select("g", "x", "c", "n", "asks", F.size("s").alias("far"), "prefix").join(shared, "x").select(
+        "g", "x", "c", "n", "asks", "far", "prefix", (F.col("far") - F.size("shared")).alias("alone"),
+        F.posexplode("shared").alias("at", "one"))
+    return placed.withColumn("i", F.col("alone") + F.col("at")).where("one.mixed and i < prefix").select(
+        "g", "x", "c", "n", "asks", "far", "i", "one.e")
 
 
 def _fronts(state: DataFrame) -> DataFrame:
-    """The prefixes in which members meet, by form: a row per member and form, a table. The forms are the
-    differences from the leader (true) and from the empty set (false). Members meet if they differ
-    in c: those near a leader have one c, as have those of one cluster, who meet by its core."""
+    """The places in which members can meet, by form, a table. The forms are the differences from the
+    leader (1) and from the empty set (2). Members meet if they differ in c: those near a leader
+    have one c, as have those of one cluster, who meet by its core."""
     open_groups = state.where("not near and d_prefix > 0").select("g").distinct()
     by_leader = state.join(open_groups, "g", "left_semi").where("d_prefix > 0").select(
         "g", "x", F.expr("if(near, lead, cl)").alias("c"), "n", F.expr("not near").alias("asks"),
@@ -354,36 +401,42 @@ def _fronts(state: DataFrame) -> DataFrame:
     by_empty = state.where("o_prefix > 0").select(
         "g", "x", F.col("cl").alias("c"), "n", F.expr("delta is null").alias("asks"),
         F.col("own").alias("s"), F.col("o_prefix").alias("prefix"))
-    return stored(_rarest(by_leader).withColumn("form", F.lit(True)).unionByName(
-        _rarest(by_empty).withColumn("form", F.lit(False))), "fronts")
+    return stored(_rarest(by_leader).withColumn("form", F.lit(1)).unionByName(
+        _rarest(by_empty).withColumn("form", F.lit(2))), "fronts")
 
 
 def _core_fronts(cores: DataFrame) -> DataFrame:
-    """The same by the differences from the core of a cluster, form null, for all its members."""
+    """The same by the differences from the core of a cluster, form 3, for all its members."""
     rows = cores.where("prefix > 0").select(
         F.col("cl").alias("g"), "x", F.expr("if(near, head, x)").alias("c"), "n", F.expr("not near").alias("asks"),
         F.col("d").alias("s"), "prefix")
-    return stored(_rarest(rows).withColumn("form", F.lit(None).cast("boolean")), "core-fronts")
+    return stored(_rarest(rows).withColumn("form", F.lit(3)), "core-fronts")
 
 
-def _meeting(fronts: DataFrame) -> DataFrame:
+def _meeting(rows: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """Rows of two members that have an element of their prefixes in common, differ in c, and of which one
     asks: members between ask near ones and each other, remote ones all that are not near. Most members
-    that have an element may have the same c; they are met, but do not meet each other."""
-    rows = fronts.select("g", F.expr("case when form then 1 when not form then 2 else 3 end").alias("form"),
-                         "x", "c", "n", "asks", "far", F.posexplode("front").alias("i", "e"))
+    that have an element may have the same c; they are met, but do not meet each other. Nor do members whose
+    sizes or parity bits alone show that they do not link: members of a large family that nearly link have
+    elements in common, each with each."""
     key = ["g", "form", "e"]
     largest = (rows.groupBy(*key, "c").agg(F.count("*").alias("many"), F.max("asks").alias("asked"))
                .groupBy(*key).agg(F.max(F.struct("many", "c")).alias("top"), F.count("*").alias("kinds"),
                                   F.max("asked").alias("asked"))
                .where("kinds > 1 and asked").select(*key, F.col("top.c").alias("top")))
-    shared = stored(rows.join(largest, key), "shared")
+    shared = stored(rows.join(largest, key).join(bits, "x"), "shared")
     a, b = shared.where("c != top").alias("a"), shared.alias("b")
+    differing = sum(F.bit_count(F.col("a.bits")[i].bitwiseXOR(F.col("b.bits")[i])) for i in range(PARITIES // 64))
     met = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.form") == F.col("b.form")) & (F.col("a.e") == F.col("b.e"))
                  & (F.col("a.c") != F.col("b.c")) & (F.col("a.asks") | F.col("b.asks"))
-                 & ((F.col("b.c") == F.col("b.top")) | (F.col("a.x") < F.col("b.x"))))
-    met.read_from = shared
-    return met
+                 & ((F.col("b.c") == F.col("b.top")) | (F.col("a.x") < F.col("b.x")))
+                 & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
+                 & ((100 + percent) * differing <= (100 - percent) * (F.col("a.n") + F.col("b.n"))))
+    # which of two stands left differs by element, as the top c does; a pair is one whatever its elements are
+    one, two = (F.struct(*(F.col(f"{t}.{k}") for k in ("x", "n", "far", "i"))) for t in "ab")
+    out = met.select(F.col("a.form").alias("form"), F.least(one, two).alias("a"), F.greatest(one, two).alias("b"))
+    out.read_from = shared
+    return out
 
 
 def _derived(state: DataFrame, member: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]]:
@@ -395,14 +448,14 @@ def _derived(state: DataFrame, member: DataFrame, percent: int) -> tuple[DataFra
     fronts = _fronts(state.join(clusters, "x", "left").withColumn("cl", F.coalesce("cl", "x")))
     by_core = _core_fronts(cores)
     discard(clusters.read_from, cores.read_from)
-    met = _meeting(fronts.unionByName(by_core))
+    met = _meeting(fronts.unionByName(by_core), state.select("x", "bits"), percent)
     # Differences stand in one order in all members of a group. What two have in common beside the
     # elements that their prefixes share comes after the last of these in both.
     many = [F.count("*").alias("both"), F.max("a.i").alias("i"), F.max("b.i").alias("j")]
     total = F.col("n1") + F.col("n2")
     shared = F.col("both") + F.least(F.col("far1") - F.col("i"), F.col("far2") - F.col("j")) - 1  # at most
     pairs = stored(
-        met.groupBy(F.col("a.form").alias("form"), F.col("a.x").alias("x"), F.col("b.x").alias("y"), F.col("a.n").alias("n1"),
+        met.groupBy("form", F.col("a.x").alias("x"), F.col("b.x").alias("y"), F.col("a.n").alias("n1"),
                     F.col("b.n").alias("n2"), F.col("a.far").alias("far1"), F.col("b.far").alias("far2")).agg(*many)
         .where((100 + percent) * (F.col("far1") + F.col("far2") - 2 * shared) <= (100 - percent) * total)
         .select("form", "x", "y", "n1", "n2"), "pairs")
