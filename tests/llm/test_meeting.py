@@ -22,6 +22,14 @@ def test_a_pair_is_counted_whole_whichever_side_it_stands_on(spark):
     assert all(a < b for a, b, *_ in met)
 
 
+def test_sizes_and_parity_bits_rule_out_pairs_in_the_join(spark):
+    rows = spark.createDataFrame([(1, 1, x, x, n, True, n, 0, 10) for x, n in ((1, 20), (2, 20), (3, 20), (4, 10))],
+                                 "g long, form int, x long, c long, n long, asks boolean, far int, i int, e long")
+    bits = spark.createDataFrame([(x, [b] * (jaccard_join.PARITIES // 64)) for x, b in ((1, 0), (2, 0), (3, -1), (4, 0))],
+                                 "x long, bits array<long>")
+    assert [(r.a.x, r.b.x) for r in jaccard_join._meeting(rows, bits, 80).collect()] == [(1, 2)]
+
+
 def test_parity_bits_differ_at_most_as_often_as_sets():
     rnd = np.random.default_rng(3)
     for n in (1, 40, 3000):
